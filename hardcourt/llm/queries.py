@@ -6,12 +6,14 @@ from hardcourt.llm.decontaminate import OP10_SQL, op10_decontaminate
 from hardcourt.llm.media_avi import op8_avi_media
 from hardcourt.llm.order_minhash import op6_order_minhash
 from hardcourt.llm.packing import op7_vector_packing
+from hardcourt.llm.pii import op3_personal_data
 from hardcourt.llm.token_counts import op5_token_counts
 from hardcourt.llm.url_reputation import OP9_SQL, op9_host_reputation
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op3_personal_data,
         op5_token_counts,
         op6_order_minhash,
         op7_vector_packing,
