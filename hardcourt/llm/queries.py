@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from hardcourt.llm.cotraining import op1_cotraining
 from hardcourt.llm.decontaminate import OP10_SQL, op10_decontaminate
 from hardcourt.llm.media_avi import op8_avi_media
 from hardcourt.llm.order_minhash import op6_order_minhash
@@ -13,6 +14,7 @@ from hardcourt.llm.url_reputation import OP9_SQL, op9_host_reputation
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_cotraining,
         op3_personal_data,
         op5_token_counts,
         op6_order_minhash,
