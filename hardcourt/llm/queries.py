@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from hardcourt.llm.cotraining import op1_cotraining
 from hardcourt.llm.decontaminate import OP10_SQL, op10_decontaminate
+from hardcourt.llm.license_scan import op4_license_alignment
 from hardcourt.llm.media_avi import op8_avi_media
 from hardcourt.llm.order_minhash import op6_order_minhash
 from hardcourt.llm.packing import op7_vector_packing
 from hardcourt.llm.pii import op3_personal_data
+from hardcourt.llm.suffix_dedup import op2_sparse_suffixes
 from hardcourt.llm.token_counts import op5_token_counts
 from hardcourt.llm.url_reputation import OP9_SQL, op9_host_reputation
 
@@ -15,7 +17,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_cotraining,
+        op2_sparse_suffixes,
         op3_personal_data,
+        op4_license_alignment,
         op5_token_counts,
         op6_order_minhash,
         op7_vector_packing,

@@ -64,14 +64,14 @@ def _shrunk(counts: DataFrame, key: str, parent: DataFrame, up: str) -> DataFram
     both = counts.join(parent.select(up, F.col("a").alias("pa"), F.col("b").alias("pb")), up).withColumn("m", F.col("pa") / (F.col("pa") + F.col("pb")))
     spread = both.filter("n >= 2").agg(
         F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("m"), 2)).alias("v"), F.sum(F.col("m") * (1 - F.col("m"))).alias("e0"), F.sum(F.col("n") * F.col("m") * (1 - F.col("m"))).alias("e1"), F.count("*").alias("k")
-    )
+    )  # the driver gets this one row
     # n (rate - m)^2 has mean m (1 - m) (1 + (n - 1) r) where the strength is 1 / r - 1
-    r = F.when(F.col("e1") - F.col("e0") > 0, (F.col("v") - F.col("e0")) / (F.col("e1") - F.col("e0")))
+    got = spread.first()
     low, high = STRENGTH
-    strength = F.coalesce(F.when(r <= 1 / (high + 1), high).when(r >= 1 / (low + 1), low).otherwise(1 / r - 1), F.lit(high))
-    # spread is one row: a broadcast of a single number
-    fit = both.join(F.broadcast(spread.select(strength.alias("s"))))
-    return fit.select(key, (F.col("s") * F.col("m") + F.col("bad")).alias("a"), (F.col("s") * (1 - F.col("m")) + F.col("n") - F.col("bad")).alias("b"))
+    s = high
+    if got.k and got.e1 - got.e0 > 0 and (r := (got.v - got.e0) / (got.e1 - got.e0)) > 1 / (high + 1):
+        s = low if r >= 1 / (low + 1) else 1 / r - 1
+    return both.select(key, (s * F.col("m") + F.col("bad")).alias("a"), (s * (1 - F.col("m")) + F.col("n") - F.col("bad")).alias("b"))
 
 
 def judged(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = BOUND_Z, over: float = BLOCK_OVER) -> DataFrame:
