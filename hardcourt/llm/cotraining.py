@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hardcourt.llm.runtime import ship, table
 from hardcourt.llm.words import words
@@ -189,8 +190,9 @@ def scored(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFram
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(fitted(docs, labels, rows))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in ("p_quality", "p_toxic")]
-    names = [f.name for f in docs.schema if f.name not in ("p_quality", "p_toxic")]
+    docs = docs.drop("p_quality", "p_toxic")
+    names = docs.columns
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), T.StructField("p_quality", T.DoubleType()), T.StructField("p_toxic", T.DoubleType())])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = {}
@@ -213,7 +215,7 @@ def scored(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFram
                         out[name].append(rate if rate is not None else float(name == "quality"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out["quality"], pa.float64()), pa.array(out["toxic"], pa.float64())], [*names, "p_quality", "p_toxic"])
 
-    found = docs.select(*names).mapInArrow(step, ", ".join([*fields, "p_quality double", "p_toxic double"]))
+    found = docs.mapInArrow(step, schema)
     return found.withColumn("score", F.col("p_quality") * (1 - F.col("p_toxic"))).withColumn("keep", (F.col("p_quality") >= 0.5) & (F.col("p_toxic") <= 0.5))
 
 

@@ -23,6 +23,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hardcourt.llm.runtime import ship, table
 from hardcourt.llm.words import WORD, words
@@ -111,12 +113,13 @@ def original_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int,
     return [(places[a][0], places[b - 1][1]) for a, b in ranges]
 
 
-def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, text, n_words, n_hit, items (sorted), spans (start and end in the original text) for each row of docs."""
+def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, text: str = "text") -> DataFrame:
+    """docs with n_words and state: the word ranges that are hit and the items that occur, as JSON; null where none."""
     spark = docs.sparkSession
     ship(spark)
-    kind = docs.schema[key].dataType.simpleString()
-    found = docs.select(key, docs[text].alias("text")).selectExpr(key, "text", "0L as n_words", "cast('' as string) as state")
+    found = docs.drop("n_words", "state").withColumns({"n_words": F.lit(0).cast("long"), "state": F.lit(None).cast("string")})
+    names = found.columns
+    schema, at = T.StructType([T.StructField(f.name, f.dataType) for f in found.schema]), names.index(text)
     for block in [*blocks(items, size)] or [[]]:
         name, shared = uuid.uuid4().hex, spark.sparkContext.broadcast(block)
 
@@ -124,21 +127,21 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, key: st
             machine = automaton(name, shared.value, size)
             for batch in batches:
                 n_words, states = [], []
-                for doc, state in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                for doc, state in zip(batch.column(at).to_pylist(), batch.column(len(names) - 1).to_pylist(), strict=True):
                     n, ranges, who = scan(doc, machine)
                     if state and ranges:
                         old = json.loads(state)
                         ranges, who = merged([*ranges, *map(tuple, old[0])]), {*who, *old[1]}
                     n_words.append(n)
                     states.append(json.dumps([ranges, sorted(who)]) if ranges else state)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(states, pa.string())], [key, "text", "n_words", "state"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(n_words, pa.int64()), pa.array(states, pa.string())], names)
 
-        found = found.mapInArrow(step, f"{key} {kind}, text string, n_words long, state string")
+        found = found.mapInArrow(step, schema)
     return found
 
 
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The columns of the query from what contamination() returns, the spans in the original text among them."""
+    """The columns of the query from contamination() of (key, text), the spans in the original text among them."""
     kind = found.schema[key].dataType.simpleString()
     none = hashlib.sha256(b"").hexdigest()
 
@@ -162,7 +165,7 @@ def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return digest(found).drop("spans")
 
 

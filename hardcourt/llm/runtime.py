@@ -50,3 +50,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def as_text(value: str | None) -> str:
     """A null text counts as an empty one."""
     return value if value is not None else ""
+
+
+def set_apart(df: DataFrame, wanted: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
+    """df with its wanted columns under their names and every other under a neutral one, and the names it had.
+
+    Works by place, so other columns may be called anything, also like a wanted one in other case.
+    """
+    names = df.columns
+    missing = [c for c in wanted if c not in names]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)}")
+    return df.toDF(*(c if c in wanted and c not in names[:k] else f"other_{k}" for k, c in enumerate(names))), names

@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hardcourt.llm.runtime import ship, table
+from hardcourt.llm.runtime import ship, stored, table
 
 #: Entries of the broadcast table, counters of a partition's summary, entries of a worker's cache, longest cached word.
-TABLE, SUMMARY, CACHE, LONGEST = 1 << 15, 1 << 15, 1 << 18, 64
+TABLE, SUMMARY, CACHE, LONGEST = 1 << 16, 1 << 15, 1 << 18, 64
 LIMIT = 4096
 MARK = "▁"
 
@@ -68,7 +68,10 @@ _tiers: dict[tuple, Lengths] = {}
 
 
 def frequent_words(texts: DataFrame) -> DataFrame:
-    """(word, n): the words most frequent over all texts, by summaries of at most SUMMARY counters per partition."""
+    """(word, n): words that are one in TABLE or more of all words counted, so TABLE words at most.
+
+    They come from summaries of at most SUMMARY counters per partition.
+    """
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -81,7 +84,9 @@ def frequent_words(texts: DataFrame) -> DataFrame:
         top = [(w, n) for w, n in seen.most_common(SUMMARY) if len(w) <= LONGEST and n > 1]
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["word", "n"])
 
-    return texts.mapInArrow(summary, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(TABLE)
+    sums = stored(texts.mapInArrow(summary, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    total = sums.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return sums.filter(F.col("n") * TABLE >= total)
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, key: str = "doc_id", text: str = "text") -> DataFrame:
