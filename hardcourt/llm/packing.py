@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +38,19 @@ _BREAK = re.compile(r"\s \s|\s \Z")
 _ids: dict = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters by which a byte-level vocabulary writes bytes: printable ones as they are, the rest from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in plain else next(rest)) for b in range(256)}
+
+
 class Ids(dict):
-    """Word to its ids (little-endian 32-bit), at most CACHE of them per worker.
+    """Word to its ids (little-endian 32-bit): the newest CACHE words per worker and those seen among the CACHE before.
 
     A space before a word is always the start of a pre-token when the character before it is no white space or the one
-    after it is none, so texts are looked up word by word; others, and those that spell a special token, go whole.
+    after it is none, so texts are looked up word by word; others, and those that spell a special token, go whole. A word
+    of Latin letters is one pre-token, for which the tokenizer's model alone is asked.
     """
 
     def __init__(self, path: str):
@@ -50,14 +59,27 @@ class Ids(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model, self.letters, self.older = self.tokenizer.model, _byte_letters(), {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _fresh(self, word: str) -> bytes:
+        body = word[1:] if word[:1] == " " else word
+        if body.isalpha() and (body.isascii() or max(body) < "\u0250"):
+            spelt = word.encode().decode("latin-1").translate(self.letters)
+            return pack(f"<{len(found)}I", *found) if (found := [t.id for t in self.model.tokenize(spelt)]) else b""
+        if body[-1:] in (".", ",") and body[:-1].isalpha():
+            return self[word[:-1]] + self[body[-1]]
+        return self.whole(word)
+
     def __missing__(self, word: str) -> bytes:
-        ids = self.whole(word)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._fresh(word)
         if len(word) <= LONGEST:
             if len(self) >= CACHE:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
