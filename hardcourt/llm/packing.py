@@ -18,8 +18,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -68,16 +68,19 @@ class Ids(dict):
         body = word[1:] if word[:1] == " " else word
         if body.isalpha() and (body.isascii() or max(body) < "\u0250"):
             spelt = word.encode().decode("latin-1").translate(self.letters)
-            return pack(f"<{len(found)}I", *found) if (found := [t.id for t in self.model.tokenize(spelt)]) else b""
+            return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
         if body[-1:] in (".", ",") and body[:-1].isalpha():
             return self[word[:-1]] + self[body[-1]]
+        left, line, right = word.partition("\n")  # a single line end between others is a pre-token
+        if line and left and right and not left[-1].isspace() and not right[0].isspace():
+            return self[left] + self[line] + self[right]
         return self.whole(word)
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
         if ids is None:
             ids = self._fresh(word)
-        if len(word) <= LONGEST:
+        if len(word) <= LONGEST and ("\n" not in word or len(word) == 1):
             if len(self) >= CACHE:
                 self.older = dict(self)
                 self.clear()
