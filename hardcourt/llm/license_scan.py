@@ -96,10 +96,8 @@ def scan(text: str | None, least: float = COVERAGE) -> list[tuple[str, float, in
     hits = []
     for name, template in _TEMPLATES:
         own = {i for i, w in enumerate(template) if w in CUES}
-        n, past = len(template), -1
+        n = len(template)
         for cue in cues:
-            if cue < past:
-                continue
             a, b = max(0, cue - max(own) - 3), min(len(found), cue + n - min(own) + 3)
             pairs = aligned(found[a:b], template)
             # matches far from the rest (a stray common word) do not stretch the span beyond the template's length
@@ -108,9 +106,8 @@ def scan(text: str | None, least: float = COVERAGE) -> list[tuple[str, float, in
             if share >= least:
                 first, last = a + inside[0][0], a + inside[-1][0] + 1
                 hits.append((-share * n, first, last, name, share))
-                past = last
     out: list[tuple[str, float, int, int]] = []
-    for _, first, last, name, share in sorted(hits):
+    for _, first, last, name, share in sorted({*hits}):
         if all(last <= f or first >= e for _, _, f, e in out):
             out.append((name, round(share, 4), first, last))
     return sorted(out, key=lambda x: (x[2], x[0]))
