@@ -86,9 +86,12 @@ def _filled(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple:
 
 
 def of_several(rows: DataFrame, key: str) -> DataFrame:
-    """The rows whose key occurs in more than one document."""
+    """The rows whose key occurs in more than one document.
+
+    The keys are written first, so that the join is of two plain tables and Spark may split a key with many rows.
+    """
     keys = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1")).filter("d0 < d1").select(key)
-    return rows.join(keys, key)
+    return rows.join(stored(keys), key)
 
 
 def unfinished(lists: DataFrame) -> DataFrame:
@@ -130,7 +133,7 @@ def edge_passages(docs: DataFrame, seen: DataFrame) -> DataFrame:
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_repeated, spans) for documents with repeated passages; spans: array of (start, length) in words, joined."""
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text")).filter("doc_id is not null")
-    going = stored(of_several(suffixes(rows), "near").select("doc_id", "pos", "near", "far"))
+    going = stored(of_several(stored(suffixes(rows)), "near").select("doc_id", "pos", "near", "far"))
     matched = of_several(going, "far").select("doc_id", "pos").distinct().withColumn("marked", F.lit(True))
     placed = going.select("doc_id", "pos", "near").distinct().join(matched, ["doc_id", "pos"], "left")
     placed = stored(placed.withColumn("marked", F.coalesce("marked", F.lit(False))))
