@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,10 @@ from hardcourt.llm.runtime import ship, table
 CAPACITY, MAX_SEGMENTS, MAX_LOSS = 1024, 64, 1024
 END = 0
 WAITING = 512
-CACHE, LONGEST = 1 << 18, 64
+CACHE, LONGEST = 1 << 19, 64
 
+#: Fixed value: how a byte-level vocabulary of this family cuts a text into pre-tokens.
+PRETOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _BREAK = re.compile(r"\s \s|\s \Z")
 _ids: dict = {}
 
@@ -74,7 +77,8 @@ class Ids(dict):
         left, line, right = word.partition("\n")  # a single line end between others is a pre-token
         if line and left and right and not left[-1].isspace() and not right[0].isspace():
             return self[left] + self[line] + self[right]
-        return self.whole(word)
+        pieces = PRETOKENS.findall(word)
+        return b"".join([self[p] for p in pieces]) if len(pieces) > 1 else self.whole(word)
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
