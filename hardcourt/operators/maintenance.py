@@ -19,6 +19,8 @@ def one_per_key(source: DataFrame, keys: list[str], priority: list[str]) -> Data
     """Rows of one key reduced: of each column the first non-null in order of priority."""
     at = F.struct(*priority)
     values = [x for x in source.columns if x not in keys and x not in priority]
+    if not values:
+        return source.select(*keys).distinct()
     return source.groupBy(*keys).agg(*(F.min_by(v, F.when(F.col(v).isNotNull(), at)).alias(v) for v in values))
 
 
@@ -168,6 +170,42 @@ def cascade(rows: DataFrame, column: str, kept: DataFrame, key: str) -> DataFram
     return rows.join(kept.select(F.col(key).alias(column)).distinct(), column, "left_semi")
 
 
+# Staging: what is fetched becomes rows of the staged tables.
+
+
+def staged_profiles(rows: DataFrame, existing: DataFrame, keys: list[str], constants: dict[str, str], sides: dict[str, tuple[list[str], dict[str, str]]]) -> dict[str, DataFrame]:
+    """The staged profiles after new rows (only columns the table has, constants filled in, first write wins), and side
+    tables by name, each of the stated columns and constants, distinct, rows with a null left out."""
+    full = rows.withColumns({k: F.lit(v) for k, v in constants.items()})
+    known = [x for x in existing.columns if x in full.columns]
+    priority = [x for x in known if x not in keys]
+    one = one_per_key(full.select(*known).withColumn("_p", F.struct(*priority)), keys, ["_p"])
+    out = {"profiles": upsert(existing, one, keys, "fill")}
+    for name, (columns, more) in sides.items():
+        side = rows.withColumns({k: F.lit(v) for k, v in more.items()}).select(*more, *columns)
+        out[name] = side.dropna().distinct()
+    return out
+
+
+def staged_rosters(rows: DataFrame, existing: DataFrame, keys: list[str], constants: dict[str, str]) -> DataFrame:
+    """Roster rows, those that lack a key dropped, filled into what is there."""
+    full = rows.withColumns({k: F.lit(v) for k, v in constants.items()}).dropna(subset=keys)
+    values = [x for x in existing.columns if x in full.columns and x not in keys]
+    one = one_per_key(full.select(*keys, *values).withColumn("_p", F.struct(*(values or keys))), keys, ["_p"])
+    return upsert(existing, one, keys, "fill")
+
+
+def staged_stats(rows: DataFrame, existing: DataFrame, keys: list[str], context: dict[str, str], profiles: DataFrame, profile_key: str) -> tuple[DataFrame, DataFrame]:
+    """Stat rows with their keys filled from the context, filled into what is there; and the profiles they lack."""
+    full = rows.withColumns({k: F.coalesce(F.col(k), F.lit(v)) if k in rows.columns else F.lit(v) for k, v in context.items()})
+    return staged_rosters(full, existing, keys, {}), referenced_missing(full, profile_key, profiles, profile_key)
+
+
+def cleared(table: DataFrame) -> DataFrame:
+    """The table without rows."""
+    return table.filter(F.lit(False))
+
+
 # Coverage: one row per combination and column, with a flag.
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hardcourt.operators import box, derive, pbp
-from hardcourt.plans.events import ev
+from hardcourt.plans.events import EV, ev
 from hardcourt.plans.registry import query
 
 c = F.col
@@ -64,6 +64,85 @@ def p2(spark, sf):
     return box.player_games(completed(spark, sf)[0])
 
 
+# Parts of the derivation on the mapped events as they are, with the SQL of the same rule.
+
+
+def contract(e: DataFrame) -> DataFrame:
+    none = F.lit(None).cast("string")
+    made = e.withColumns({"identity": F.lit("mapped"), "event_id": c("event_id").cast("string"), "chain_id": none, "fouled_player_id": none, "source": c("event_id").cast("string"), "errors": F.expr("cast(array() as array<string>)"), "home": F.lit("T0"), "away": F.lit("T1")})
+    return made.select(*derive.COLUMNS, "home", "away")
+
+
+_ORD = "sum(case when event not in {skip} then 1 else 0 end) over (partition by game_id order by seq rows between unbounded preceding and 1 preceding)"
+
+
+@query(
+    "g1_free_throw_chain",
+    f"""{EV}, v as (select * replace (case when event = 'fg2_make' then 'ft1_make' else event end as event) from ev),
+    o as (select *, coalesce({_ORD.format(skip="('ft1_make', 'player_in', 'player_out', 'rebound')")}, 0) as ord from v),
+    a as (select *, last_value(case when event = 'd_standard_foul' then {{'o': ord, 'e': event_id}} end ignore nulls) over (partition by game_id order by seq rows between unbounded preceding and 1 preceding) as f from o)
+    select game_id, event_id::varchar as event_id, case when ord - f.o - 1 <= 2 then f.e::varchar end as chain_id, coalesce(ord - f.o - 1 > 2, true) as ft_without_foul from a where event = 'ft1_make'""",
+)
+def g1(spark, sf):
+    """Free throws to the foul before them, over period ends too."""
+    e = ev(spark, sf).withColumn("event", F.when(c("event") == "fg2_make", "ft1_make").otherwise(c("event")))
+    done = derive.chained(contract(e)).filter(c("event") == "ft1_make")
+    return done.select("game_id", "event_id", "chain_id", F.array_contains("errors", "ft_without_foul").alias("ft_without_foul"))
+
+
+_SKIP2 = "('block', 'player_in', 'player_out', 'fg2_make', 'rebound')"
+
+
+@query(
+    "g2_rebound_chain",
+    f"""{EV}, o as (select *, coalesce({_ORD.format(skip=_SKIP2)}, 0) as ord from ev),
+    a as (select *, last_value(case when event = 'fg2_miss' then {{'o': ord, 'e': event_id, 'p': period, 't': team_id}} end ignore nulls) over (partition by game_id order by seq rows between unbounded preceding and 1 preceding) as m,
+      first_value(case when event not in {_SKIP2} then {{'n': event, 'e': event_id, 't': team_id}} end ignore nulls) over (partition by game_id, period order by seq rows between 1 following and unbounded following) as f from o),
+    s as (select *, case when ord - m.o - 1 <= 2 and m.p = period then m.e when f.n = 'fg2_miss' then f.e end as chain, case when ord - m.o - 1 <= 2 and m.p = period then m.t when f.n = 'fg2_miss' then f.t end as team from a where event = 'rebound'),
+    k as (select *, row_number() over (partition by game_id, chain order by seq) as nth from s)
+    select game_id, event_id::varchar as event_id, chain::varchar as chain_id, case when chain is null then 'rebound' when team = team_id then 'o_reb' else 'd_reb' end as event from k where chain is null or nth = 1""",
+)
+def g2(spark, sf):
+    """Rebounds to missed shots, the one before or else the next; whose they are; the first of each shot."""
+    done = derive.chained(contract(ev(spark, sf))).filter(c("event").isin(*pbp.REBOUNDS))
+    return done.select("game_id", "event_id", "chain_id", "event")
+
+
+_BOUNDS = """, b as (select *, min(seq) over w as lo, max(seq) over w as hi from ev window w as (partition by game_id, period)),
+m as (select * replace (case when seq = lo then 'period_start' when seq = hi then 'period_end' else event end as event) from b)"""
+
+
+def bounded(spark, sf) -> DataFrame:
+    w = W.partitionBy("game_id", "period")
+    e = ev(spark, sf).withColumns({"lo": F.min("seq").over(w), "hi": F.max("seq").over(w)})
+    e = e.withColumn("event", F.when(c("seq") == c("lo"), "period_start").when(c("seq") == c("hi"), "period_end").otherwise(c("event")))
+    bound = c("event").isin("period_start", "period_end")
+    return contract(e.withColumns({"team_id": F.when(bound, "").otherwise(c("team_id")), "player_id": F.when(bound, "").otherwise(c("player_id"))}))
+
+
+@query(
+    "h3_starters_and_sweeps",
+    f"""{EV}{_BOUNDS}, k as (select *, case when event in ('fg2_make', 'fg2_miss', 'rebound', 'player_in') then 'in' when event = 'player_out' then 'out' end as kind from m),
+    s as (select *, coalesce(lag(kind) over (partition by game_id, period, team_id, player_id order by seq) = 'in', false) as was_in from k where kind is not null)
+    select game_id, period, team_id, player_id, bool_or(not was_in and event <> 'player_in') as starts, last(kind order by seq) = 'in' as swept from s group by all""",
+)
+def h3(spark, sf):
+    """Who starts a period and who is taken off at its end (H1, H3, H4)."""
+    done = derive.lined_up(bounded(spark, sf), F.lit(5)).filter((c("player_id") != "") & (c("event") != "d_standard_foul"))
+    return done.groupBy("game_id", "period", "team_id", "player_id").agg(F.bool_or(c("source") == "derived:starter").alias("starts"), F.bool_or(c("source") == "derived:lineup_sweep").alias("swept"))
+
+
+@query(
+    "i5_scoring_markers",
+    f"""{EV}, r as (select *, lag(event) over (partition by game_id order by seq) as pe, lag(team_id) over (partition by game_id order by seq) as pt from ev where event in ('fg2_make', 'fg2_miss', 'rebound'))
+    select game_id, event_id::varchar as chain_id, team_id, player_id from r where event <> 'rebound' and (pe is null or pe = 'rebound' or pt <> team_id)""",
+)
+def i5(spark, sf):
+    """A marker before the first shot of every scoring sequence."""
+    done = derive.scored_sequences(contract(ev(spark, sf))).filter(c("event") == "pot_poss_ending_scoring_opp")
+    return done.select("game_id", "chain_id", "team_id", "player_id")
+
+
 _RAW = "1 + (event_id % 13)"
 _KEY = """'MSG=' || k || '_ACT=' || (event_id % 4) || case when k in (1, 2) then case when event_type = 'view' then '_HAS=3PT' else '_NO=3PT' end when k = 3 then case when event_type = 'click' then '_HAS=MISS' else '_NO=MISS' end else '' end"""
 

@@ -54,6 +54,57 @@ def m4(spark, sf):
 _LINES = "select l_orderkey, l_partkey, l_suppkey, min_by(l_quantity, (l_shipdate, l_linenumber, l_quantity)) as quantity from lineitem where l_quantity > 5 and l_partkey % 10 <> 0 and l_suppkey % 7 <> 0 group by all"
 
 
+@query("m5_staged_profiles", "select c_custkey as ext_id, 'src' as identity, c_mktsegment as name, 'pending' as status from customer union all select -1, 'src', 'old', 'ready'")
+def m5(spark, sf):
+    old = spark.createDataFrame([(-1, "src", "old", "ready")], "ext_id long, identity string, name string, status string")
+    rows = read(spark, sf, "customer").select(c("c_custkey").alias("ext_id"), c("c_mktsegment").alias("name"), c("c_acctbal").alias("not_registered"))
+    return mt.staged_profiles(rows, old, ["identity", "ext_id"], {"identity": "src", "status": "pending"}, {})["profiles"]
+
+
+@query("m5_side_rows", "select distinct 'L' as league_code, c_nationkey as ext_team_id from customer")
+def m5_side(spark, sf):
+    old = spark.createDataFrame([], "ext_id long, identity string")
+    rows = read(spark, sf, "customer").select(c("c_custkey").alias("ext_id"), c("c_nationkey").alias("ext_team_id"))
+    return mt.staged_profiles(rows, old, ["identity", "ext_id"], {"identity": "src"}, {"leagues_teams": (["ext_team_id"], {"league_code": "L"})})["leagues_teams"]
+
+
+@query("m6_staged_rosters", "select 'L' as league_code, c_nationkey as ext_team_id, c_custkey as ext_player_id, c_mktsegment as number from customer where c_custkey % 6 <> 0")
+def m6(spark, sf):
+    rows = read(spark, sf, "customer").select(c("c_nationkey").alias("ext_team_id"), F.when(c("c_custkey") % 6 != 0, c("c_custkey")).alias("ext_player_id"), c("c_mktsegment").alias("number"))
+    old = spark.createDataFrame([], "league_code string, ext_team_id int, ext_player_id long, number string")
+    return mt.staged_rosters(rows, old, ["league_code", "ext_team_id", "ext_player_id"], {"league_code": "L"})
+
+
+_STATS = "select l_partkey as ext_player_id, '2024-25' as season, min_by(l_quantity, (l_quantity, l_tax)) as quantity from lineitem group by 1"
+
+
+@query("m7_staged_stats", f"select ext_player_id, season, case when ext_player_id % 5 = 0 then -1.0 else quantity end::double as quantity from ({_STATS})")
+def m7(spark, sf):
+    """Every fifth player's row is there already and stays."""
+    rows = read(spark, sf, "lineitem").select(c("l_partkey").alias("ext_player_id"), c("l_quantity").alias("quantity"))
+    old = rows.select("ext_player_id").distinct().filter("ext_player_id % 5 = 0").select("ext_player_id", F.lit("2024-25").alias("season"), F.lit(-1.0).alias("quantity"))
+    return mt.staged_stats(rows, old, ["ext_player_id", "season"], {"season": "2024-25"}, old, "ext_player_id")[0]
+
+
+@query("m12_clear", "select count(*) as n from customer where false")
+def m12(spark, sf):
+    return mt.cleared(read(spark, sf, "customer")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "m21_stamps",
+    f"""select coalesce(t.c_custkey, s.c_custkey) as c_custkey, case when t.c_custkey is null then 'new' else 'old' end as created,
+      case when t.c_custkey is not null and (s.c_custkey is null or (coalesce(t.c_acctbal, s.c_acctbal) is not distinct from t.c_acctbal and coalesce(t.c_mktsegment, s.c_mktsegment) is not distinct from t.c_mktsegment)) then 'old' else 'new' end as updated
+      from {T} t full join {S} s on t.c_custkey = s.c_custkey""",
+)
+def m21(spark, sf):
+    """Stamps: created on insert, updated on change only."""
+    t = target(spark, sf).withColumns({x: F.lit("2000-01-01").cast("timestamp") for x in mt.STAMPS})
+    done = mt.upsert(t, source(spark, sf), ["c_custkey"], "fill", now=F.lit("2024-01-01").cast("timestamp"))
+    stamp = {x: F.when(F.year(x) == 2024, "new").otherwise("old") for x in mt.STAMPS}
+    return done.select("c_custkey", stamp["created_at"].alias("created"), stamp["updated_at"].alias("updated"))
+
+
 @query("m8_merge", f"select l_orderkey, l_partkey + 1000000 as part_id, l_suppkey + 2000000 as supp_id, quantity from ({_LINES})")
 def m8(spark, sf):
     """Staging into an empty intermediate table: predicate, two foreign keys, rename, one row a key by write order."""
