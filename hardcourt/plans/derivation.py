@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from hardcourt.operators import box, derive, pbp
 from hardcourt.plans.events import EV, ev
 from hardcourt.plans.registry import query
+from hardcourt.sources.tables import read, written
 
 c = F.col
 
@@ -56,12 +57,12 @@ def n14(spark, sf):
 def p1(spark, sf):
     """Box scores of teams after the derivation (§2.P)."""
     done, games = completed(spark, sf)
-    return box.team_games(done, games)
+    return box.team_games(written(done), games)
 
 
 @query("p2_player_games")
 def p2(spark, sf):
-    return box.player_games(completed(spark, sf)[0])
+    return box.player_games(written(completed(spark, sf)[0]))
 
 
 # Parts of the derivation on the mapped events as they are, with the SQL of the same rule.
@@ -150,8 +151,6 @@ _KEY = """'MSG=' || k || '_ACT=' || (event_id % 4) || case when k in (1, 2) then
 @query("f1_event_key", f"select event_id, {_KEY} as event_key from (select *, {_RAW} as k from events)")
 def f1(spark, sf):
     """The archive's keys from raw rows."""
-    from hardcourt.sources.tables import read
-
     e = read(spark, sf, "events")
     raw = e.select("event_id", (1 + c("event_id") % 13).cast("string").alias("EVENTMSGTYPE"), (c("event_id") % 4).cast("string").alias("EVENTMSGACTIONTYPE"), F.when(c("event_type") == "view", "shot 3pt").alias("HOMEDESCRIPTION"), F.lit(None).cast("string").alias("NEUTRALDESCRIPTION"), F.when(c("event_type") == "click", "Miss free throw").alias("VISITORDESCRIPTION"))
     return pbp.event_key(raw).select("event_id", "event_key")
@@ -163,7 +162,5 @@ def f1(spark, sf):
        from (select event_id, 1 + event_id % 7 as p, (event_id % 5) * 60 + second(ts) as r from events)""",
 )
 def f2(spark, sf):
-    from hardcourt.sources.tables import read
-
     clock = F.concat_ws(":", c("event_id") % 5, F.date_format("ts", "ss"))
     return read(spark, sf, "events").select("event_id", pbp.elapsed(clock, 1 + c("event_id") % 7, F.lit(720), F.lit(300)).cast("int").alias("secs"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from hardcourt.operators import maintenance as mt
 from hardcourt.plans.registry import query
-from hardcourt.sources.tables import append, read
+from hardcourt.sources.tables import append, read, shared_folder
 
 c = F.col
 T = "(select c_custkey, case when c_custkey % 5 <> 0 then c_acctbal end as c_acctbal, c_mktsegment from customer where c_custkey % 3 <> 0)"
@@ -320,10 +322,7 @@ def o3(spark, sf):
 @query("a8_append", "select count(*) * 2 as n, count(c_mktsegment) * 2 as known from customer")
 def a8(spark, sf):
     """An append load, twice, read back."""
-    import uuid
-
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     for _ in range(2):
         append(read(spark, sf, "customer"), path, ["c_custkey", "c_mktsegment"])
     return spark.read.parquet(path).agg(F.count("*").alias("n"), F.count("c_mktsegment").alias("known"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,3 +35,19 @@ def append(df: DataFrame, path: str, columns: list[str]) -> None:
 def error_rows(df: DataFrame, phase: str, message: str, detail: list[str]) -> DataFrame:
     """The error sink's rows: phase, message and the detail as JSON."""
     return df.select(F.lit(phase).alias("phase"), F.lit(message).alias("message"), F.to_json(F.struct(*detail), {"ignoreNullFields": "false"}).alias("detail"))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the session names it; a local one only where none is set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df written once to the shared folder and read again: for what several joins read, safe from lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
