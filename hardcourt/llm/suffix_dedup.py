@@ -138,7 +138,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
     placed = going.select("doc_id", "pos", "near").distinct().join(matched, ["doc_id", "pos"], "left")
     placed = stored(placed.withColumn("marked", F.coalesce("marked", F.lit(False))))
     # a document's list is as long as the document at most
-    needed = unfinished(placed.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "near", "marked")).alias("found"))).distinct()
+    needed = stored(unfinished(placed.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "near", "marked")).alias("found"))).distinct())
     seen = placed.join(needed, "near", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("places"))
     edges = stored(edge_passages(rows, seen))
     more = of_several(edges, "whole").select("doc_id", F.col("start").alias("pos"))
