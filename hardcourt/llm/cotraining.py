@@ -6,8 +6,10 @@ in every round each is calibrated on labelled documents held out, and hands thos
 surest of, at a confidence that kept PRECISION there, to the other as pseudo-labels. At the end the two calibrated views
 are combined and every document is scored.
 
-Fitting uses at most FIT_ROWS documents (about; chosen by a hash of the id), labelled or not, whose features go to the
-driver; the models are small and of fixed size, and are broadcast. Scoring is one map-side pass over all texts.
+Fitting uses at most FIT_ROWS labelled documents (about: all of them where there are fewer, else a share by a hash of id
+and text) and a pool of at most FIT_ROWS unlabelled ones, picked apart so that neither crowds out the other. Their
+features go to the driver; rows that repeat id and text count once there. The models are small and of fixed size, and
+are broadcast. Scoring is one map-side pass over all texts.
 
 Nulls: a text counts as empty, language and source as a value of their own, length as 0; labels with a null are unknown.
 An id labelled more than once takes the worse label. Repeated rows are scored each; an empty table gives no rows; without
@@ -28,7 +30,7 @@ from pyspark.sql import types as T
 from hardcourt.llm.runtime import ship, table
 from hardcourt.llm.words import words
 
-FIT_ROWS = 24_000
+FIT_ROWS, PART = 24_000, 2048
 ROUNDS, HANDED, PRECISION = 3, 500, 0.97
 WORDS, SHAPES, SOURCES = 1 << 18, 64, 1 << 12
 CHOSEN, SURE = 128, 4.0
@@ -71,15 +73,23 @@ class View:
 
     def __init__(self, rows: list[np.ndarray], size: int, keep: range):
         self.size, self.keep = size, keep
-        self.ids = np.concatenate([np.asarray(r, np.int64) for r in rows]) if rows else np.zeros(0, np.int64)
-        self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        self.ids = np.concatenate(rows) if rows else np.zeros(0, np.uint32)
+        self.ends = np.cumsum([0, *map(len, rows)])
         self.n = len(rows)
 
+    def parts(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Features and the row of each, PART rows at a time: the driver never holds indexes of all at once."""
+        for a in range(0, self.n, PART):
+            b = min(self.n, a + PART)
+            yield self.ids[self.ends[a] : self.ends[b]], np.repeat(np.arange(a, b), np.diff(self.ends[a : b + 1]))
+
     def fit(self, y: np.ndarray, used: np.ndarray) -> None:
         """y: labels; used: which rows have one."""
-        of = used[self.row]
-        seen = np.bincount(self.ids[of], minlength=self.size).astype(float)
-        ones = np.bincount(self.ids[of], weights=y[self.row[of]].astype(float), minlength=self.size)
+        seen, ones = np.zeros(self.size), np.zeros(self.size)
+        for ids, row in self.parts():
+            of = used[row]
+            seen += np.bincount(ids[of], minlength=self.size)
+            ones += np.bincount(ids[of], weights=y[row[of]].astype(float), minlength=self.size)
         base = y[used].mean()
         z = np.abs(ones - seen * base) / np.sqrt(np.maximum(1e-9, seen * base * (1 - base)))
         z[seen < 5] = 0
@@ -88,9 +98,10 @@ class View:
         best = best[z[best] >= SURE]
         place = np.full(self.size, -1)
         place[best] = np.arange(len(best))
-        there = place[self.ids] >= 0
         x = np.zeros((self.n, len(best) + 1))
-        x[self.row[there], place[self.ids[there]]] = 1
+        for ids, row in self.parts():
+            there = place[ids] >= 0
+            x[row[there], place[ids[there]]] = 1
         x[:, -1] = 1
         w = newton(x[used], y[used].astype(float))
         self.logit = x @ w
@@ -160,26 +171,30 @@ def cotrained(text: list, meta: list, y: np.ndarray, held: np.ndarray) -> dict:
 
 
 COLUMNS = ("text", "lang", "source", "n_chars")
+PLACES = 1 << 40
 
 
 def fitted(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> dict[str, dict]:
-    """Models for `quality` and `toxic` from a bounded sample of docs."""
-    n = docs.count()
-    share = int(1_000_000 * min(1.0, rows / n)) if n else 0
-    place = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1_000_000))
-    marks = labels.filter(place < share).groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic")).limit(4 * rows)
+    """Models for `quality` and `toxic` from bounded samples of the labelled and the unlabelled docs."""
+    worse = labels.filter("doc_id is not null and (quality is not null or toxic is not null)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic"))
+    n, known = docs.count(), docs.select("doc_id").join(worse, "doc_id", "left_semi").count()
+    labelled, pool = (int(PLACES * min(1.0, rows / k)) if k else 0 for k in (known, n - known))
+    key = F.xxhash64("doc_id", "text")
+    place = F.pmod(F.col("key"), F.lit(PLACES))
+    found = docs.select("doc_id", key.alias("key")).filter(place < max(labelled, pool)).join(worse.withColumn("known", F.lit(True)), "doc_id", "left")
+    marks = found.filter(place < F.when(F.col("known"), labelled).otherwise(pool)).select(F.col("doc_id").alias("id"), F.col("key").alias("mark"), "quality", "toxic").dropDuplicates(["id", "mark"])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, langs, sources, sizes = (batch.column(k).to_pylist() for k in range(4))
             words_ = [np.asarray(text_features(t), "<u4").tobytes() for t in texts]
             metas = [np.asarray(meta_features(*m), "<u4").tobytes() for m in zip(langs, sources, sizes, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(4), batch.column(5), batch.column(6), pa.array(words_, pa.binary()), pa.array(metas, pa.binary())], ["doc_id", "quality", "toxic", "words", "meta"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4, 8)), pa.array(words_, pa.binary()), pa.array(metas, pa.binary())], ["doc_id", "quality", "toxic", "key", "words", "meta"])
 
-    # the sampled labels are bounded by 4 * rows, so they may be broadcast
-    sample = docs.filter(place < share).join(F.broadcast(marks), "doc_id", "left").select(*COLUMNS, F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic")
-    got = sample.mapInArrow(step, "doc_id long, quality int, toxic int, words binary, meta binary").toArrow().to_pydict()
-    order = np.argsort(np.array([-1 if i is None else i for i in got["doc_id"]], np.int64), kind="stable")
+    # the marks are about 2 * rows at most, so they may be broadcast
+    sample = docs.select("doc_id", *COLUMNS, key.alias("key")).join(F.broadcast(marks), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("mark"))).select(*COLUMNS, F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic", "key")
+    got = sample.mapInArrow(step, "doc_id long, quality int, toxic int, key long, words binary, meta binary").dropDuplicates(["doc_id", "key"]).toArrow().to_pydict()
+    order = np.lexsort((np.array(got["key"], np.int64), np.array([-1 if i is None else i for i in got["doc_id"]], np.int64)))
     text, meta = ([np.frombuffer(got[c][i], "<u4") for i in order] for c in ("words", "meta"))
     held = np.array([zlib.crc32(got["words"][i]) % 10 < 3 for i in order], bool)
     return {c: cotrained(text, meta, np.array([-1 if got[c][i] is None else got[c][i] for i in order], np.int64), held) for c in ("quality", "toxic")}

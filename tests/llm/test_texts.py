@@ -139,6 +139,28 @@ def test_cotraining_on_held_out_labels(spark):
     assert r[2] > 500 and r[0] > 0.98 and r[1] > 0.97
 
 
+def test_few_labels_all_reach_the_fit(spark):
+    """300 labels beside 10,000 documents: a share by the count of documents would take about 10 of them."""
+    sf = "/root/testdata/sf0.1"
+    df, known = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    few = known.orderBy(F.xxhash64("doc_id")).limit(300)
+    assert "text" in cotraining.fitted(df, few, rows=400)["quality"]
+    r = cotraining.scored(df, few, rows=400).join(known.join(few, "doc_id", "left_anti"), "doc_id").agg(F.avg(((F.col("p_quality") >= 0.5) == (F.col("quality") == 1)).cast("int"))).first()
+    assert r[0] > 0.9
+
+
+def test_rows_without_an_id_do_not_fill_the_sample(spark):
+    """Their hash is one value; and rows that repeat id and text reach the driver once."""
+    rows = [(None, f"text {i} of some words", "en", "s", 9) for i in range(3000)] + [(1, "the same", "en", "s", 8)] * 3000
+    seen, kept = [], cotraining.cotrained
+    try:
+        cotraining.cotrained = lambda text, *a: seen.append(len(text)) or kept(text, *a)
+        cotraining.fitted(docs(spark, rows=rows), labels(spark, [(1, 1, 0)]), rows=300)
+    finally:
+        cotraining.cotrained = kept
+    assert 200 < seen[0] < 400
+
+
 def test_cotraining_of_odd_tables(spark):
     got = cotraining.scored(docs(spark, clash=True), labels(spark, [(1, 1, None), (2, None, 0)])).collect()
     assert len(got) == 11 and all(r.keep for r in got)
