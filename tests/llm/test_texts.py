@@ -49,6 +49,13 @@ def test_boosting_adds_what_looks_alike(spark):
     assert sum("phone" in got[1000 + i] for i in range(20)) >= 15
 
 
+def test_decided_candidates_become_spans(spark):
+    texts = ["4111  1111  1111  1111", "4111 - 1111 - 1111 - 1111", "jo.do @ host.com", "jo [@] mail.host.com", "4111  1111  1111  1112", "jo @ home. Then", "jo@mail.host.com"]
+    df = spark.createDataFrame([(k, f"so {t}. Then so") for k, t in enumerate(texts)], "doc_id long, text string")
+    got = [r.t for r in pii.with_spans(df).select("doc_id", pii.redacted(F.col("text"), F.col("spans")).alias("t")).orderBy("doc_id").collect()]
+    assert got == [f"so {t}. Then so" for t in ("[CARD]", "[CARD]", "[EMAIL]", "[EMAIL]", texts[4], texts[5], "[EMAIL]")]
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "é mail a@b.co or 10.0.0.1, 4111 1111 1111 1111 end"), (2, "none"), (3, None)], "doc_id long, text string")
     rows = pii.with_spans(df).select("doc_id", pii.redacted(F.col("text"), F.col("base")).alias("t")).orderBy("doc_id").collect()
