@@ -1,6 +1,8 @@
 """License scans by patience alignment.
 
-A text that has a cue word is cut to a region round each cue (found without Python). There every template is aligned:
+A text that has a cue word (found without Python) is cut to a region round each cue. The cues of a template are so many of
+its rarest words that a text without any of them could not reach COVERAGE; the words of licensing are cues of all.
+In the region templates are aligned:
 words that occur once in the region and once in the template are anchors, the longest increasing subsequence of their
 places is kept, and the gaps between anchors are aligned the same way, down to gaps without anchors, where equal ends
 are matched. The share of the template's words that are aligned is its coverage; templates with COVERAGE or more count.
@@ -14,6 +16,8 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,10 +39,15 @@ TEMPLATES = {
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "BSD-3-Clause": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
+    "All-Rights-Reserved": ("All rights reserved.",),
     "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",),
 }
-CUES = (b"license", b"licensed", b"permission", b"redistribution", b"redistribute")
-GATE = r"(?i)licen[sc]e|permission|redistribut"
+#: Words of licensing: round each of them every template that has one is aligned.
+CUES = (b"license", b"licence", b"licensed", b"licenced", b"permission", b"redistribution", b"redistribute")
+#: Words too frequent in any text to be a template's own cues, unless it has no others.
+COMMON = {*b"released under the is to any person of this and in without work version program free you can it terms as published by either or at your option later may not use file except with that are code form subject for purpose all copies above notice appear provided following conditions met source 0 1 2 3 4 v".split()}
+#: Templates of fewer words than SHORT are looked for within one word more than they have.
+SHORT = 5
 
 
 def increasing(places: list[int]) -> list[int]:
@@ -89,23 +98,43 @@ def aligned(a: list, b: list, a0: int = 0, a1: int | None = None, b0: int = 0, b
 _TEMPLATES = [(name, words(t)) for name, texts in TEMPLATES.items() for t in texts]
 
 
+@cache
+def own_cues(least: float) -> list[frozenset[bytes]]:
+    """Per template its rarest words, one more than it may lack and still be covered by `least`."""
+    of = {w: len({name for name, t in _TEMPLATES if w in t}) for _, t in _TEMPLATES for w in t}
+    ranked = [sorted({*t}, key=lambda w: (w in COMMON, of[w], -len(w), w)) for _, t in _TEMPLATES]
+    return [frozenset(r[: len(t) - ceil(least * len(t) - 1e-9) + 1]) for r, (_, t) in zip(ranked, _TEMPLATES, strict=True)]
+
+
+def gate(least: float) -> str:
+    """What a text with any cue matches."""
+    return rf"(?i)(?<![a-z0-9])(?:{'|'.join(sorted(w.decode() for w in {*CUES}.union(*own_cues(least))))})(?![a-z0-9])"
+
+
 def scan(text: str | None, least: float = COVERAGE) -> list[tuple[str, float, int, int]]:
     """(license, coverage, first word, last word exclusive): the best template per stretch of text, in text order."""
     found = words(text)
-    cues = [i for i, w in enumerate(found) if w in CUES]
+    own = own_cues(least)
+    wanted = {*CUES}.union(*own)
+    cues = [(i, w) for i, w in enumerate(found) if w in wanted]
     hits = []
-    for name, template in _TEMPLATES:
-        own = {i for i, w in enumerate(template) if w in CUES}
+    for (name, template), mine in zip(_TEMPLATES, own, strict=True):
+        general = {i for i, w in enumerate(template) if w in CUES}
         n = len(template)
-        for cue in cues:
-            a, b = max(0, cue - max(own) - 3), min(len(found), cue + n - min(own) + 3)
+        slack = 1 if n < SHORT else 3
+        for cue, word in cues:
+            places = general if word in CUES else {i for i, w in enumerate(template) if w == word} if word in mine else None
+            if not places:
+                continue
+            a, b = max(0, cue - max(places) - slack), min(len(found), cue + n - min(places) + slack)
             pairs = aligned(found[a:b], template)
             # matches far from the rest (a stray common word) do not stretch the span beyond the template's length
             inside = [(x, y) for x, y in pairs if abs((x + a - cue) - y) <= 2 * n]
             share = len(inside) / n
             if share >= least:
                 first, last = a + inside[0][0], a + inside[-1][0] + 1
-                hits.append((-share * n, first, last, name, share))
+                if n >= SHORT or last - first <= n + 1:
+                    hits.append((-share * n, first, last, name, share))
     out: list[tuple[str, float, int, int]] = []
     for _, first, last, name, share in sorted({*hits}):
         if all(last <= f or first >= e for _, _, f, e in out):
@@ -125,7 +154,7 @@ def licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", least: fl
             kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(rest, kinds, strict=True))], [key, "license", "coverage", "first_word", "last_word"])
 
-    return docs.select(key, docs[text].alias("text")).filter(F.col("text").rlike(GATE)).mapInArrow(step, f"{key} {kind}, license string, coverage double, first_word long, last_word long")
+    return docs.select(key, docs[text].alias("text")).filter(F.col("text").rlike(gate(least))).mapInArrow(step, f"{key} {kind}, license string, coverage double, first_word long, last_word long")
 
 
 def op4_license_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -132,6 +132,15 @@ def test_licenses(spark):
     assert license_scan.licenses(docs(spark, rows=[])).count() == 0
 
 
+def test_rights_and_spellings(spark):
+    opening = license_scan.TEMPLATES["MIT"][2]
+    texts = ["Text. All rights reserved. More.", "Released under the MIT Licence.", opening.replace("Permission", "Leave"), license_scan.TEMPLATES["BSD-3-Clause"][0].replace("Redistribution", "Distribution"), "all of the many rights we had were then reserved", "all the rights. All rights reserved, all rights reserved"]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.license, r.first_word, r.last_word) for r in license_scan.licenses(df).collect())
+    n, m = (len(license_scan.words(t)) for t in texts[2:4])
+    assert got == [(0, "All-Rights-Reserved", 1, 4), (1, "MIT", 0, 4), (2, "MIT", 1, n), (3, "BSD-3-Clause", 1, m), (5, "All-Rights-Reserved", 3, 6), (5, "All-Rights-Reserved", 6, 9)]
+
+
 def test_patience():
     assert license_scan.increasing([3, 1, 2, 5, 4]) in ([1, 2, 3], [1, 2, 4])
     assert license_scan.aligned([*"axbycz"], [*"abc"]) == [(0, 0), (2, 1), (4, 2)]
