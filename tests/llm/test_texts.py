@@ -56,6 +56,14 @@ def test_decided_candidates_become_spans(spark):
     assert got == [f"so {t}. Then so" for t in ("[CARD]", "[CARD]", "[EMAIL]", "[EMAIL]", texts[4], texts[5], "[EMAIL]")]
 
 
+def test_sentence_ends_are_no_addresses(spark):
+    rows = [(i, f"mail jo{i}@mail.example.com or as atatti. Inthin esth atannt. Thwhou and look at example.com") for i in range(200)]
+    got = pii.with_spans(spark.createDataFrame(rows, "doc_id long, text string")).select(pii.listed(F.col("spans")).alias("s")).collect()
+    assert all(r.s.count("email") == 1 for r in got)
+    decided = spark.createDataFrame(rows[:1], "doc_id long, text string").select(F.explode(pii.candidates(F.col("text"))).alias("c")).select("c.*")
+    assert {r.label for r in decided.filter("kind = 0").collect()} == {0, 1}
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "é mail a@b.co or 10.0.0.1, 4111 1111 1111 1111 end"), (2, "none"), (3, None)], "doc_id long, text string")
     rows = pii.with_spans(df).select("doc_id", pii.redacted(F.col("text"), F.col("base")).alias("t")).orderBy("doc_id").collect()
