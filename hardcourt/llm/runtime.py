@@ -27,9 +27,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it; a local one only where none is set."""
+    """The folder all executors share, as the session names it. Only a local session, whose one machine is all there is,
+    gets a temporary one where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -37,10 +41,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stored(df: DataFrame) -> DataFrame:
     """df written to a table in the shared folder and read again: computed once, lineage cut, safe from lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession).stored(df)
+
+
+class Scratch:
+    """Tables in the shared folder that one computation writes, and drops as soon as nothing needs them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        path = f"{shared_dir(self.spark).rstrip('/')}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (path, out)
+        return out
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Only of tables whose every use has been written already."""
+        for table_ in tables:
+            if id(table_) in self.paths:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(table_))[0])
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

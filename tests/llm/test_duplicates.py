@@ -74,13 +74,60 @@ def test_near_duplicates_by_force(spark):
     assert {r.doc_id: r.class_id for r in got.collect()} == classes_by_force(rows)
 
 
-def test_large_buckets_are_searched_by_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("block", [512, 2])
+def test_large_buckets_are_searched_by_blocks(spark, monkeypatch, block):
     monkeypatch.setattr(om, "SMALL", 3)
+    monkeypatch.setattr(om, "BLOCK", block)
     rows = near_copies(8)
     got = om.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.doc_id: r.class_id for r in got.collect()} == classes_by_force(rows)
 
 
+def test_blocks_join_all_that_can_be_joined(spark):
+    """One bucket that holds everything, each text a component of its own but for one large one."""
+    rows = near_copies(12)
+    texts_ = {i: om.kmers(words(t)) for i, t in rows}
+    big = {i for i in texts_ if i % 8 < 4}
+    schema = "key long, node long, root long, n int"
+    members = spark.createDataFrame([(1, i, -1 if i in big else i, len(g)) for i, g in texts_.items()], schema)
+    shingles = spark.createDataFrame([(i, bytearray(g.astype("<u8").tobytes())) for i, g in texts_.items()], "node long, g binary")
+    for block in (512, 7):
+        om.BLOCK, kept = block, om.BLOCK
+        try:
+            links = [(r.a, r.b) for r in om.straggler_links(members, shingles).collect()]
+        finally:
+            om.BLOCK = kept
+        parent = {i: -1 if i in big else i for i in texts_} | {-1: -1}
+
+        def top(i, parent=parent):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for a, b in links:
+            parent[max(top(a), top(b))] = min(top(a), top(b))
+        want = {**parent}
+        for a in texts_:
+            for b in texts_:
+                if a < b and om.similarity(texts_[a], texts_[b]) >= 0.8 - 1e-9:
+                    assert top(a) == top(b), (block, a, b)
+        assert want == parent
+
+
+def test_ids_with_several_texts(spark):
+    """An id's texts are documents of their own; the result does not hang on the order of rows."""
+    w, v = texts(3, 2)
+    edit = [" ".join([*t.split(" ")[:-1], "other"]) for t in (w, v)]
+    rows = [(5, w), (5, v), (7, edit[0]), (8, edit[1]), (None, w), (None, "alone without an id"), (None, None), (0, "")]
+    rnd = random.Random(4)
+    for _ in range(4):
+        got = sorted((r.doc_id, r.class_id) for r in om.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+        assert got == [(0, 0), (5, 5), (7, 5), (8, 5)]
+        kept = {(r.doc_id, r.text) for r in om.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert kept == {(5, w), (5, v), (None, "alone without an id"), (0, "")}
+        rnd.shuffle(rows)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = {r.doc_id: r.class_id for r in om.near_duplicates(docs(spark, clash=True)).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 6, 7: 7, 8: 8, 9: 9}

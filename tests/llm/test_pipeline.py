@@ -48,3 +48,4 @@ def test_stages_of_odd_tables(spark):
 def test_repeated_rows_leave_one(spark):
     kept = cp.keep_one_of_near_duplicates(spark, docs(spark), SF).collect()
     assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 3, 5, 6, 7, 8, 9]
+    assert cp.keep_one_of_near_duplicates(spark, docs(spark, rows=[]), SF).count() == 0
