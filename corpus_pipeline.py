@@ -1,8 +1,8 @@
 """The corpus pipeline: stages over documents, each on all that its predecessor kept.
 
 Every stage but the last returns the columns of its input, in order; columns beyond those of `documents` pass through
-whatever they are called. Nulls, repeated rows and empty tables are treated as the stages' operators say; rows without
-an id are no near-duplicates of anything and stay.
+whatever they are called. Nulls, repeated rows and empty tables are treated as the stages' operators say; rows that share
+an id but not their text are documents of their own.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from hardcourt.llm.cotraining import scored
 from hardcourt.llm.decontaminate import contamination
-from hardcourt.llm.order_minhash import near_duplicates
+from hardcourt.llm.order_minhash import one_of_each
 from hardcourt.llm.packing import packed, tokenizer_path, whole_documents
 from hardcourt.llm.pii import redacted, with_spans
 from hardcourt.llm.runtime import set_apart, stored, table
@@ -27,11 +27,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, the one of least id; of rows that repeat an id, one."""
+    """One row of each class of near-duplicates, the one of least id, else by a digest of the text. Rows count, not ids."""
     rows, names = set_apart(docs, DOCUMENT)
-    others = near_duplicates(rows).filter("doc_id <> class_id").select("doc_id")
-    kept = rows.filter("doc_id is not null").join(others, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return kept.select(*rows.columns).unionByName(rows.filter("doc_id is null")).toDF(*names)
+    return one_of_each(rows).toDF(*names)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
