@@ -4,22 +4,27 @@ Suffixes are kept at minimiser positions only: of every WINDOW consecutive SEED-
 occurrences of a passage keep the same suffixes, whatever surrounds them. Any passage of LEAST words or more has a kept
 suffix within its first WINDOW words, hence with NEAR = LEAST - WINDOW + 1 words of the passage behind it.
 
-1. The kept suffixes are sorted and grouped by their first NEAR words (as hashes). Where neighbours agree in them but are
-   of different documents, the suffixes go on.
-2. They are compared to the right: suffixes that agree in LEAST words with one of another document mark those words.
-3. The edges of passages are found by extending left (up to WINDOW - 1 words) and right: wherever a suffix stands beside
-   unmarked words in one of its documents, the passages of LEAST words whose first kept suffix it is are compared, in all
-   documents that have it.
-
-Every word that lies in a run of LEAST words which occurs in two documents or more is found, and no other. Groups are
-counted by partial aggregates and joined back by key, so a passage in a third of all texts is spread over many tasks.
-
-Null texts count as empty. Documents with equal ids count as one document. Empty tables give no rows; other columns are
-not read. Texts are used whole.
+1. Suffixes whose first NEAR words, as a hash, occur in no other document are left out: they can't be in a passage.
+2. The others get LEAST words to their right and the WINDOW - 1 words to their left, and are put in the order of the words
+   to the right, then those to the left: range partitions, sorted each.
+3. Neighbours in that order that are of different documents are compared word by word and extended right and left. What
+   agrees over LEAST words or more is a passage in both.
+4. Suffixes with the same NEAR words are a run of neighbours. In a run of three or more, or one that a partition's end
+   cuts, a suffix may share a passage with one that isn't its neighbour. Where a suffix of such a run has passages of
+   LEAST words that its neighbours did not show, all of the run's are compared by a digest of their words.
+
+Every word that lies in a run of LEAST words which occurs in two documents or more is found, and no other. Runs are
+streamed, not gathered, and digests are counted by partial aggregates and joined back by key, so a passage in a third of
+all texts is spread over many tasks.
+
+Null texts count as empty. Rows with equal ids count as one document, rows without an id are not searched. Ties: suffixes
+that agree in all words go by id and place; passages that touch are one. Empty tables give no rows; other columns are not
+read. Texts of any length are used whole.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hardcourt.llm.runtime import ship, stored, table
+from hardcourt.llm.runtime import Scratch, ship, table
 from hardcourt.llm.words import grams, hashes, words
 
 LEAST, WINDOW, SEED = 50, 25, 6
 NEAR = LEAST - WINDOW + 1
+_BATCH = 20_000
 
 
 def chosen(seeds: np.ndarray) -> np.ndarray:
@@ -42,117 +48,220 @@ def chosen(seeds: np.ndarray) -> np.ndarray:
     return (len(seeds) - 1 - (np.arange(len(view)) + view.argmin(axis=1)))[::-1]
 
 
+def anchors(h: np.ndarray) -> np.ndarray:
+    """For each start of LEAST words the place of its first kept suffix."""
+    return chosen(grams(h, SEED))[: max(0, len(h) - LEAST + 1)]
+
+
 def suffixes(docs: DataFrame) -> DataFrame:
-    """(doc_id, pos, near, far): kept suffixes with the hashes of their first NEAR and (if there) LEAST words."""
+    """(doc_id, pos, near): kept suffixes with the hash of their first NEAR words."""
     ship(docs.sparkSession)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, places, near, far = [], [], [], []
+            ids, places, near, size = [], [], [], 0
 
-            def out(ids=ids, places=places, near=near, far=far):
-                where = np.concatenate(places)
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.array(ids), [len(p) for p in places])), pa.array(where.astype(np.int32)), pa.array(np.concatenate(near).view(np.int64)), pa.array(*_filled(far))],
-                    ["doc_id", "pos", "near", "far"],
-                )
+            def out(ids=ids, places=places, near=near):
+                docs_ = np.repeat(np.array(ids, np.int64), [len(p) for p in places])
+                return pa.RecordBatch.from_arrays([pa.array(docs_), pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(near).view(np.int64))], ["doc_id", "pos", "near"])
 
-            size = 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 h = hashes(words(text))
-                if doc is None or len(h) < LEAST:
+                if len(h) < LEAST:
                     continue
-                at = np.unique(chosen(grams(h, SEED)))
-                at = at[at + NEAR <= len(h)]
+                at = np.unique(anchors(h))
                 ids.append(doc)
                 places.append(at)
                 near.append(grams(h, NEAR)[at])
-                whole, full = grams(h, LEAST), at + LEAST <= len(h)
-                far.append((np.where(full, whole[np.minimum(at, len(whole) - 1)], 0).view(np.int64), ~full))
                 size += len(at)
                 if size > 50_000:
                     yield out()
                     size = 0
-                    for x in (ids, places, near, far):
+                    for x in (ids, places, near):
                         x.clear()
             if ids:
                 yield out()
 
-    return docs.select("doc_id", "text").mapInArrow(step, "doc_id long, pos int, near long, far long")
-
+    return docs.select("doc_id", "text").mapInArrow(step, "doc_id long, pos int, near long")
 
-def _filled(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple:
-    return np.concatenate([v for v, _ in parts]), pa.int64(), np.concatenate([m for _, m in parts])
 
-
-def of_several(rows: DataFrame, key: str) -> DataFrame:
+def of_several(rows: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """The rows whose key occurs in more than one document.
 
     The keys are written first, so that the join is of two plain tables and Spark may split a key with many rows.
     """
-    keys = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1")).filter("d0 < d1").select(key)
-    return rows.join(stored(keys), key)
+    keys = rows.groupBy(key).agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1")).filter("d0 < d1").select(key)
+    return rows.join(scratch.stored(keys), key)
 
 
-def unfinished(lists: DataFrame) -> DataFrame:
-    """(near): of suffixes that stand beside words which no mark covers. lists: found, array of (pos, near, marked)."""
+SUFFIX = "doc_id long, pos int, near long, lo int, hi int, right binary, left binary"
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for found in batch.column(0).to_pylist():
-                at = np.array([s["pos"] for s in found], np.int64)
-                marked = at[[s["marked"] for s in found]]
-                size = int(at.max()) + LEAST + 1
-                cover = np.cumsum(np.bincount(marked, minlength=size + LEAST) - np.bincount(marked + LEAST, minlength=size + LEAST)) > 0
-                total = np.append(0, np.cumsum(cover))
-                low = np.maximum(0, at - WINDOW + 1)
-                rest = total[at + LEAST] - total[low] < at + LEAST - low
-                if rest.any():
-                    near = np.array([s["near"] for s in found], np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(near[rest]))], ["near"])
-
-    return lists.select("found").mapInArrow(step, "near long")
-
-
-def edge_passages(docs: DataFrame, seen: DataFrame) -> DataFrame:
-    """(doc_id, whole, start): the passages of LEAST words whose first kept suffix is listed (seen: doc_id, places)."""
+
+def contents(docs: DataFrame, seen: DataFrame) -> DataFrame:
+    """The suffixes listed (seen: doc_id, places) with their words to the right and, in reverse, to the left.
+
+    A passage of LEAST words whose first kept suffix it is starts lo to hi words before it.
+    """
     ship(docs.sparkSession)
+    names = [x.split()[0] for x in SUFFIX.split(", ")]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
         for batch in batches:
             for doc, text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                h = hashes(words(text))
-                n = len(h) - LEAST + 1
-                if n > 0:
-                    at = np.flatnonzero(np.isin(chosen(grams(h, SEED))[:n], places))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), doc)), pa.array(grams(h, LEAST)[at].view(np.int64)), pa.array(at.astype(np.int32))], ["doc_id", "whole", "start"])
+                found = words(text)
+                h = hashes(found)
+                if len(h) < LEAST:
+                    continue
+                starts, near = anchors(h), grams(h, NEAR).view(np.int64)
+                for p in np.intersect1d(starts, places).tolist():
+                    s0, s1 = np.searchsorted(starts, p, "left"), np.searchsorted(starts, p, "right") - 1
+                    rows.append((doc, p, near[p], p - s1, p - s0, b" ".join(found[p : p + LEAST]), b" ".join(found[max(0, p - WINDOW + 1) : p][::-1])))
+                if len(rows) >= _BATCH:
+                    yield out()
+                    rows.clear()
+        if rows:
+            yield out()
+
+    return docs.select("doc_id", "text").join(seen, "doc_id").mapInArrow(step, SUFFIX)
+
+
+def common(a: bytes, b: bytes) -> int:
+    """Number of words that both begin with."""
+    if a == b:
+        return a.count(b" ") + 1 if a else 0
+    n = min(len(a), len(b))
+    differ = np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)
+    i = int(differ.argmax()) if n and differ.any() else n
+    if i == n and n:  # the shorter is all there
+        return a.count(b" ", 0, n) + int((a if len(a) > n else b)[n] == 0x20)
+    return a.count(b" ", 0, i)
+
+
+class Run:
+    """Suffixes with the same NEAR words: how many there are, and how many have shown all their passages."""
+
+    def __init__(self, near: int, cut: bool):
+        self.near, self.cut, self.n, self.done = near, cut, 0, 0
+
+    def open(self) -> bool:
+        return self.done < self.n and (self.cut or self.n > 2)
+
+
+class Suffix:
+    __slots__ = ("doc", "done", "hi", "left", "lo", "pos", "right", "run")
+
+    def __init__(self, doc, pos, lo, hi, right, left, run):
+        self.doc, self.pos, self.lo, self.hi, self.right, self.left, self.run, self.done = doc, pos, lo, hi, right, left, run, False
+
+    def extended(self, left: int, right: int) -> None:
+        if not self.done and left >= self.hi and right >= LEAST - self.lo:
+            self.done = True
+            self.run.done += 1
+
+
+def neighbours(ordered: DataFrame) -> DataFrame:
+    """(doc_id, start, length, near) from suffixes in order: passages, and in rows of their own runs to be looked at again."""
+    names = ["doc_id", "start", "length", "near"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        last = other = run = None  # other: the last suffix of another document than `last`
+        for batch in batches:
+            for doc, pos, near, lo, hi, right, left in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if run is None or near != run.near:
+                    if run is not None and run.open():
+                        rows.append((None, None, None, run.near))
+                    run = Run(near, run is None)
+                run.n += 1
+                x = Suffix(doc, pos, lo, hi, right, left, run)
+                y = last if last is not None and last.doc != doc else other
+                if y is not None and y.run is run:
+                    r, k = common(right, y.right), common(left, y.left)
+                    if r + k >= LEAST:
+                        for s in (x, y):
+                            s.extended(k, r)
+                            rows.append((s.doc, s.pos - k, r + k, None))
+                if last is not None and last.doc != doc:
+                    other = last
+                last = x
+            if len(rows) >= _BATCH:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                rows.clear()
+        if run is not None:
+            run.cut = True
+            if run.open():
+                rows.append((None, None, None, run.near))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    return ordered.mapInArrow(step, "doc_id long, start int, length int, near long")
+
+
+def digests(suffix_rows: DataFrame) -> DataFrame:
+    """(doc_id, whole, start): a digest of every passage of LEAST words whose first kept suffix is one of these."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, wholes, starts = [], [], []
+            for doc, pos, _, lo, hi, right, left in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                around = [*left.split()[::-1][-hi:], *right.split()] if hi else right.split()
+                for k in range(hi - lo + 1):
+                    ids.append(doc)
+                    starts.append(pos - hi + k)
+                    wholes.append(hashlib.blake2b(b" ".join(around[k : k + LEAST]), digest_size=16).digest())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(wholes, pa.binary()), pa.array(starts, pa.int32())], ["doc_id", "whole", "start"])
+
+    return suffix_rows.select(*(x.split()[0] for x in SUFFIX.split(", "))).mapInArrow(step, "doc_id long, whole binary, start int")
+
+
+SPANS = "n_repeated long, spans array<struct<start:int,length:int>>"
+
+
+def joined(marks: DataFrame) -> DataFrame:
+    """(doc_id, n_repeated, spans) from (doc_id, start, length), spans that touch as one. A document has no more marks
+    than words."""
+    pair = pa.struct([("start", pa.int32()), ("length", pa.int32())])
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            totals, spans = [], []
+            for found in batch.column(1).to_pylist():
+                out: list[list[int]] = []
+                for start, length in sorted({(s["start"], s["length"]) for s in found}):
+                    if out and start <= out[-1][0] + out[-1][1]:
+                        out[-1][1] = max(out[-1][1], start + length - out[-1][0])
+                    else:
+                        out.append([start, length])
+                totals.append(sum(n for _, n in out))
+                spans.append([{"start": s, "length": n} for s, n in out])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(totals, pa.int64()), pa.array(spans, pa.list_(pair))], ["doc_id", "n_repeated", "spans"])
 
-    return docs.select("doc_id", "text").join(seen, "doc_id").mapInArrow(step, "doc_id long, whole long, start int")
+    return marks.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("found")).mapInArrow(step, f"doc_id long, {SPANS}")
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_repeated, spans) for documents with repeated passages; spans: array of (start, length) in words, joined."""
+    scratch = Scratch(docs.sparkSession)
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text")).filter("doc_id is not null")
-    going = stored(of_several(stored(suffixes(rows)), "near").select("doc_id", "pos", "near", "far"))
-    matched = of_several(going, "far").select("doc_id", "pos").distinct().withColumn("marked", F.lit(True))
-    placed = going.select("doc_id", "pos", "near").distinct().join(matched, ["doc_id", "pos"], "left")
-    placed = stored(placed.withColumn("marked", F.coalesce("marked", F.lit(False))))
+    every = scratch.stored(suffixes(rows))
     # a document's list is as long as the document at most
-    needed = stored(unfinished(placed.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "near", "marked")).alias("found"))).distinct())
-    seen = placed.join(needed, "near", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("places"))
-    edges = stored(edge_passages(rows, seen))
-    more = of_several(edges, "whole").select("doc_id", F.col("start").alias("pos"))
-    marks = placed.filter("marked").select("doc_id", "pos").unionByName(more).groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("at"))
-    empty = F.expr("cast(array() as array<struct<start:int,length:int>>)")
-
-    def join(done, pos):
-        last = F.element_at(done, -1)
-        touches = (F.size(done) > 0) & (pos <= F.try_element_at(done, F.lit(-1))["start"] + F.try_element_at(done, F.lit(-1))["length"])
-        grown = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(last["start"].alias("start"), (pos + LEAST - last["start"]).alias("length"))))
-        return F.when(touches, grown).otherwise(F.concat(done, F.array(F.struct(pos.alias("start"), F.lit(LEAST).alias("length")))))
-
-    spans = marks.select("doc_id", F.aggregate("at", empty, join).alias("spans"))
-    return spans.select("doc_id", F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"]).alias("n_repeated"), "spans")
+    seen = scratch.stored(of_several(every, "near", scratch).groupBy("doc_id").agg(F.collect_set("pos").alias("places")))
+    scratch.drop(every)
+    held = scratch.stored(contents(rows, seen))
+    scratch.drop(seen)
+    order = ("right", "left", "doc_id", "pos")
+    found = scratch.stored(neighbours(held.repartitionByRange(*order).sortWithinPartitions(*order)))
+    again = scratch.stored(digests(held.join(found.filter("near is not null").select("near").distinct(), "near", "left_semi")))
+    scratch.drop(held)
+    more = of_several(again, "whole", scratch).select("doc_id", "start", F.lit(LEAST).alias("length"))
+    return joined(found.filter("doc_id is not null").select("doc_id", "start", "length").unionByName(more))
 
 
 def op2_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
