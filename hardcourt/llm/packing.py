@@ -10,8 +10,12 @@ are powers of two, which need no padding.
 Each partition packs its own rows as they come, with at most WAITING examples in memory; nothing is shuffled, and a lost
 partition is packed again from its own input, alike. A sequence's number holds the partition's number in its upper bits.
 
+Instruction data bears loss on some of its ids only, and MAX_LOSS binds; of whole documents every id bears loss, their
+vectors are (n, 1, n), and they are packed with a loss limit of CAPACITY, so that the heuristic takes the longest that fits.
+
 A null text counts as empty; with the end-of-document id every example has at least one id. Repeated rows are packed
-each; an empty table gives no rows; other columns are not read. Texts of any length are packed whole.
+each; an empty table gives no rows; other columns are not read. Texts of any length are packed whole. Of examples with
+equal products the one in the lowest slot is placed first.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark.sql import functions as F
 
 from hardcourt.llm.runtime import ship, table
 
-CAPACITY, MAX_SEGMENTS, MAX_LOSS = 1024, 64, 1024
+CAPACITY, MAX_SEGMENTS, MAX_LOSS = 1024, 64, 640
 END = 0
 WAITING = 512
 CACHE, LONGEST = 1 << 19, 64
@@ -38,6 +42,7 @@ CACHE, LONGEST = 1 << 19, 64
 #: Fixed value: how a byte-level vocabulary of this family cuts a text into pre-tokens.
 PRETOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _BREAK = re.compile(r"\s \s|\s \Z")
+_ODD_SPACES = ("\t", "\r", "\v", "\f", "\x1c", "\x1d", "\x1e", "\x1f", "  ", " \n", "\n ", "\0")
 _ids: dict = {}
 
 
@@ -94,11 +99,16 @@ class Ids(dict):
     def of(self, text: str) -> bytes:
         if not text:
             return b""
-        if _BREAK.search(text) or any(s in text for s in self.special):
+        if any(s in text for s in self.special):
             return self.whole(text)
-        first, *rest = text.split(" ")
-        get = self.__getitem__
-        return (get(first) if first else b"") + b"".join([get(" " + w) for w in rest])
+        if text[-1] == " " or not text.isascii() or any(s in text for s in _ODD_SPACES):
+            if _BREAK.search(text):
+                return self.whole(text)
+            first, *rest = text.split(" ")
+            words = [first, *(f" {w}" for w in rest)]
+        else:
+            words = text.replace(" ", "\0 ").split("\0")
+        return b"".join(map(self.__getitem__, words if words[0] else words[1:]))
 
 
 def ids_of(path: str) -> Ids:
@@ -209,7 +219,7 @@ class Packer:
 OUT = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
 
 
-def packed(examples: DataFrame, path: str, key: str = "doc_id", capacity: int = CAPACITY, segments: int = MAX_SEGMENTS, loss: int = MAX_LOSS) -> DataFrame:
+def packed(examples: DataFrame, path: str, key: str = "doc_id", capacity: int = CAPACITY, segments: int = MAX_SEGMENTS, loss: int = CAPACITY) -> DataFrame:
     """Pieces of all rows of examples: (key, parts), parts an array of (text, loss): the texts joined are the example.
 
     path: a tokenizers file. The end-of-document id bears loss if the last part does.
@@ -271,3 +281,8 @@ def tokenizer_path() -> str:
 
 def op7_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(whole_documents(table(spark, sf_dir, "documents")), tokenizer_path())
+
+
+def packed_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instruction data: what the assistant says bears loss, and all three limits bind."""
+    return packed(conversations(table(spark, sf_dir, "conversations")), tokenizer_path(), key="conv_id", loss=MAX_LOSS)

@@ -7,7 +7,7 @@ from hardcourt.llm.decontaminate import OP10_SQL, op10_decontaminate
 from hardcourt.llm.license_scan import op4_license_alignment
 from hardcourt.llm.media_avi import op8_avi_media
 from hardcourt.llm.order_minhash import op6_order_minhash
-from hardcourt.llm.packing import op7_vector_packing
+from hardcourt.llm.packing import op7_vector_packing, packed_conversations
 from hardcourt.llm.pii import op3_personal_data
 from hardcourt.llm.suffix_dedup import op2_sparse_suffixes
 from hardcourt.llm.token_counts import op5_token_counts
@@ -26,6 +26,7 @@ QUERIES = {
         op8_avi_media,
         op9_host_reputation,
         op10_decontaminate,
+        packed_conversations,
     )
 }
 ORACLES = {"op9_host_reputation": OP9_SQL, "op10_decontaminate": OP10_SQL}
