@@ -1,16 +1,17 @@
 """Token counts in one map-side pass over the texts, by two tiers of look-up.
 
-The first tier is a compact table of the pre-tokens most frequent in the whole corpus with their lengths in tokens,
-broadcast to every worker; the second a cache in each Python worker, filled by encoding what the table lacks. No
-pre-token is shuffled: to find the frequent ones each partition keeps a bounded summary of its own, and only the
-summaries meet.
+The first tier is a compact table of frequent pre-tokens with their lengths in tokens, broadcast to every worker; the
+second a cache in each Python worker, filled by encoding what the table lacks. No pre-token is shuffled: the frequent ones
+are counted in a sample of about SAMPLE texts, picked by a hash of id and text. Each task hands the driver one summary of
+its part of the sample, of at most SUMMARY words; the driver takes one summary at a time into a tally of at most four
+times as many. Which words the table holds decides how fast a text is counted, never the count.
 
 A pre-token is a word between single spaces. The tokenizer's vocabulary has no piece in which a space follows another
 character, so no merge crosses that border and the counts of the words add up exactly. Texts in which spaces repeat,
 lead, trail or are written as the tokenizer's own space mark are encoded whole.
 
 A null text counts as empty: 0 bytes, 0 tokens. Repeated rows are counted each; an empty table gives no rows; other
-columns are not read. Texts of any length are counted whole.
+columns are not read. Texts of any length are counted whole. Of words equally frequent in the sample the lesser goes first.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hardcourt.llm.runtime import ship, stored, table
+from hardcourt.llm.runtime import ship, table
 
-#: Entries of the broadcast table, counters of a partition's summary, entries of a worker's cache, longest cached word.
-TABLE, SUMMARY, CACHE, LONGEST = 1 << 16, 1 << 15, 1 << 18, 64
+#: Texts sampled, entries of the broadcast table, of a task's summary and of a worker's cache; longest cached word.
+SAMPLE, TABLE, SUMMARY, CACHE, LONGEST = 10_000, 1 << 16, 1 << 14, 1 << 18, 64
+PLACES = 1 << 40
 LIMIT = 4096
 MARK = "▁"
 
@@ -67,26 +69,35 @@ class Lengths(dict):
 _tiers: dict[tuple, Lengths] = {}
 
 
-def frequent_words(texts: DataFrame) -> DataFrame:
-    """(word, n): words that are one in TABLE or more of all words counted, so TABLE words at most.
+def cut(seen: Counter, most: int) -> Counter:
+    """The most frequent words, of equals the lesser ones."""
+    return Counter(dict(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:most]))
 
-    They come from summaries of at most SUMMARY counters per partition.
-    """
+
+def frequent_words(rows: DataFrame, key: str) -> list[str]:
+    """At most TABLE words of at most LONGEST characters that occur more than once in a sample of the texts."""
+    n = rows.count()
+    share = int(PLACES * min(1.0, SAMPLE / n)) if n else 0
+    sample = rows.filter(F.pmod(F.xxhash64(key, "text"), F.lit(PLACES)) < share).select("text")
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                if text and splits(text):
-                    seen.update(text.split(" "))
-                if len(seen) > 8 * SUMMARY:  # the rare half goes, each of its words in at most a small part of the texts
-                    seen = Counter(dict(seen.most_common(4 * SUMMARY)))
-        top = [(w, n) for w, n in seen.most_common(SUMMARY) if len(w) <= LONGEST and n > 1]
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["word", "n"])
-
-    sums = stored(texts.mapInArrow(summary, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    total = sums.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return sums.filter(F.col("n") * TABLE >= total)
+                if splits(text):
+                    seen.update(w for w in text.split(" ") if len(w) <= LONGEST)
+                if len(seen) > 8 * SUMMARY:
+                    seen = cut(seen, 4 * SUMMARY)
+        top = cut(seen, SUMMARY)
+        if top:
+            yield pa.RecordBatch.from_arrays([pa.array([[*top]], pa.list_(pa.string())), pa.array([[*top.values()]], pa.list_(pa.int64()))], ["words", "counts"])
+
+    tally: Counter = Counter()
+    for part in sample.mapInArrow(summary, "words array<string>, counts array<long>").toLocalIterator():
+        tally.update(dict(zip(part.words, part.counts, strict=True)))
+        if len(tally) > 8 * TABLE:
+            tally = cut(tally, 4 * TABLE)
+    return [w for w, c in cut(tally, TABLE).items() if c > 1]
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -94,7 +105,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, key: str = "doc
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("text"))
-    top = [r.word for r in frequent_words(rows.select("text")).select("word").collect()]  # TABLE words of LONGEST characters at most
+    top = frequent_words(rows, key)
     lengths = dict(zip(top, map(len, encoder(path).encode(top, num_threads=1)), strict=True)) if top else {}
     shared = spark.sparkContext.broadcast(lengths)
     name = uuid.uuid4().hex
