@@ -6,11 +6,12 @@ occurrence of those words. Each text is scanned once; places in the normal form
 a hit to characters of the original.
 
 The benchmark is a stated set of queries that is run against all rows. It goes to the workers in blocks of at most
-BLOCK_CHARS characters of windows, one automaton each; a benchmark of more than one block is scanned block by block,
-each scan handing the next what it found, so no more than a block is ever broadcast.
+BLOCK_CHARS characters of windows, one automaton each. Of a benchmark with more than one block, the driver draws one at a
+time, and what its scan found is written before the next one is drawn: one block is all that is ever broadcast.
 
-Null texts have no words; null items none either. Repeated rows are scanned each; empty tables give no rows or no hits;
-further columns of the inputs are not read. Texts of any length are scanned whole.
+Null texts have no words; null items none either. An item whose id is null hits, but is not named among the items.
+Repeated rows are scanned each, repeated items count once; empty tables give no rows or no hits; further columns of the
+inputs are not read. Texts of any length are scanned whole. Items are named in the order of their ids as strings.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hardcourt.llm.runtime import ship, table
+from hardcourt.llm.runtime import Scratch, ship, table
 from hardcourt.llm.words import WORD, words
 
 WINDOW = 10
@@ -40,12 +41,12 @@ def windows(text: str | None, size: int = WINDOW) -> set[str]:
     return {f" {b' '.join(r).decode('latin-1')} " for r in runs}
 
 
-def blocks(items: DataFrame, size: int = WINDOW, most: int = BLOCK_CHARS) -> Iterator[list[tuple[str, str]]]:
+def blocks(items: DataFrame, size: int = WINDOW, most: int = BLOCK_CHARS) -> Iterator[list[tuple[str | None, str]]]:
     """(item_id, text) of the benchmark, in blocks whose windows have about `most` characters."""
     block, chars = [], 0
     for row in items.select("item_id", "text").toLocalIterator():
-        if row.item_id is not None and row.text:
-            block.append((str(row.item_id), row.text))
+        if row.text:
+            block.append((None if row.item_id is None else str(row.item_id), row.text))
             chars += size * len(row.text)
             if chars >= most:
                 yield block
@@ -57,7 +58,7 @@ def blocks(items: DataFrame, size: int = WINDOW, most: int = BLOCK_CHARS) -> Ite
 _automata: dict = {}
 
 
-def automaton(name: str, items: list[tuple[str, str]], size: int):
+def automaton(name: str, items: list[tuple[str | None, str]], size: int):
     """Windows to (their words, the items that have them); a worker keeps the automaton of one block."""
     if name not in _automata:
         import ahocorasick
@@ -65,7 +66,9 @@ def automaton(name: str, items: list[tuple[str, str]], size: int):
         of: dict[str, set[str]] = {}
         for item, text in items:
             for w in windows(text, size):
-                of.setdefault(w, set()).add(item)
+                who = of.setdefault(w, set())
+                if item is not None:
+                    who.add(item)
         machine = ahocorasick.Automaton()
         for w, who in of.items():
             machine.add_word(w, (w.count(" ") - 1, tuple(sorted(who))))
@@ -120,7 +123,10 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, text: s
     found = docs.drop("n_words", "state").withColumns({"n_words": F.lit(0).cast("long"), "state": F.lit(None).cast("string")})
     names = found.columns
     schema, at = T.StructType([T.StructField(f.name, f.dataType) for f in found.schema]), names.index(text)
-    for block in [*blocks(items, size)] or [[]]:
+    scratch, past = Scratch(spark), None
+    drawn = blocks(items, size)
+    block = next(drawn, [])
+    while True:
         name, shared = uuid.uuid4().hex, spark.sparkContext.broadcast(block)
 
         def step(batches: Iterator[pa.RecordBatch], name=name, shared=shared) -> Iterator[pa.RecordBatch]:
@@ -137,7 +143,14 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, text: s
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(n_words, pa.int64()), pa.array(states, pa.string())], names)
 
         found = found.mapInArrow(step, schema)
-    return found
+        block = next(drawn, None)
+        if block is None:
+            return found
+        # more than one block; columns may be called anything, so they are written under neutral names
+        now = scratch.stored(found.toDF(*(f"c{k}" for k in range(len(names)))))
+        shared.unpersist()
+        scratch.drop(past)
+        past, found = now, now.toDF(*names)
 
 
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -171,7 +184,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = rf"""
 with item_words as (
-  select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') as w from benchmark where item_id is not null),
+  select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') as w from benchmark),
 wins as (
   select distinct item_id, len(w[i:i + {WINDOW - 1}])::bigint as size, array_to_string(w[i:i + {WINDOW - 1}], ' ') as win
   from item_words, unnest(range(1, greatest(2, len(w) - {WINDOW - 2}))) as t(i) where len(w) > 0),
@@ -183,7 +196,7 @@ grams as (
   from doc_words, sizes, unnest(range(1, greatest(1, len(w) - size + 2))) as t(i)),
 hits as (select doc_id, i, g.size, item_id from grams g join wins s on g.win = s.win and g.size = s.size),
 hit_words as (select doc_id, count(distinct p) as n_hit from hits, unnest(range(i, i + size)) as t(p) group by 1),
-hit_items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item_id::varchar as item from hits) group by 1)
+hit_items as (select doc_id, count(item) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item_id::varchar as item from hits) group by 1)
 select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
        sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from doc_words d left join hit_words using (doc_id) left join hit_items using (doc_id)
