@@ -5,8 +5,13 @@ of a registered domain towards its suffix, that of a host towards its domain; ho
 the observed rates (method of moments), per level. A url is blocked when the lower bound of its host's posterior is
 above a limit; hosts without labels take the posterior of the nearest level that has some. Explicit rules go first.
 
+What is registered under is a suffix: the last label, or the last two where the last is a country's and the one before it
+names a kind of holder there (SECOND_LEVELS), or whatever a longer list of suffixes that the caller gives says.
+
 Nulls and malformed urls have empty host and path, which no rule fits and which share the reputation of the empty host.
-Repeated rows are judged each; an empty table gives no rows; further columns of the input are not read.
+Repeated rows are judged each, also those whose page_id is null, which have no outcome; a page labelled more than once
+takes the worse outcome. A bound that equals the limit allows. Rules of equal length that fit both: the later one wins.
+An empty table gives no rows; further columns of the input are not read. Urls of any length are judged whole.
 """
 
 from __future__ import annotations
@@ -24,8 +29,11 @@ RULES = (
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 )
-#: Public suffixes of two labels under which names are registered.
-SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "co.za", "com.au", "com.br", "com.cn", "net.au", "org.au", "org.uk")
+#: Second-level names that registries of countries keep for kinds of holders, as in co.uk, ac.jp, com.au.
+SECOND_LEVELS = (
+    "ac", "asn", "biz", "co", "com", "csiro", "ed", "edu", "fin", "firm", "gen", "go", "gob", "gouv", "gov", "govt", "gr", "gub", "id", "iwi", "k12", "kiwi", "law", "ltd",
+    "maori", "me", "mil", "mod", "muni", "ne", "net", "nhs", "nic", "nom", "or", "org", "plc", "police", "res", "sch", "school", "sld", "tm", "web",
+)
 BOUND_Z = 1.645
 BLOCK_OVER = 0.5
 STRENGTH = (1.0, 200.0)
@@ -50,18 +58,19 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def domain_parts(host: Column) -> tuple[Column, Column]:
-    """Suffix and registered domain of a host, its port left out."""
+def domain_parts(host: Column, suffixes: tuple[str, ...] = ()) -> tuple[Column, Column]:
+    """Suffix and registered domain of a host, its port left out. suffixes: more of two labels, such as a host for blogs."""
     name = F.regexp_replace(host, r"^.*@|:[0-9]*$", "")
     two = F.substring_index(name, ".", -2)
-    suffix = F.when(two.isin(*SUFFIXES), two).otherwise(F.substring_index(name, ".", -1))
-    domain = F.when(two.isin(*SUFFIXES), F.substring_index(name, ".", -3)).otherwise(two)
+    double = two.rlike(rf"^(?:{'|'.join(SECOND_LEVELS)})\.[a-z]{{2}}$") | two.isin(*suffixes) if suffixes else two.rlike(rf"^(?:{'|'.join(SECOND_LEVELS)})\.[a-z]{{2}}$")
+    suffix = F.when(double, two).otherwise(F.substring_index(name, ".", -1))
+    domain = F.when(double, F.substring_index(name, ".", -3)).otherwise(two)
     return suffix, domain
 
 
-def _shrunk(counts: DataFrame, key: str, parent: DataFrame, up: str) -> DataFrame:
-    """Posterior (a, b) per key: the parent's mean as prior mean, the prior's strength from the spread of rates about it."""
-    both = counts.join(parent.select(up, F.col("a").alias("pa"), F.col("b").alias("pb")), up).withColumn("m", F.col("pa") / (F.col("pa") + F.col("pb")))
+def _shrunk(both: DataFrame, key: str) -> DataFrame:
+    """Posterior (a, b) per key from counts (key, n, bad) and the parent's mean m as prior mean; the prior's strength from
+    the spread of rates about it."""
     spread = both.filter("n >= 2").agg(
         F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("m"), 2)).alias("v"), F.sum(F.col("m") * (1 - F.col("m"))).alias("e0"), F.sum(F.col("n") * F.col("m") * (1 - F.col("m"))).alias("e1"), F.count("*").alias("k")
     )  # the driver gets this one row
@@ -74,7 +83,11 @@ def _shrunk(counts: DataFrame, key: str, parent: DataFrame, up: str) -> DataFram
     return both.select(key, (s * F.col("m") + F.col("bad")).alias("a"), (s * (1 - F.col("m")) + F.col("n") - F.col("bad")).alias("b"))
 
 
-def judged(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = BOUND_Z, over: float = BLOCK_OVER) -> DataFrame:
+def _under(counts: DataFrame, parent: DataFrame, up: str) -> DataFrame:
+    return counts.join(parent.select(up, (F.col("a") / (F.col("a") + F.col("b"))).alias("m")), up)
+
+
+def judged(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = BOUND_Z, over: float = BLOCK_OVER, suffixes: tuple[str, ...] = ()) -> DataFrame:
     """page_id, host, path, rule, verdict of each page; outcomes holds (page_id, bad 0/1) for some of them.
 
     Pages are counted per host before anything is joined, so a host that holds a third of all pages costs one row per
@@ -83,17 +96,18 @@ def judged(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = BOUND_
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     marks = outcomes.filter("page_id is not null and bad is not null").groupBy("page_id").agg(F.max("bad").alias("bad"))
     labelled = urls.join(marks, "page_id").groupBy("host").agg(F.count("*").cast("double").alias("n"), F.sum("bad").cast("double").alias("bad"))
-    suffix, domain = domain_parts(F.col("host"))
+    suffix, domain = domain_parts(F.col("host"), suffixes)
     hosts = stored(urls.select("host").distinct().join(labelled, "host", "left").select("host", "n", "bad", suffix.alias("suffix"), domain.alias("domain")))
     known = hosts.filter("n is not null")
 
     def sums(*keys):
         return known.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
-    top = known.agg(F.lit("").alias("all"), (F.coalesce(F.sum("bad"), F.lit(0.0)) + 1).alias("a"), (F.coalesce(F.sum(F.col("n") - F.col("bad")), F.lit(0.0)) + 1).alias("b"))
-    by_suffix = _shrunk(sums("suffix").withColumn("all", F.lit("")), "suffix", top, "all")
-    by_domain = _shrunk(sums("suffix", "domain"), "domain", by_suffix, "suffix")
-    by_host = _shrunk(known, "host", by_domain, "domain")
+    whole = known.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()  # two numbers
+    n, bad = whole.n or 0.0, whole.bad or 0.0
+    by_suffix = _shrunk(sums("suffix").withColumn("m", F.lit((bad + 1) / (n + 2))), "suffix")
+    by_domain = _shrunk(_under(sums("suffix", "domain"), by_suffix, "suffix"), "domain")
+    by_host = _shrunk(_under(known, by_domain, "domain"), "host")
 
     def named(df, key, n):
         return df.select(key, F.col("a").alias(f"a{n}"), F.col("b").alias(f"b{n}"))
@@ -118,30 +132,30 @@ def op9_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "pages"), page_outcomes(table(spark, sf_dir, "labels")))
 
 
+_UNDER = "select c.*, p.a / (p.a + p.b) as m from {counts} c join {parent} p on c.{up} = p.{up}"
 _PARENT = """
-{name}_in as (select c.*, p.a / (p.a + p.b) as m from {counts} c join {parent} p on c.{up} = p.{up}),
+{name}_in as ({counts}),
 {name}_fit as (select case when e1 - e0 > 0 then (v - e0) / (e1 - e0) end as r from (
     select sum(n * power(bad / n - m, 2)) as v, sum(m * (1 - m)) as e0, sum(n * m * (1 - m)) as e1 from {name}_in where n >= 2)),
 {name} as (select {key}, s * m + bad as a, s * (1 - m) + n - bad as b from {name}_in, (
     select coalesce(case when r <= 1.0 / 201 then 200.0 when r >= 0.5 then 1.0 else 1 / r - 1 end, 200.0)::double as s from {name}_fit))"""
 
-OP9_SQL = f"""
+OP9_SQL = rf"""
 with urls as (
   select page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
          coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path from pages),
 marks as (select doc_id as page_id, max(greatest(1 - quality, toxic)) as bad from labels where doc_id is not null and quality is not null and toxic is not null group by 1),
 labelled as (select host, count(*)::double as n, sum(bad)::double as bad from urls join marks using (page_id) group by 1),
 names as (select host, string_split(regexp_replace(host, '^.*@|:[0-9]*$', '', 'g'), '.') as p from (select distinct host from urls)),
-split as (select host, array_to_string(p[-2:], '.') as two, array_to_string(p[-3:], '.') as three, coalesce(p[-1], '') as one from names),
-hosts as (select s.host, n, bad, case when two in {SUFFIXES} then two else one end as suffix, case when two in {SUFFIXES} then three else two end as domain
+split as (select host, regexp_matches(array_to_string(p[-2:], '.'), '^({'|'.join(SECOND_LEVELS)})\.[a-z]{{2}}$') as double, array_to_string(p[-2:], '.') as two, array_to_string(p[-3:], '.') as three, coalesce(p[-1], '') as one from names),
+hosts as (select s.host, n, bad, case when double then two else one end as suffix, case when double then three else two end as domain
           from split s left join labelled l on s.host = l.host),
-known as (select *, '' as whole from hosts where n is not null),
-top as (select '' as whole, coalesce(sum(bad), 0) + 1 as a, coalesce(sum(n - bad), 0) + 1 as b from known),
-suffixes as (select '' as whole, suffix, sum(n) as n, sum(bad) as bad from known group by suffix),
+known as (select * from hosts where n is not null),
+suffixes as (select suffix, sum(n) as n, sum(bad) as bad, (select (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) from known) as m from known group by suffix),
 domains as (select suffix, domain, sum(n) as n, sum(bad) as bad from known group by all),
-{_PARENT.format(name="by_suffix", counts="suffixes", parent="top", up="whole", key="suffix")},
-{_PARENT.format(name="by_domain", counts="domains", parent="by_suffix", up="suffix", key="domain")},
-{_PARENT.format(name="by_host", counts="known", parent="by_domain", up="domain", key="host")},
+{_PARENT.format(name="by_suffix", counts="select * from suffixes", key="suffix")},
+{_PARENT.format(name="by_domain", counts=_UNDER.format(counts="domains", parent="by_suffix", up="suffix"), key="domain")},
+{_PARENT.format(name="by_host", counts=_UNDER.format(counts="known", parent="by_domain", up="domain"), key="host")},
 near as (select h.host, coalesce(x.a, y.a, z.a) as a, coalesce(x.b, y.b, z.b) as b from hosts h
          left join by_host x on h.host = x.host left join by_domain y on h.domain = y.domain left join by_suffix z on h.suffix = z.suffix),
 standing as (select host, case when a / (a + b) - 1.645 * sqrt(a * b / (power(a + b, 2) * (a + b + 1))) > 0.5 then 'block' else 'allow' end as standing from near),
