@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from hardcourt.llm import media_avi, packing, token_counts
@@ -25,6 +26,17 @@ def test_token_counts(spark):
     assert token_counts.token_counts(docs(spark, rows=[]), PIECES).count() == 0
 
 
+def test_counts_do_not_hang_on_the_table(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "SAMPLE", 30)
+    monkeypatch.setattr(token_counts, "TABLE", 40)
+    monkeypatch.setattr(token_counts, "SUMMARY", 20)
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    df = table(spark).select("doc_id", "text")
+    words = token_counts.frequent_words(df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id")
+    assert 0 < len(words) <= 40
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(df, PIECES).collect()} == {r.doc_id: len(sp.encode(r.text or "")) for r in df.collect()}
+
+
 def test_words_add_up():
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     assert not [p for p in (sp.id_to_piece(i) for i in range(sp.vocab_size())) if "▁" in p.lstrip("▁")]
@@ -59,7 +71,7 @@ def test_packing(spark):
         ids = {r.doc_id: np.array(tok.encode(r.text or "", add_special_tokens=False).ids + [0], "<u4") for r in df.collect()}
         check_packing(packing.packed(packing.whole_documents(df), packing.tokenizer_path()).collect(), ids)
     assert packing.packed(packing.whole_documents(docs(spark, rows=[])), packing.tokenizer_path()).count() == 0
-    assert packing.packed(packing.whole_documents(docs(spark)), packing.tokenizer_path()).count() >= len(docs(spark).collect())
+    assert packing.packed(packing.whole_documents(docs(spark, clash=True)), packing.tokenizer_path()).count() >= len(docs(spark).collect())
 
 
 def test_packing_keeps_every_limit(spark):
@@ -73,9 +85,17 @@ def test_packing_keeps_every_limit(spark):
     assert {r.conv_id for r in rows} == {r.conv_id for r in turns.select("conv_id").distinct().collect()}
 
 
+def test_all_limits_bind_for_instruction_data(spark):
+    sequences = defaultdict(list)
+    for r in packing.packed_conversations(spark, SF).collect():
+        sequences[r.sequence_id].append(r)
+    tokens, segments, loss = ([f(s) for s in sequences.values()] for f in (lambda s: sum(r.length for r in s), len, lambda s: sum(r.loss_tokens for r in s)))
+    assert max(tokens) <= packing.CAPACITY and max(segments) <= packing.MAX_SEGMENTS and max(loss) == packing.MAX_LOSS
+
+
 def test_word_ids_equal_the_tokenizers():
     ids = packing.ids_of(packing.tokenizer_path())
-    for t in ("a  b", "a   b ", "\n x \n y", "é ª º µm ×x", " lead", "trail ", "x<|endoftext|>y", "it's 'tis don't.", " . , ..", "naïve, Ωmega. 漢字 테스트,", "a.\nB c.\n\nd", "x \ny\n", "\n \n", "１２ ¼", "q.\n", " \nq\n r"):
+    for t in ("a  b", "a   b ", "\n x \n y", "é ª º µm ×x", " lead", "trail ", "x<|endoftext|>y", "it's 'tis don't.", " . , ..", "naïve, Ωmega. 漢字 테스트,", "a.\nB c.\n\nd", "x \ny\n", "\n \n", "１２ ¼", "q.\n", " \nq\n r", "a\0b c", "a\tb c", "end ", "a\x1c b", "two  spaces in", "x " * 50):
         assert ids.of(t) == np.array(ids.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
 
 

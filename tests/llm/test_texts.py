@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -64,6 +65,49 @@ def test_sentence_ends_are_no_addresses(spark):
     assert {r.label for r in decided.filter("kind = 0").collect()} == {0, 1}
 
 
+def test_many_matches_in_one_text(spark):
+    """Time grows with the number of matches: spans, candidates apart from them, and redaction."""
+    n = 32_000
+    rows = [(1, "a@b.cd " * n), (2, "4111  1111  1111  1111 a@b.cd, " * (n // 16)), (3, "4111111111111111, 4111  1111  1111  1111, " * 300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    pii.with_spans(df.limit(0)).count()
+    began = time.monotonic()
+    found = pii.with_spans(df).select("doc_id", "text", "base", "spans", pii.redacted(F.col("text"), F.col("spans")).alias("t")).collect()
+    took = time.monotonic() - began
+    got = {r.doc_id: r for r in found}
+    assert [(len(got[k].base), len(got[k].spans)) for k in (1, 2, 3)] == [(n, n), (n // 16, n // 8), (300, 600)]
+    assert got[1].t == "[EMAIL] " * n and got[2].t == "[CARD] [EMAIL], " * (n // 16) and got[3].t == "[CARD], [CARD], " * 300
+    assert took < 90, took
+
+
+def test_spans_apart(spark):
+    rnd = random.Random(8)
+    rows = []
+    for _ in range(60):
+        base, at = [], 0
+        for _ in range(rnd.randint(0, 400)):
+            at += rnd.randint(0, 5)
+            base.append((rnd.randrange(2), at, at + rnd.randint(1, 6)))
+            at = base[-1][2]
+        loose = [(rnd.randrange(3), s := rnd.randint(0, 1500), s + rnd.randint(1, 9)) for _ in range(rnd.randint(0, 300))]
+        rows.append((sorted(base), sorted({*loose} - {*base})))
+    spans = "array<struct<kind:int,s:int,e:int>>"
+    df = spark.createDataFrame(rows, f"base {spans}, loose {spans}")
+    got = df.select("base", "loose", F.transform(pii.apart(F.transform("loose", pii.coded), F.transform("base", pii.coded)), pii.decoded).alias("kept")).collect()
+    for r in got:
+        want = {tuple(x) for x in r.loose if not any(b[0] == x[0] and b[1] < x[2] and x[1] < b[2] for b in r.base)}
+        assert {tuple(x) for x in r.kept} == want
+
+
+def test_long_candidates(spark):
+    """No length is too long for the generators."""
+    local, host = "x" * 300, "-".join(["host"] * 40)
+    texts = [f"{local} at {host} dot com", "4111" + " " * 40 + "1111" + " " * 40 + "1111 1111"]
+    got = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").select("doc_id", F.explode(pii.candidates(F.col("text"))).alias("c")).select("doc_id", "c.*").collect()
+    assert (0, 0, 0, len(texts[0])) in {(r.doc_id, r.kind, r.s, r.e) for r in got}
+    assert (1, 2, 0, len(texts[1]), 1) in {(r.doc_id, r.kind, r.s, r.e, r.label) for r in got}
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "é mail a@b.co or 10.0.0.1, 4111 1111 1111 1111 end"), (2, "none"), (3, None)], "doc_id long, text string")
     rows = pii.with_spans(df).select("doc_id", pii.redacted(F.col("text"), F.col("base")).alias("t")).orderBy("doc_id").collect()
@@ -81,7 +125,7 @@ def hits_by_force(text, items):
             for s in range(len(w) - len(run) + 1):
                 if w[s : s + len(run)] == run:
                     hit.update(range(s, s + len(run)))
-                    who.add(str(item))
+                    who.update([] if item is None else [str(item)])
     return len(w), len(hit), len(who), hashlib.sha256(",".join(sorted(who)).encode()).hexdigest(), bool(hit)
 
 
@@ -90,8 +134,8 @@ def test_decontamination_by_force(spark, monkeypatch, most):
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", most)
     blocks = decontaminate.blocks
     monkeypatch.setattr(decontaminate, "blocks", lambda items, size: blocks(items, size, most))
-    items = [(1, "one two three"), (2, None), (3, ""), (10, "A b c D e f g h i j k l m"), (11, "c d e f g h i j k l"), (12, "ünï code")]
-    texts = ["x one TWO, three y one two three", None, "", "a b c d e f g h i j k l m n", "ones two three", "Ünï code ünï code", "a b c d e f g h i j", " ".join("abcdefghijklm" * 300)]
+    items = [(1, "one two three"), (2, None), (3, ""), (10, "A b c D e f g h i j k l m"), (11, "c d e f g h i j k l"), (12, "ünï code"), (None, "no id here"), (12, "ünï code")]
+    texts = ["x one TWO, three y one two three", None, "", "a b c d e f g h i j k l m n", "ones two three", "Ünï code ünï code", "a b c d e f g h i j", " ".join("abcdefghijklm" * 300), "there is no id here"]
     df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.digest(decontaminate.contamination(df, bench)).collect()}
@@ -104,6 +148,9 @@ def test_decontamination_of_odd_tables(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.digest(decontaminate.contamination(docs(spark).select("doc_id", "text"), bench)).filter("contaminated").count() == 0
     assert decontaminate.contamination(docs(spark, clash=True), bench).count() == 11
+    few = spark.createDataFrame([(1, "the quick brown"), (2, "MIT license")], "item_id long, text string")
+    odd = decontaminate.contamination(docs(spark, clash=True), few)
+    assert odd.filter("state is not null").count() == 3
     assert decontaminate.contamination(docs(spark, rows=[]), spark.createDataFrame([(1, "x")], "item_id long, text string")).count() == 0
 
 
@@ -128,11 +175,22 @@ def test_urls(spark):
         ("x.com", "/fr/", "com/fr/", "allow"), ("com", "/de/1", "com/de/", "block"), ("notexample.org", "", None, got[6][3]),
     ]
     assert got[8][3] == "block" and got[9][3] == "allow"
+    more = pages.unionByName(spark.createDataFrame([(None, "http://bad.net/x"), (8, "http://bad.net/b")], "page_id long, url string")).withColumns({"host": F.lit(1), "verdict": F.lit(2), "bad": F.lit(3)})
+    odd = [(r.page_id, r.verdict) for r in url_reputation.judged(more, out).collect()]
+    assert len(odd) == len(urls) + 2 and (None, "block") in odd and odd.count((8, "block")) == 2
     empty = spark.createDataFrame([], "page_id long, url string")
     assert url_reputation.judged(empty, out).count() == 0
     assert {r.verdict for r in url_reputation.judged(pages, out.filter("false")).filter("rule is null").collect()} == {"allow"}
 
 
+def test_suffixes(spark):
+    hosts = ["a.b.co.uk", "www.x.ac.jp:80", "u@shop.com.au", "x.y.com", "co.uk", "b.github.io", "localhost", ""]
+    got = spark.createDataFrame([(h,) for h in hosts], "h string").select(*url_reputation.domain_parts(F.col("h"))).collect()
+    assert [tuple(r) for r in got] == [("co.uk", "b.co.uk"), ("ac.jp", "x.ac.jp"), ("com.au", "shop.com.au"), ("com", "y.com"), ("co.uk", "co.uk"), ("io", "github.io"), ("localhost", "localhost"), ("", "")]
+    more = spark.createDataFrame([("b.github.io",)], "h string").select(*url_reputation.domain_parts(F.col("h"), ("github.io",))).first()
+    assert tuple(more) == ("github.io", "b.github.io")
+
+
 def test_licenses(spark):
     df = docs(spark, clash=True).unionByName(docs(spark, clash=True, rows=[(20, "Text. This work is licensed under the GNU General Public License, version 3. More. Licensed under CC BY-NC 4.0. And Licensed under CC BY-NC 4.0.", "en", "s", 1), (21, "a license to thrill and permission slips", "en", "s", 1)]))
     got = sorted((r.doc_id, r.license, r.first_word, r.last_word) for r in license_scan.licenses(df).collect())
@@ -142,16 +200,68 @@ def test_licenses(spark):
 
 def test_rights_and_spellings(spark):
     opening = license_scan.TEMPLATES["MIT"][2]
-    texts = ["Text. All rights reserved. More.", "Released under the MIT Licence.", opening.replace("Permission", "Leave"), license_scan.TEMPLATES["BSD-3-Clause"][0].replace("Redistribution", "Distribution"), "all of the many rights we had were then reserved", "all the rights. All rights reserved, all rights reserved"]
+    texts = [
+        "Text. All rights reserved. More.", "Released under the MIT Licence.", opening.replace("Permission", "Leave"), license_scan.TEMPLATES["BSD-3-Clause"][0].replace("Redistribution", "Distribution"),
+        "all of the many rights we had were then reserved", "all the rights. All rights reserved, all rights reserved", "Licensed under, and only under, the well known and widely used MIT License",
+        "# SPDX-License-Identifier: GPL-3.0-only", "Licence: MIT", "Released under the Apache License.", "x Distributed under the Boost Software License, Version 1.0. y",
+    ]
     df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
     got = sorted((r.doc_id, r.license, r.first_word, r.last_word) for r in license_scan.licenses(df).collect())
     n, m = (len(license_scan.words(t)) for t in texts[2:4])
-    assert got == [(0, "All-Rights-Reserved", 1, 4), (1, "MIT", 0, 4), (2, "MIT", 1, n), (3, "BSD-3-Clause", 1, m), (5, "All-Rights-Reserved", 3, 6), (5, "All-Rights-Reserved", 6, 9)]
+    assert got == [
+        (0, "All-Rights-Reserved", 1, 4), (1, "MIT", 0, 4), (2, "MIT", 1, n), (3, "BSD-3-Clause", 1, m), (5, "All-Rights-Reserved", 3, 6), (5, "All-Rights-Reserved", 6, 9), (6, "MIT", 0, 13),
+        (7, "GPL-3.0", 0, 6), (8, "MIT", 0, 2), (10, "BSL-1.0", 1, 10),
+    ]
+
+
+def test_every_template_is_found_whole(spark):
+    """Each license's longest text, some of its words changed and some put in; twice in one text, and as repeated rows."""
+    rnd = random.Random(6)
+    rows, want = [], []
+    for k, (name, texts) in enumerate(license_scan.TEMPLATES.items()):
+        w = max(texts, key=len).split(" ")
+        if len(w) > 20:
+            for at in rnd.sample(range(len(w)), len(w) // 20):
+                w[at] = f"changed{at}" if at % 2 else f"{w[at]} added{at}"
+        rows += [(k, " ".join(["Fore words.", *w, "Then more,", *w, "end."]))] * 2
+        want += [(k, name)] * 4
+    got = sorted((r.doc_id, r.license) for r in license_scan.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted(want)
+    own = {"House": ("Use of the house text is granted to guests of the house alone and to nobody else.",)}
+    df = spark.createDataFrame([(1, "Here: use of the house text is granted to all guests of the house alone, and to nobody else. MIT License.")], "doc_id long, text string")
+    assert [(r.license, r.first_word) for r in license_scan.licenses(df, templates=own).collect()] == [("House", 1)]
+
+
+def aligned_by_force(a, b):
+    """Patience alignment by its definition: recursive, and the longest increasing subsequence by the quadratic table."""
+    out = []
+    while a and b and a[0][1] == b[0][1]:
+        out.append((a[0][0], b[0][0]))
+        a, b = a[1:], b[1:]
+    tail = []
+    while a and b and a[-1][1] == b[-1][1]:
+        tail.append((a[-1][0], b[-1][0]))
+        a, b = a[:-1], b[:-1]
+    words_a, words_b = [w for _, w in a], [w for _, w in b]
+    both = [(i, words_b.index(w)) for i, w in enumerate(words_a) if words_a.count(w) == 1 and words_b.count(w) == 1]
+    best = [1] * len(both)
+    for x in range(len(both)):
+        best[x] = 1 + max((best[y] for y in range(x) if both[y][1] < both[x][1]), default=0)
+    return out, tail, a, b, both, max(best, default=0)
 
 
 def test_patience():
     assert license_scan.increasing([3, 1, 2, 5, 4]) in ([1, 2, 3], [1, 2, 4])
     assert license_scan.aligned([*"axbycz"], [*"abc"]) == [(0, 0), (2, 1), (4, 2)]
+    rnd = random.Random(5)
+    for _ in range(500):
+        a, b = ([rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(0, 25))] for _ in range(2))
+        got = license_scan.aligned(a, b)
+        assert all(a[x] == b[y] for x, y in got) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:], strict=False))
+        head, tail, _, _, both, longest = aligned_by_force([*enumerate(a)], [*enumerate(b)])
+        assert {*head, *tail} <= {*got}
+        anchors = {(x + len(head), y + len(head)) for x, y in both}
+        assert len(anchors & {*got}) >= longest
 
 
 def test_cotraining_on_held_out_labels(spark):
