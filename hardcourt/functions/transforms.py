@@ -21,8 +21,9 @@ def text(c: Column) -> Column:
 
 
 def number(c: Column) -> Column:
-    """As a double, null where it is none."""
-    return F.trim(text(c)).try_cast("double")
+    """As a double, null where it is none; a type suffix, as in 12d, makes it none."""
+    t = F.trim(text(c))
+    return F.when(~t.rlike("[dDfF]$"), t.try_cast("double"))
 
 
 def blank(c: Column) -> Column:
@@ -30,14 +31,20 @@ def blank(c: Column) -> Column:
 
 
 def safe_int(c: Column, scale: float = 1) -> Column:
-    """Scaled and rounded half to even."""
-    return F.rint(number(c) * scale).try_cast("int")
+    """Scaled and rounded half to even, as a long."""
+    return F.rint(number(c) * scale).try_cast("long")
 
 
-def to_int(c: Column) -> Column:
-    """Whole numbers; everything else is 0."""
+def whole(c: Column) -> Column:
+    """Texts of digits, and numbers without their fraction; null else."""
     t = F.trim(text(c))
-    return F.coalesce(F.when(t.rlike(r"^[+-]?\d+$"), t.try_cast("int")), F.lit(0))
+    real = F.typeof(c).rlike("^(?:float|double|decimal)")
+    return F.when(real, number(c).try_cast("int")).when(t.rlike(r"^[+-]?\d+$"), t.try_cast("int"))
+
+
+def to_int(c: Column) -> Column:
+    """Whole numbers, other numbers cut to theirs; everything else, texts of fractions too, is 0."""
+    return F.coalesce(whole(c), F.lit(0))
 
 
 def to_str(c: Column) -> Column:
@@ -50,9 +57,9 @@ def safe_str(c: Column) -> Column:
 
 
 def null_if_zero(c: Column) -> Column:
-    """Null where the whole part is 0."""
+    """Null where the whole part is 0, else as a long."""
     n = number(c)
-    return F.when(F.abs(n) >= 1, F.rint(n).try_cast("int"))
+    return F.when(F.abs(n) >= 1, F.rint(n).try_cast("long"))
 
 
 def parse_inches(c: Column) -> Column:
@@ -90,13 +97,13 @@ def parse_birthdate(c: Column) -> Column:
 def parse_date(c: Column) -> Column:
     """The local date of an ISO date and time, else as parse_birthdate."""
     t = F.trim(text(c))
-    iso = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?(?:Z|[+-]\d{2}:?\d{2})?$"), F.substring(t, 1, 10).try_cast("date"))
+    iso = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?(?:Z|[+-]\d{2}:?\d{2})?$") & t.rlike(r"T(?:[01]\d|2[0-3])(?::?[0-5]\d)*(?:\.|Z|[+-]|$)"), F.substring(t, 1, 10).try_cast("date"))
     return F.coalesce(iso, parse_birthdate(t))
 
 
 def format_season(c: Column) -> Column:
     """2012 as 2012-13."""
-    year = F.when(F.trim(text(c)).rlike(r"^[+-]?\d+$"), F.trim(text(c)).try_cast("int"))
+    year = whole(c)
     return F.concat(text(year), F.lit("-"), two_digits(year + 1))
 
 
@@ -106,7 +113,8 @@ def two_digits(year: Column) -> Column:
 
 #: Fixed values of name matching.
 LIGATURES = (("ß", "ss"), ("ẞ", "SS"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"))
-STROKED = {"đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L"}
+ACCENTED = "áàâäãåāą çćč éèêëēėę ğģ íìîïī ķ ļ ñńňņ óòôöõō ř šśş țţ úùûüūų ýÿ žźż"
+STROKED = {"đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "ı": "i", "İ": "I"}
 QUOTES = {"‘": "'", "’": "'", "“": '"', "”": '"', "`": "'", "´": "'", "ʻ": "'", "ʼ": "'"}
 DASHES = dict.fromkeys("‐‑‒–—−", "-")
 STANDALONE = (("Saint", "St"), ("Sainte", "Ste"), ("Mount", "Mt"), ("and", "&"), ("LA", "Los Angeles"))
@@ -114,16 +122,26 @@ STRIPPED = ".,"
 
 
 def unaccented() -> dict[str, str]:
-    """Accented Latin letters to their base letter, from their canonical decomposition."""
-    parts = {chr(c): unicodedata.normalize("NFD", chr(c)) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))}
-    return {c: d[0] for c, d in parts.items() if len(d) > 1 and d[0].isascii()} | STROKED
+    """The letters of ACCENTED, small and capital, to their base letter, from their canonical decomposition."""
+    letters = [x for c in ACCENTED if c != " " for x in (c, c.upper())]
+    return {x: unicodedata.normalize("NFD", x)[0] for x in letters} | STROKED
+
+
+def spelled_apart() -> str:
+    """Combining marks that make a letter of ACCENTED of the one before them."""
+    parts = [unicodedata.normalize("NFD", x) for c in ACCENTED if c != " " for x in (c, c.upper())]
+    marks = {base: "".join(p[1:] for p in parts if p[0] == base) for base in {p[0] for p in parts}}
+    return "|".join(rf"(?<={base})[{m}]" for base, m in sorted(marks.items()))
 
 
 def normalize_name(c: Column) -> Column:
-    """Names for matching: plain letters, quotes and dashes, short standalone words, no dots or commas, single spaces."""
+    """Names for matching: plain letters, quotes and dashes, short standalone words, no dots or commas, single spaces.
+
+    Accented letters beyond ACCENTED stay as they are.
+    """
     table = unaccented() | QUOTES | DASHES
-    t = F.translate(text(c), "".join(table), "".join(table.values()))
-    t = F.regexp_replace(t, r"\p{M}", "")
+    t = F.regexp_replace(text(c), spelled_apart(), "")
+    t = F.translate(t, "".join(table), "".join(table.values()))
     for old, new in LIGATURES:
         t = F.replace(t, F.lit(old), F.lit(new))
     for old, new in STANDALONE:

@@ -34,16 +34,13 @@ def before(w):
     return w.rowsBetween(W.unboundedPreceding, -1)
 
 
-def after(w):
-    return w.rowsBetween(1, W.unboundedFollowing)
-
-
 def last_before(test: Column, value: Column, *keys: str) -> Column:
     return F.last(F.when(test, value), ignorenulls=True).over(before(over(*keys)))
 
 
 def first_after(test: Column, value: Column, *keys: str) -> Column:
-    return F.first(F.when(test, value), ignorenulls=True).over(after(over(*keys)))
+    """Read backwards, so that the frame grows by a row at a time; one that shrinks is read anew for every row."""
+    return F.last(F.when(test, value), ignorenulls=True).over(before(W.partitionBy(*GAME, *keys).orderBy(c("seq").desc())))
 
 
 def within(aggregate: Column, *keys: str) -> Column:
@@ -213,29 +210,47 @@ def possessed(df: DataFrame) -> DataFrame:
     """Possession markers, team rebounds nobody recorded, turnovers behind jump balls."""
     own, starts, ends = ~c("source").startswith("derived"), c("event") == "period_start", c("event") == "period_end"
     other = F.when(c("team_id") == c("home"), c("away")).when(c("team_id") == c("away"), c("home"))
-    indicates = is_in(pbp.POSSESSION)
+    indicates, team = is_in(pbp.POSSESSION), c("team_id")
     key = F.when(is_in(pbp.MISSES), c("event_id")).when(is_in(pbp.REBOUNDS), c("chain_id"))
-    df = df.withColumns({"_key": key, "_other": other, "_nextp": first_after(indicates | ends, F.struct("event", "team_id"), "period")})
+    df = df.withColumns({"_key": key, "_other": other, "_nextp": first_after(indicates | ends, F.struct("event", "team_id"))})
     df = df.withColumn("_has_reb", within(F.max(is_in(pbp.REBOUNDS)), "_key"))
     reb = F.when(c("_final") & ~c("_has_reb"), F.when(c("_nextp.event") == "period_end", c("_other")).otherwise(c("_nextp.team_id")))
     near = F.min(F.when((c("event") == "turnover") & own, c("seq"))).over(over().rowsBetween(1, MAX_GAP + 1))
-    stop = F.min(F.when(ends, c("seq"))).over(after(over()))
+    stop = first_after(ends, c("seq"))
     jump = (c("event") == "jump_ball_win") & ~(near.isNotNull() & (stop.isNull() | (near < stop)))
-    df = df.withColumns({"_reb": reb, "_jump": jump, "_first": F.when(c("_nextp.event") != "period_end", c("_nextp.team_id"))})
-    lost = c("_reb").isNotNull() & (c("_reb") != c("team_id"))
-    setter = (
-        F.when(starts, F.struct(c("_first").alias("t")))
-        .when(ends, F.struct(F.lit(None).cast("string").alias("t")))
-        .when((c("event") == "turnover") | c("_live"), F.struct(c("_other").alias("t")))
-        .when((c("event") == "d_reb") | c("_jump"), F.struct(c("team_id").alias("t")))
-        .when(lost, F.struct(c("_reb").alias("t")))
-    )
-    df = df.withColumn("_set", setter)
-    was = F.last("_set", ignorenulls=True).over(before(over("period")))["t"]
-    df = df.withColumns({"_was": was, "_lost": lost})
-    was, team = c("_was"), c("team_id")
-    hands = ((c("event") == "turnover") | (c("event") == "d_reb") | c("_live")) & c("_set.t").isNotNull()
-    changes = hands & (was.isNull() | (was != c("_set.t"))) & (was.isNotNull() | ~c("_live"))
+    first = F.when(c("_nextp.event") != "period_end", c("_nextp.team_id"))
+    df = df.withColumns({"_reb": reb, "_jump": jump, "_first": first, "_period": F.count_if(starts | ends).over(over().rowsBetween(W.unboundedPreceding, 0))})
+    # nobody possesses from a period's bounds on until its first event that opens a possession
+    soft = (indicates & ~is_in(["turnover", "d_reb", "jump_ball_win"])) | (c("_reb") == team)
+    opens = (starts & c("_first").isNotNull()) | is_in(["turnover", "d_reb"]) | soft | c("_reb").isNotNull()
+    df = df.withColumns({"_soft": F.coalesce(soft, F.lit(False)), "_lost": F.coalesce(c("_reb") != team, F.lit(False)), "_opens": F.coalesce(opens, F.lit(False))})
+    df = df.withColumn("_held", F.coalesce(F.max("_opens").over(before(over("_period"))), F.lit(False)))
+
+    def holder() -> Column:
+        """Who possesses before each event: what the last event that sets it sets."""
+        setter = (
+            F.when(starts, F.struct(c("_first").alias("t")))
+            .when(ends, F.struct(F.lit(None).cast("string").alias("t")))
+            .when((c("event") == "turnover") | (c("_live") & c("_held")), F.struct(c("_other").alias("t")))
+            .when((c("event") == "d_reb") | (c("_jump") & c("_held")), F.struct(team.alias("t")))
+            .when(c("_lost"), F.struct(c("_reb").alias("t")))
+            .when(c("_soft") & ~c("_held"), F.struct(team.alias("t")))
+        )
+        return F.last(setter, ignorenulls=True).over(before(over()))["t"]
+
+    # a turnover of the team without the ball is an error and hands nothing over; until something does, it counts as the
+    # one behind a jump ball
+    df = df.withColumn("_was", holder())
+    wrong = own & (c("event") == "turnover") & (c("_was") != team)
+    passes = (is_in(["turnover", "d_reb"]) | (c("_live") & c("_held"))) & ~F.coalesce(c("_was") == F.when(c("event") == "d_reb", team).otherwise(c("_other")), F.lit(False))
+    settled = starts | ends | passes | c("_lost") | (c("_jump") & (c("_was") != team)) | (c("_soft") & ~c("_held"))
+    late = last_before(wrong | settled, F.coalesce(wrong, F.lit(False)))
+    df = df.withColumn("_jump", c("_jump") & ~F.coalesce(late, F.lit(False)))
+    df = df.withColumn("_was", holder())
+    was, to = c("_was"), F.when(c("event") == "d_reb", team).otherwise(c("_other"))
+    hands = is_in(["turnover", "d_reb"]) | c("_live")
+    changes = hands & to.isNotNull() & (was.isNull() | (was != to)) & (was.isNotNull() | ~c("_live"))
+    opened = c("_soft") & was.isNull()
     jumped = c("_jump") & was.isNotNull() & (was != team)
     gives = c("_lost") & (was.isNull() | (was == team))
     mismatch = ((c("event") == "turnover") & (was != team)) | (c("_live") & was.isNotNull() & (was != team)) | (c("_lost") & was.isNotNull() & (was != team))
@@ -246,18 +261,21 @@ def possessed(df: DataFrame) -> DataFrame:
     def marker(test: Column, slot: int, event: str, team_: Column) -> Column:
         return F.when(test & team_.isNotNull(), row(c("seq"), slot, event=event, team_id=team_, source=f"derived:{event}"))
 
+    miss = c("_reb").isNotNull()
     rows = [
         row(c("seq"), 0),
         marker(starts, 1, "poss_start", c("_first")),
         marker(ends, 1, "poss_end", was),
         marker(changes, 1, "poss_end", was),
-        marker(changes, 2, "poss_start", c("_set.t")),
+        marker(changes, 2, "poss_start", to),
+        marker(opened & ~miss, -1, "poss_start", team),
+        marker(opened & miss, 2, "poss_start", team),
         F.when(jumped, row(c("seq"), -3, event="turnover", team_id=was, chain_id=c("event_id"), source="derived:jump_ball_turnover")),
         marker(jumped, -2, "poss_end", was),
         marker(jumped, -1, "poss_start", team),
         marker(gives, 1, "poss_end", was),
         marker(gives, 2, "poss_start", c("_reb")),
-        F.when(c("_reb").isNotNull(), row(c("seq"), 3, event=F.when(c("_lost"), "d_reb").otherwise("o_reb"), team_id=c("_reb"), chain_id=c("event_id"), source="derived:team_rebound")),
+        F.when(miss, row(c("seq"), 3, event=F.when(c("_lost"), "d_reb").otherwise("o_reb"), team_id=c("_reb"), chain_id=c("event_id"), source="derived:team_rebound")),
     ]
     return placed(df, rows, ["home", "away"])
 
@@ -317,10 +335,14 @@ def game_errors(stream: DataFrame) -> DataFrame:
 
 
 def game_status(stream: DataFrame, unclassified: DataFrame | None = None) -> DataFrame:
-    """(identity, game_id, status): error if any rule is broken or any raw row could not be classified."""
-    found = stream.groupBy(*GAME).agg(F.max(F.size("errors") > 0).alias("bad"))
-    if unclassified is not None:
-        rows = unclassified.groupBy(*GAME).agg(F.lit(True).alias("raw"))
-        found = found.join(rows, [*GAME], "full_outer").withColumn("bad", F.coalesce("bad", F.lit(False)) | F.coalesce("raw", F.lit(False)))
-    return found.select(*GAME, F.when(c("bad"), "error").otherwise("ready").alias("status"))
+    """(identity, game_id, status, n_unclassified, keys): error if any rule is broken or any raw row could not be classified.
 
+    unclassified: such rows (identity, game_id, event_key); their keys are listed, each once, in order.
+    """
+    found = stream.groupBy(*GAME).agg(F.max(F.size("errors") > 0).alias("bad"))
+    if unclassified is None:
+        found = found.withColumns({"n": F.lit(0).cast("long"), "keys": F.lit(None).cast("string")})
+    else:
+        rows = unclassified.groupBy(*GAME).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("event_key")), ",").alias("keys"))
+        found = found.join(rows, [*GAME], "full_outer").withColumns({"bad": F.coalesce("bad", F.lit(False)) | c("n").isNotNull(), "n": F.coalesce("n", F.lit(0))})
+    return found.select(*GAME, F.when(c("bad"), "error").otherwise("ready").alias("status"), c("n").alias("n_unclassified"), "keys")

@@ -17,8 +17,10 @@ def before(w):
     return w.rowsBetween(W.unboundedPreceding, -1)
 
 
-def after(w):
-    return w.rowsBetween(1, W.unboundedFollowing)
+def first_after(value: Column, *keys: str) -> Column:
+    """The first value behind the row that is not null. Read backwards, so that the frame grows by a row at a time; one that
+    shrinks is read anew for every row."""
+    return F.last(value, ignorenulls=True).over(before(W.partitionBy(*keys).orderBy(F.col("seq").desc())))
 
 
 def resequenced(df: DataFrame, order: list[Column | str], keys: tuple[str, ...] = GAME) -> DataFrame:
@@ -49,7 +51,7 @@ def nearest_anchor(df: DataFrame, anchor: Column, skip: Column, fields: list[str
 
 def next_kept(df: DataFrame, skip: Column, fields: list[str], keys: tuple[str, ...] = (*GAME, "period"), name: str = "next") -> DataFrame:
     """The next row that is not skipped, within the keys."""
-    return df.withColumn(name, F.first(F.when(~skip, F.struct(*fields)), ignorenulls=True).over(after(by_seq(*keys))))
+    return df.withColumn(name, first_after(F.when(~skip, F.struct(*fields)), *keys))
 
 
 def clock_filled(df: DataFrame, inherits: Column, indicates: Column) -> DataFrame:
@@ -88,7 +90,7 @@ def soon(df: DataFrame, wanted: Column, stops: Column, max_gap: int) -> Column:
     """Whether a wanted event is among the next max_gap + 1 rows, before the period stops."""
     w = by_seq(*GAME)
     near = F.min(F.when(wanted, F.col("seq"))).over(w.rowsBetween(1, max_gap + 1))
-    stop = F.min(F.when(stops, F.col("seq"))).over(after(w))
+    stop = first_after(F.when(stops, F.col("seq")), *GAME)
     return near.isNotNull() & (stop.isNull() | (near < stop))
 
 
@@ -108,7 +110,10 @@ def player_windows(windows: DataFrame, indicating: DataFrame, intervals: DataFra
     """
     i = intervals.select("game_id", F.col("team_id").alias("court_team"), F.col("player_id").alias("court_player"), F.col("start_seq").alias("_from"), F.col("end_seq").alias("_to"))
     p = indicating.select("game_id", "team_id", F.col("seq").alias("_at"))
-    # events are tagged with their window first, so that the range join meets each event once per interval
-    tagged = windows.join(p, ["game_id", "team_id"]).filter((F.col("_at") >= F.col("start_seq")) & (F.col("_at") < F.col("end_seq")))
+    # an event lies in the last window of its team that began by then, or in none: windows of a team don't overlap
+    marks = windows.select("game_id", "team_id", F.col("start_seq").alias("_at"), F.struct(*(n for n in windows.columns if n not in ("game_id", "team_id"))).alias("_w"))
+    order = W.partitionBy("game_id", "team_id").orderBy("_at", F.col("_w").isNull())
+    every = marks.unionByName(p, allowMissingColumns=True).withColumn("_in", F.last("_w", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    tagged = every.filter(F.col("_w").isNull() & (F.col("_at") < F.col("_in.end_seq"))).select("game_id", "team_id", "_at", "_in.*")
     met = tagged.join(i, "game_id").filter((F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_to")))
     return met.drop("_at", "_from", "_to").distinct()

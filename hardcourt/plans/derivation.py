@@ -7,27 +7,69 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hardcourt.operators import box, derive, pbp
-from hardcourt.plans.events import EV, ev
+from hardcourt.plans.derivation_sql import DERIVED
+from hardcourt.plans.derivation_sql import names as sql_names
+from hardcourt.plans.events import EV, INTERVALS, ev, game_of
 from hardcourt.plans.registry import query
 from hardcourt.sources.tables import read, written
 
 c = F.col
 
 
+# The mapped events as a source stream. What an event is follows from its type and the last digit of its number; some are
+# two events of one row. Six players a team; each period's first event starts it and its last one, but for every ninth
+# number, ends it. A foul is on the player of the other team who came before it, if there is one.
+_NAMES = {
+    "fg2_make": ["fg2_make"] * 5 + ["fg3_make"] * 2 + ["fg2_miss"] * 2 + ["turnover"],
+    "fg2_miss": ["fg2_miss"] * 5 + ["fg3_miss"] * 2 + ["rebound"] * 3,
+    "rebound": ["rebound"] * 3 + ["ft1_make"] * 4 + ["ft_miss"] * 3,
+    "d_standard_foul": ["d_standard_foul"] * 5 + ["o_standard_foul"] * 2 + ["elevated_foul"] + ["turnover", "jump_ball_win"],
+    "player_in": ["player_in"] * 10,
+    "player_out": ["player_in"] * 10,
+}
+_SECOND = {"fg2_make": "fg2_assist", "fg3_make": "fg3_assist", "fg2_miss": "block", "turnover": "steal", "o_standard_foul": "o_foul_draw", "player_in": "player_out"}
+
+
+def _named(value: str, when: str) -> str:
+    return " ".join(f"when {when} = '{k}' then {value.format(v)}" for k, v in _SECOND.items())
+
+
+RAW = f"""{EV},
+n0 as (select *, min(seq) over (partition by game_id, period) as lo, max(seq) over (partition by game_id, period) as hi, player_id::bigint // 10 % 6 as no, case team_id when 'T0' then 'T1' else 'T0' end as foe from ev),
+n1 as (select * exclude (event), lag({{'t': team_id, 'p': no}}) over (partition by game_id order by seq) as prev, case when seq = lo then 'period_start' when seq = hi and event_id % 9 <> 0 then 'period_end' {" ".join(f"when event = '{k}' then [{', '.join(repr(x) for x in v)}][1 + event_id % 10]" for k, v in _NAMES.items())} end as event from n0),
+n2 as (select *, case when event = 'player_in' or (event not in ('period_start', 'period_end') and event_id % 3 = 0) then case {_named("'{}'", "event")} end end as second from n1),
+n3 as (select *, 0 as k, event as name from n2 union all select *, 1 as k, second as name from n2 where second is not null),
+raw as (select game_id, event_id::varchar as event_id, (row_number() over (partition by game_id order by seq, k) - 1)::int as seq, secs, period,
+  case when name in ('period_start', 'period_end') then '' when name in ('block', 'steal', 'o_foul_draw') then foe else team_id end as team_id,
+  case when name in ('period_start', 'period_end', 'jump_ball_win') then '' when name in ('block', 'steal', 'o_foul_draw') then foe || '-' || (no + event_id) % 6 when k = 1 then team_id || '-' || (no + 1 + event_id % 5) % 6 else team_id || '-' || no end as player_id,
+  name as event, null::varchar as chain_id, case when name in ('d_standard_foul', 'o_standard_foul') and event_id % 11 <> 0 then foe || '-' || case when prev.t = foe then prev.p else (no + event_id) % 6 end end as fouled_player_id,
+  event_id::varchar as source, []::varchar[] as errors, 'T0' as home, 'T1' as away from n3)"""
+DONE = f"{RAW}, {DERIVED}"
+
+
 def stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The mapped events as a source stream: each period's first and last become its bounds, in and out become turnovers
-    and jump balls; and the games."""
+    """The source stream (RAW says the same) and its games."""
     e = ev(spark, sf_dir)
     w = W.partitionBy("game_id", "period")
-    e = e.withColumns({"first": F.min("seq").over(w), "last": F.max("seq").over(w)})
-    bound = F.when(c("seq") == c("first"), "period_start").when(c("seq") == c("last"), "period_end")
-    name = F.coalesce(bound, F.when(c("event") == "player_in", "turnover").when(c("event") == "player_out", "jump_ball_win").otherwise(c("event")))
-    nobody, teamless = name.isin("period_start", "period_end", "jump_ball_win"), name.isin("period_start", "period_end")
+    e = e.withColumns({"lo": F.min("seq").over(w), "hi": F.max("seq").over(w), "no": F.floor(c("player_id").cast("long") / 10) % 6, "foe": F.when(c("team_id") == "T0", "T1").otherwise("T0")})
+    digit = (c("event_id") % 10 + 1).cast("int")
+    e = e.withColumn("prev", F.lag(F.struct("team_id", "no")).over(W.partitionBy("game_id").orderBy("seq")))
+    name = F.when(c("seq") == c("lo"), "period_start").when((c("seq") == c("hi")) & (c("event_id") % 9 != 0), "period_end")
+    for kind, found in _NAMES.items():
+        name = name.when(c("event") == kind, F.element_at(F.array(*map(F.lit, found)), digit))
+    e = e.withColumn("event", name)
+    second = F.when((c("event") == "player_in") | (~c("event").isin("period_start", "period_end") & (c("event_id") % 3 == 0)), F.create_map(*(F.lit(x) for kv in _SECOND.items() for x in kv))[c("event")])
+    e = e.withColumns({"foul": c("event"), "name": F.explode(F.array_compact(F.array(F.struct(F.lit(0).alias("k"), c("event").alias("n")), F.when(second.isNotNull(), F.struct(F.lit(1).alias("k"), second.alias("n"))))))})
+    e = e.withColumns({"k": c("name.k"), "event": c("name.n")})
+    theirs, bound = c("event").isin("block", "steal", "o_foul_draw"), c("event").isin("period_start", "period_end")
+    team = F.when(bound, "").when(theirs, c("foe")).otherwise(c("team_id"))
+    numbered = F.concat(c("foe"), F.lit("-"), ((c("no") + c("event_id")) % 6).cast("string"))
+    player = F.when(bound | (c("event") == "jump_ball_win"), "").when(theirs, numbered).otherwise(F.concat(c("team_id"), F.lit("-"), F.when(c("k") == 1, (c("no") + 1 + c("event_id") % 5) % 6).otherwise(c("no")).cast("string")))
     made = e.select(
-        F.lit("mapped").alias("identity"), "game_id", c("event_id").cast("string").alias("event_id"), "seq", "secs", "period", F.when(teamless, "").otherwise(c("team_id")).alias("team_id"), F.when(nobody, "").otherwise(c("player_id")).alias("player_id"),
-        name.alias("event"), F.lit(None).cast("string").alias("chain_id"), F.when(name == "d_standard_foul", c("player_id")).alias("fouled_player_id"), c("event_id").cast("string").alias("source"),
+        F.lit("mapped").alias("identity"), "game_id", c("event_id").cast("string").alias("event_id"), (F.row_number().over(W.partitionBy("game_id").orderBy("seq", "k")) - 1).cast("int").alias("seq"), "secs", "period", team.alias("team_id"), player.alias("player_id"),
+        "event", F.lit(None).cast("string").alias("chain_id"), F.when(c("event").isin("d_standard_foul", "o_standard_foul") & (c("event_id") % 11 != 0), F.when(c("prev.team_id") == c("foe"), F.concat_ws("-", "foe", "prev.no")).otherwise(numbered)).alias("fouled_player_id"), c("event_id").cast("string").alias("source"),
     )
-    games = e.select("game_id").distinct().withColumns({"home": F.lit("T0"), "away": F.lit("T1")})
+    games = read(spark, sf_dir, "events").select(game_of("ts", "user_id").alias("game_id")).distinct().withColumns({"home": F.lit("T0"), "away": F.lit("T1")})
     return made, games
 
 
@@ -36,31 +78,85 @@ def completed(spark, sf):
     return derive.derived(made, games), games
 
 
-@query("j1_completed_stream")
+@query("j1_completed_stream", f"{DONE} select game_id, seq, secs, period, team_id, player_id, event, chain_id, source from done")
 def j1(spark, sf):
-    """Every event with what was derived around it (G, H, I, J, K)."""
+    """Every event with what was derived around it (G, H, I, J, K, O4)."""
     return completed(spark, sf)[0].select("game_id", "seq", "secs", "period", "team_id", "player_id", "event", "chain_id", "source")
 
 
-@query("n1_rule_errors")
+@query("n1_rule_errors", f"{DONE} select 'mapped' as identity, game_id, rule, event_id, event, count(*) as n from (select *, unnest(errors) as rule from done) group by all")
 def n1(spark, sf):
     """Broken rules."""
     return derive.game_errors(completed(spark, sf)[0])
 
 
-@query("n14_game_status")
+_STATUS = "case when bool_or(len(errors) > 0) then 'error' else 'ready' end"
+
+
+@query(
+    "n14_game_status",
+    f"""{DONE}, u as (select strftime(ts, '%Y-%m-%d') || '-' || (user_id % 5)::varchar as game_id, count(*) as n, array_to_string(list_sort(list_distinct(list(event_type || ':' || (event_id % 50)::varchar))), ',') as keys from events where event_id % 50 in (3, 7) group by 1),
+    s as (select game_id, bool_or(len(errors) > 0) as bad from done group by 1)
+    select 'mapped' as identity, coalesce(s.game_id, u.game_id) as game_id, case when coalesce(bad, false) or u.n is not null then 'error' else 'ready' end as status, coalesce(u.n, 0)::bigint as n_unclassified, u.keys as keys from s full join u on s.game_id = u.game_id""",
+)
 def n14(spark, sf):
-    return derive.game_status(completed(spark, sf)[0])
+    """Games gated by broken rules or raw rows that could not be classified, with the keys of those."""
+    catalog = spark.createDataFrame([("mapped", "events", str(k), "ignore") for k in range(50) if k not in (3, 7)] + [("mapped", "events", "3", "unreviewed")], "identity string, dataset string, event_key string, handling string")
+    rows = read(spark, sf, "events").select(F.lit("mapped").alias("identity"), F.lit("events").alias("dataset"), game_of("ts", "user_id").alias("game_id"), (c("event_id") % 50).cast("string").alias("event_key"), "event_type")
+    missed = pbp.classified(rows, catalog).filter("unclassified").withColumn("event_key", F.concat_ws(":", "event_type", "event_key"))
+    return derive.game_status(completed(spark, sf)[0], missed)
 
 
-@query("p1_team_games")
+_COUNTS = ", ".join(f"(count(*) filter (where event in {sql_names(v)}))::int as {n}" for n, v in (box.WIDE | box.NARROW).items())
+_WORTH = "case " + " ".join(f"when event = '{n}' then {e.points}" for n, e in pbp.EVENTS.items() if e.points) + " else 0 end"
+_SPENT = "nullif(sum(greatest(0, end_secs - start_secs)) filter (where start_secs is not null and end_secs is not null), 0)::int"
+_PWINDOWS = """
+pm as (select *, lag(event) over w as pe, lag(seq) over w as ps, lag(secs) over w as pt from done where event in ('poss_start', 'poss_end') window w as (partition by game_id, team_id order by seq)),
+windows as (select game_id, team_id, ps as start_seq, seq as end_seq, pt as start_secs, secs as end_secs from pm where event = 'poss_end' and pe = 'poss_start')"""
+_OPP = [*box.WIDE, "points", "poss"]
+
+
+@query(
+    "p1_team_games",
+    f"""{DONE},{_PWINDOWS}, own as (select game_id, team_id, {_COUNTS}, sum({_WORTH})::int as points, (count(*) filter (where event = 'poss_start'))::int as poss from done where team_id <> '' group by all),
+    spent as (select game_id, team_id, {_SPENT} as o_poss_secs from windows group by all),
+    ends as (select game_id, case when count(*) = count(secs) then max(secs) end as secs from done where event = 'period_end' group by 1),
+    pairs as (select g.game_id, t.team_id, t.opp_id from (select distinct game_id from done) g, (values ('T0', 'T1'), ('T1', 'T0')) t(team_id, opp_id)),
+    whole as (select p.game_id, p.team_id, p.opp_id, {", ".join(f"coalesce({n}, 0) as {n}" for n in [*box.WIDE, *box.NARROW, "points", "poss"])}, o_poss_secs from pairs p left join own o using (game_id, team_id) left join spent s using (game_id, team_id))
+    select 'mapped' as identity, a.game_id, a.team_id, {", ".join(f"a.{n}" for n in [*box.WIDE, *box.NARROW, "points", "poss"])}, a.o_poss_secs, 2 * a.fg2_assists + 3 * a.fg3_assists as assist_points,
+      {", ".join(f"b.{n} as opp_{n}" for n in _OPP)}, b.o_poss_secs as d_poss_secs, secs, case when a.points <> b.points then a.points > b.points end as win
+    from whole a join whole b on a.game_id = b.game_id and a.opp_id = b.team_id left join ends e on a.game_id = e.game_id""",
+)
 def p1(spark, sf):
     """Box scores of teams after the derivation (§2.P)."""
     done, games = completed(spark, sf)
     return box.team_games(written(done), games)
 
 
-@query("p2_player_games")
+def _sided(test: str, prefix: str) -> str:
+    return ", ".join(f"(count(*) filter (where {test} and event in {sql_names(v)}))::int as {prefix}{n}" for n, v in box.WIDE.items()) + f", coalesce(sum({_WORTH}) filter (where {test}), 0)::int as {prefix}points"
+
+
+_KEYS = "game_id, team_id, player_id"
+
+
+@query(
+    "p2_player_games",
+    f"""{DONE},{_PWINDOWS},{INTERVALS.replace("from ev where", "from done where").lstrip(",")},
+    who as (select game_id, player_id, max_by(team_id, seq) as team_id, bool_or(source = 'derived:starter' and period = 1) as start from done where event = 'player_in' and player_id <> '' group by all),
+    own as (select {_KEYS}, {_COUNTS}, sum({_WORTH})::int as points from done where player_id <> '' group by all),
+    spent as (select {_KEYS}, {_SPENT} as secs from intervals group by all),
+    met as (select distinct d.*, i.team_id as ct, i.player_id as cp from done d join intervals i on d.game_id = i.game_id and d.seq between i.start_seq and i.end_seq where d.team_id <> ''
+      union all select d.*, w.team_id, w.player_id from done d join who w on d.game_id = w.game_id anti join intervals i on i.game_id = w.game_id and i.team_id = w.team_id and i.player_id = w.player_id where d.team_id <> ''),
+    court as (select game_id, ct as team_id, cp as player_id, {_sided("team_id = ct and player_id <> cp", "on_")}, {_sided("team_id <> ct", "opp_")} from met group by all),
+    held as (select distinct v.*, i.team_id as ct, i.player_id as cp from windows v join intervals i on v.game_id = i.game_id join done p on p.game_id = v.game_id and p.team_id = v.team_id and p.event in {sql_names(pbp.POSSESSION)}
+      where p.seq >= greatest(v.start_seq, i.start_seq) and p.seq < least(v.end_seq, i.end_seq)),
+    poss as (select game_id, ct as team_id, cp as player_id, nullif(count(*) filter (where team_id = ct), 0)::int as poss, nullif(sum(greatest(0, end_secs - start_secs)) filter (where team_id = ct and start_secs is not null and end_secs is not null), 0)::int as o_poss_secs,
+      nullif(count(*) filter (where team_id <> ct), 0)::int as opp_poss, nullif(sum(greatest(0, end_secs - start_secs)) filter (where team_id <> ct and start_secs is not null and end_secs is not null), 0)::int as d_poss_secs from held group by all)
+    select 'mapped' as identity, game_id, team_id, player_id, start, {", ".join(f"coalesce({n}, 0) as {n}" for n in [*box.WIDE, *box.NARROW, "points", *(p + n for p in ("on_", "opp_") for n in [*box.WIDE, "points"])])}, secs, poss, o_poss_secs, opp_poss, d_poss_secs,
+      2 * coalesce(fg2_assists, 0) + 3 * coalesce(fg3_assists, 0) as assist_points
+    from who left join own using ({_KEYS}) left join spent using ({_KEYS}) left join court using ({_KEYS}) left join poss using ({_KEYS})""",
+)
 def p2(spark, sf):
     return box.player_games(written(completed(spark, sf)[0]))
 

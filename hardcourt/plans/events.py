@@ -29,9 +29,13 @@ ev as (select game_id, event_id, seq, secs, period, team_id, player_id, ts,
 """
 
 
+def game_of(ts: str, user: str):
+    return F.concat_ws("-", F.date_format(ts, "yyyy-MM-dd"), c(user) % 5)
+
+
 def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events")
-    game, team = F.concat_ws("-", F.date_format("ts", "yyyy-MM-dd"), c("user_id") % 5), F.concat(F.lit("T"), F.floor(c("user_id") / 5) % 2)
+    game, team = game_of("ts", "user_id"), F.concat(F.lit("T"), F.floor(c("user_id") / 5) % 2)
     secs = F.when(c("event_id") % 7 != 0, F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts"))
     e = e.select("event_id", "ts", "event_type", game.alias("game_id"), team.alias("team_id"), c("user_id").cast("string").alias("player_id"), (1 + F.floor(F.hour("ts") / 6)).cast("int").alias("period"), secs.alias("secs"))
     nth = F.row_number().over(W.partitionBy("game_id", "player_id", "event_type").orderBy("ts", "event_id"))
@@ -82,7 +86,7 @@ def d4(spark, sf):
     return ev(spark, sf).filter(c("event") == "d_standard_foul").groupBy("game_id").agg(F.when(F.count("*") == F.count("secs"), F.max("secs")).alias("secs"))
 
 
-_INTERVALS = """,
+INTERVALS = """,
 marks as (select *, sum(case when event = 'player_in' then 1 else -1 end) over w as bal from ev where event in ('player_in', 'player_out') window w as (partition by game_id, team_id, player_id order by seq)),
 short as (select *, max(greatest(0, -bal)) over (partition by game_id, team_id, player_id order by seq) as short from marks),
 valid as (select *, event = 'player_in' or short = coalesce(lag(short) over (partition by game_id, team_id, player_id order by seq), 0) as ok from short),
@@ -91,12 +95,12 @@ intervals as (select a.game_id, a.team_id, a.player_id, a.seq as start_seq, b.se
   on a.game_id = b.game_id and a.team_id = b.team_id and a.player_id = b.player_id and a.k = b.k and a.event = 'player_in' and b.event = 'player_out')"""
 
 
-@query("e4_in_out_pairs", f"{EV}{_INTERVALS} select * from intervals")
+@query("e4_in_out_pairs", f"{EV}{INTERVALS} select * from intervals")
 def e4(spark, sf):
     return od.in_out_intervals(ev(spark, sf))
 
 
-@query("d5_player_seconds", f"{EV}{_INTERVALS} select game_id, team_id, player_id, nullif(sum(greatest(0, end_secs - start_secs)) filter (where start_secs is not null and end_secs is not null), 0)::bigint as secs from intervals group by all")
+@query("d5_player_seconds", f"{EV}{INTERVALS} select game_id, team_id, player_id, nullif(sum(greatest(0, end_secs - start_secs)) filter (where start_secs is not null and end_secs is not null), 0)::bigint as secs from intervals group by all")
 def d5(spark, sf):
     spent = F.when(c("start_secs").isNotNull() & c("end_secs").isNotNull(), F.greatest(F.lit(0), c("end_secs") - c("start_secs")))
     return od.in_out_intervals(ev(spark, sf)).groupBy("game_id", "team_id", "player_id").agg(F.nullif(F.sum(spent), F.lit(0)).alias("secs"))
@@ -142,7 +146,7 @@ def d9(spark, sf):
 
 @query(
     "c8_on_court",
-    f"""{EV}{_INTERVALS} select i.game_id, i.team_id as court_team, i.player_id as court_player, count(*) as events, count(*) filter (where e.team_id = i.team_id) as own
+    f"""{EV}{INTERVALS} select i.game_id, i.team_id as court_team, i.player_id as court_player, count(*) as events, count(*) filter (where e.team_id = i.team_id) as own
     from ev e join intervals i on e.game_id = i.game_id and e.seq between i.start_seq and i.end_seq group by 1, 2, 3""",
 )
 def c8(spark, sf):
@@ -152,7 +156,7 @@ def c8(spark, sf):
 
 @query(
     "c9_window_overlap",
-    f"""{EV}{_INTERVALS}{_WINDOWS}, met as (select distinct w.game_id, i.team_id as court_team, i.player_id as court_player, w.team_id, w.start_seq
+    f"""{EV}{INTERVALS}{_WINDOWS}, met as (select distinct w.game_id, i.team_id as court_team, i.player_id as court_player, w.team_id, w.start_seq
       from windows w join intervals i on w.game_id = i.game_id join ev p on p.game_id = w.game_id and p.team_id = w.team_id and p.event in ('fg2_make', 'rebound')
       where p.seq >= greatest(w.start_seq, i.start_seq) and p.seq < least(w.end_seq, i.end_seq))
     select game_id, court_team, court_player, team_id, count(*) as poss from met group by all""",

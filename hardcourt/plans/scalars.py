@@ -14,7 +14,7 @@ c = F.col
 LINE = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
 
 
-@query("l1_safe_int", "select p_partkey, round_even(p_retailprice * 10, 0)::int as price10, null::int as brand from part")
+@query("l1_safe_int", "select p_partkey, round_even(p_retailprice * 10, 0)::bigint as price10, null::bigint as brand from part")
 def l1(spark, sf):
     return read(spark, sf, "part").select("p_partkey", tr.safe_int(c("p_retailprice"), 10).alias("price10"), tr.safe_int(c("p_brand")).alias("brand"))
 
@@ -29,7 +29,7 @@ def l3(spark, sf):
     return read(spark, sf, "part").select("p_partkey", tr.safe_str(F.when(c("p_size") % 3 == 0, "").otherwise(c("p_brand"))).alias("brand"))
 
 
-@query("l4_null_if_zero", "select c_custkey, case when abs(c_acctbal / 1000) >= 1 then round_even(c_acctbal / 1000, 0)::int end as thousands from customer")
+@query("l4_null_if_zero", "select c_custkey, case when abs(c_acctbal / 1000) >= 1 then round_even(c_acctbal / 1000, 0)::bigint end as thousands from customer")
 def l4(spark, sf):
     return read(spark, sf, "customer").select("c_custkey", tr.null_if_zero(c("c_acctbal") / 1000).alias("thousands"))
 
@@ -64,14 +64,16 @@ def l8(spark, sf):
 _WORDS = "case w when 'Saint' then 'St' when 'Sainte' then 'Ste' when 'Mount' then 'Mt' when 'and' then '&' when 'LA' then 'Los Angeles' else w end"
 
 
+_LETTERS = tr.unaccented()
+
+
 @query(
     "l9_normalize_name",
     f"""select doc_id, nullif(array_to_string(list_filter(list_transform(string_split_regex(
-      strip_accents(replace(replace(substring(text, 1, 200), 'ß', 'ss'), 'æ', 'ae')), '\\s+'), lambda w: replace(replace({_WORDS}, '.', ''), ',', '')), lambda w: w <> ''), ' '), '') as name from documents""",
+      replace(replace(replace(translate(text, '{"".join(_LETTERS)}', '{"".join(_LETTERS.values())}'), 'ß', 'ss'), 'æ', 'ae'), 'œ', 'oe'), '\\s+'), lambda w: replace(replace({_WORDS}, '.', ''), ',', '')), lambda w: w <> ''), ' '), '') as name from documents""",
 )
 def l9(spark, sf):
-    """Names are short; a text's first 200 characters stand for one."""
-    return read(spark, sf, "documents").select("doc_id", tr.normalize_name(F.substring("text", 1, 200)).alias("name"))
+    return read(spark, sf, "documents").select("doc_id", tr.normalize_name(c("text")).alias("name"))
 
 
 @query(
@@ -196,7 +198,7 @@ def b5(spark, sf):
     return read(spark, sf, "orders").select("o_orderkey", ex.mapped(c("o_orderpriority"), {"1-URGENT": "high", "2-HIGH": "high", "5-LOW": "low"}, "mid").alias("class"))
 
 
-@query("b6_derived_math", "select l_orderkey, l_linenumber, round_even(l_extendedprice * (1 - l_discount), 0)::int as net, case when l_linenumber % 4 <> 0 then round_even(l_extendedprice / (l_linenumber % 4), 0)::int end as part from lineitem")
+@query("b6_derived_math", "select l_orderkey, l_linenumber, round_even(l_extendedprice * (1 - l_discount), 0)::bigint as net, case when l_linenumber % 4 <> 0 then round_even(l_extendedprice / (l_linenumber % 4), 0)::bigint end as part from lineitem")
 def b6(spark, sf):
     df = read(spark, sf, "lineitem").withColumn("zero", c("l_linenumber") % 4)
     net = tr.arithmetic("a * (1 - b)", {"a": c("l_extendedprice"), "b": c("l_discount")})
@@ -272,7 +274,7 @@ def d11(spark, sf):
     return calls[0].unionByName(calls[1]).groupBy("l_orderkey").agg(F.sum("n").alias("total"))
 
 
-@query("d12_pipeline_math", "select l_orderkey, round_even(first(l_quantity order by l_linenumber, l_partkey, l_suppkey, l_quantity) * 10 / 3, 0)::int as thirds from lineitem group by 1")
+@query("d12_pipeline_math", "select l_orderkey, round_even(first(l_quantity order by l_linenumber, l_partkey, l_suppkey, l_quantity) * 10 / 3, 0)::bigint as thirds from lineitem group by 1")
 def d12(spark, sf):
     rows = ex.listed_values(read(spark, sf, "lineitem"), "l_orderkey", c("l_quantity"), LINE)
     return rows.select("l_orderkey", tr.safe_int(tr.arithmetic("x * 10 / 3", {"x": F.get("values", F.lit(0))})).alias("thirds"))

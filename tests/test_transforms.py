@@ -14,6 +14,8 @@ CASES = [
     ("parse_date", "2024-10-22T00:00:00Z", datetime.date(2024, 10, 22)), ("format_season", "2012", "2012-13"), ("format_season", "1999", "1999-00"),
     ("normalize_name", "Saint  Émile Jr.", "St Emile Jr"), ("normalize_name", "Saint-Louis", "Saint-Louis"), ("normalize_name", "’", "'"), ("normalize_name", "", None),
     ("safe_str", "", None), ("to_str", None, ""),
+    ("safe_int", "12d", None), ("safe_int", "3000000000", 3000000000), ("safe_int", "inf", None), ("parse_date", "2024-10-22T25:00:00Z", None), ("parse_date", "2024-10-22T23:59", datetime.date(2024, 10, 22)),
+    ("normalize_name", "Ễạǎ Čá e\u0301 a\u030c", "Ễạǎ Ca e a\u030c"),
 ]
 
 
@@ -37,3 +39,8 @@ def test_arithmetic(spark):
     assert tuple(got) == (-4.0, 1.0, None, None, 47.0)
     with pytest.raises(ValueError):
         tr.arithmetic("__import__('os')", fields)
+
+
+def test_numbers_are_cut_to_their_whole_part(spark):
+    row = spark.range(1).select(tr.to_int(F.lit(11.0)), tr.to_int(F.lit(3.7)), tr.to_int(F.lit("11.0")), tr.format_season(F.lit(2012.0)), tr.format_season(F.lit("2012.0")), tr.to_int(F.lit(float("nan")))).first()
+    assert tuple(row) == (11, 3, 0, "2012-13", None, 0)
