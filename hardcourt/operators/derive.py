@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hardcourt.operators import pbp
+from hardcourt.operators.ordered import opponent
 
 c = F.col
 GAME = ("identity", "game_id")
@@ -24,6 +25,7 @@ MAKES = [*pbp.FG_MAKES, "ft1_make", "ft2_make", "ft3_make"]
 REBOUND_SKIP = ["block", "player_in", "player_out", *MAKES, *pbp.REBOUNDS]
 FOUL_SKIP = [*MAKES, "ft_miss", "o_foul_draw", "player_in", "player_out", *pbp.REBOUNDS]
 OFF_COURT_EXEMPT = pbp.FOULS
+ROUNDS = 2
 
 
 def over(*keys: str):
@@ -209,7 +211,7 @@ def scored_sequences(df: DataFrame) -> DataFrame:
 def possessed(df: DataFrame) -> DataFrame:
     """Possession markers, team rebounds nobody recorded, turnovers behind jump balls."""
     own, starts, ends = ~c("source").startswith("derived"), c("event") == "period_start", c("event") == "period_end"
-    other = F.when(c("team_id") == c("home"), c("away")).when(c("team_id") == c("away"), c("home"))
+    other = opponent(c("team_id"))
     indicates, team = is_in(pbp.POSSESSION), c("team_id")
     key = F.when(is_in(pbp.MISSES), c("event_id")).when(is_in(pbp.REBOUNDS), c("chain_id"))
     df = df.withColumns({"_key": key, "_other": other, "_nextp": first_after(indicates | ends, F.struct("event", "team_id"))})
@@ -238,14 +240,16 @@ def possessed(df: DataFrame) -> DataFrame:
         )
         return F.last(setter, ignorenulls=True).over(before(over()))["t"]
 
-    # a turnover of the team without the ball is an error and hands nothing over; until something does, it counts as the
-    # one behind a jump ball
-    df = df.withColumn("_was", holder())
-    wrong = own & (c("event") == "turnover") & (c("_was") != team)
-    passes = (is_in(["turnover", "d_reb"]) | (c("_live") & c("_held"))) & ~F.coalesce(c("_was") == F.when(c("event") == "d_reb", team).otherwise(c("_other")), F.lit(False))
-    settled = starts | ends | passes | c("_lost") | (c("_jump") & (c("_was") != team)) | (c("_soft") & ~c("_held"))
-    late = last_before(wrong | settled, F.coalesce(wrong, F.lit(False)))
-    df = df.withColumn("_jump", c("_jump") & ~F.coalesce(late, F.lit(False)))
+    # A turnover of the team without the ball is an error and hands nothing over; until something else does, it counts as
+    # the one behind a jump ball. Whether it is one can hang on a jump ball before it, so this is settled in rounds; more
+    # rounds than ROUNDS matter only where wrong turnovers and jump balls alternate, and such games are gated anyway.
+    df = df.withColumn("_jumps", c("_jump"))
+    for _ in range(ROUNDS):
+        df = df.withColumn("_was", holder())
+        wrong = own & (c("event") == "turnover") & (c("_was") != team)
+        passes = (is_in(["turnover", "d_reb"]) | (c("_live") & c("_held"))) & ~F.coalesce(c("_was") == F.when(c("event") == "d_reb", team).otherwise(c("_other")), F.lit(False))
+        settled = starts | ends | passes | c("_lost") | (c("_soft") & ~c("_held"))
+        df = df.withColumn("_jump", c("_jumps") & ~F.coalesce(last_before(wrong | settled, F.coalesce(wrong, F.lit(False))), F.lit(False)))
     df = df.withColumn("_was", holder())
     was, to = c("_was"), F.when(c("event") == "d_reb", team).otherwise(c("_other"))
     hands = is_in(["turnover", "d_reb"]) | c("_live")
@@ -298,17 +302,21 @@ def cleaned(df: DataFrame) -> DataFrame:
     return checked(df).select(*COLUMNS)
 
 
+def court_before() -> Column:
+    """How often the event's player has gone in less often gone out, before it."""
+    step = F.when(c("event") == "player_in", 1).when(c("event") == "player_out", -1).otherwise(0)
+    return F.coalesce(F.sum(step).over(before(over("team_id", "player_id"))), F.lit(0))
+
+
 def checked(df: DataFrame) -> DataFrame:
-    own = ~c("source").startswith("derived")
+    own, step = ~c("source").startswith("derived"), F.when(c("event") == "player_in", 1).when(c("event") == "player_out", -1).otherwise(0)
     mark, sub = is_in(["poss_start", "poss_end"]), is_in(["player_in", "player_out"])
     past, nxt = last_before(mark, c("event"), "team_id"), first_after(mark, c("event"), "team_id")
     final = within(F.max(F.when(c("event") == "period_end", c("seq"))))
-    step = F.when(c("event") == "player_in", 1).when(c("event") == "player_out", -1).otherwise(0)
-    court = F.coalesce(F.sum(step).over(before(over("team_id", "player_id"))), F.lit(0))
     left = F.sum(step).over(W.partitionBy(*GAME, "team_id", "player_id"))
     later = first_after(sub, c("event"), "team_id", "player_id")
     late = own & (c("seq") > final)
-    df = df.withColumns({"_past": past, "_nxt": nxt, "_court": court, "_left": left, "_later": later, "_late": F.coalesce(late, F.lit(False))})
+    df = df.withColumns({"_past": past, "_nxt": nxt, "_court": court_before(), "_left": left, "_later": later, "_late": F.coalesce(late, F.lit(False))})
     return with_errors(
         df,
         error(is_in(pbp.STANDARD_FOULS) & F.coalesce(c("fouled_player_id") == "", F.lit(True)), "foul_without_fouled_player"),

@@ -33,6 +33,11 @@ def cell(name: str, cells: str = "cells") -> Column:
     return F.when(~F.coalesce(value, F.lit("")).rlike(r"^\s*[\[{]"), value)
 
 
+def routed(value: Column, result_set: str) -> Column:
+    """A column that reads its own result set only: null in rows of others, so that merged rows keep what the right one said."""
+    return F.when(F.col("rs_name") == result_set, value)
+
+
 def entity_id(names: list[str], cells: str = "cells") -> Column:
     """The id under the first of its aliases that is there."""
     return F.coalesce(*(cell(n, cells) for n in names))

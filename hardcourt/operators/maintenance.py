@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 STAMPS = ("created_at", "updated_at")
 
@@ -105,7 +106,7 @@ class Merge:
     priority: tuple[str, ...] = ("priority",)
 
 
-#: Merges of the staged tables; joins name the identity table, which callers hand in by name.
+#: The merges of the staged tables, by their schema's column names; joins name the identity table, which callers hand in by name.
 MERGES: dict[str, Merge] = {
     "teams": Merge(("sts_id",), drop=("identity", "ext_id", "status"), rename={"matched_sts_id": "sts_id"}, where="status = 'ready'"),
     "players": Merge(("sts_id",), drop=("identity", "ext_id", "status"), rename={"matched_sts_id": "sts_id"}, where="status = 'ready'"),
@@ -201,20 +202,36 @@ def staged_stats(rows: DataFrame, existing: DataFrame, keys: list[str], context:
     return staged_rosters(full, existing, keys, {}), referenced_missing(full, profile_key, profiles, profile_key)
 
 
-def cleared(table: DataFrame) -> DataFrame:
-    """The table without rows."""
-    return table.filter(F.lit(False))
+def cleared(tables: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The tables without rows, to overwrite them with, and (table, deleted): how many rows that takes away."""
+    counts = [t.agg(F.count("*").alias("deleted")).select(F.lit(n).alias("table"), "deleted") for n, t in tables.items()]
+    return {n: t.limit(0) for n, t in tables.items()}, reduce(DataFrame.unionByName, counts)
+
+
+def stale_pruned(rows: DataFrame, league: str, identity: str, began: Column, stamp: str = "updated_at") -> DataFrame:
+    """Rows of one league and source that this run has not touched go; all others stay."""
+    mine = (F.col("league_code") == league) & (F.col("identity") == identity)
+    return rows.filter(~F.coalesce(mine & (F.col(stamp) < began), F.lit(False)))
 
 
 # Coverage: one row per combination and column, with a flag.
 
 
-def coverage_grid(*dimensions: DataFrame) -> DataFrame:
-    """All combinations of small configuration tables (seasons, types, targets, datasets and their columns).
+GRID_ROWS = 10_000
+
+
+def coverage_grid(first: DataFrame, *dimensions: DataFrame, most: int = GRID_ROWS) -> DataFrame:
+    """All combinations of configuration tables (seasons, types, targets, datasets and their columns).
 
-    The dimensions come from configuration, a few dozen rows each; the combinations are the result that is asked for.
+    Every dimension but the first comes as a list of its rows, which are counted: more than `most` are an error, no join.
     """
-    return reduce(lambda a, b: a.crossJoin(b), dimensions)
+    for d in dimensions:
+        rows = d.limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"a dimension of more than {most} rows: {', '.join(d.columns)}")
+        items = F.array(*(F.struct(*(F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in d.schema)) for r in rows)).cast(ArrayType(d.schema))
+        first = first.select("*", F.inline(items))
+    return first
 
 
 def seeded(existing: DataFrame, grid: DataFrame, keys: list[str]) -> DataFrame:

@@ -49,6 +49,22 @@ def nearest_anchor(df: DataFrame, anchor: Column, skip: Column, fields: list[str
     return found.withColumn(name, F.when(ok, F.struct(*(F.col(f"_a.{f}").alias(f) for f in fields)))).drop("_ord", "_a")
 
 
+def opponent(team: Column, home: str = "home", away: str = "away") -> Column:
+    """The other of a game's two teams; null for neither."""
+    return F.when(team == F.col(home), F.col(away)).when(team == F.col(away), F.col(home))
+
+
+def same_row(df: DataFrame, fields: list[str], keys: tuple[str, ...] = (*GAME, "event_id")) -> DataFrame:
+    """Each event with the others of its source row, as other_<field>: assists to makes, steals to turnovers."""
+    other = df.select(*keys, F.col("seq").alias("_other"), *(F.col(f).alias(f"other_{f}") for f in fields))
+    return df.join(other, [*keys]).filter(F.col("seq") != F.col("_other")).drop("_other")
+
+
+def first_last(df: DataFrame, test: Column, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, first_seq, last_seq) of the events that meet the test."""
+    return df.filter(test).groupBy(*keys).agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
+
+
 def next_kept(df: DataFrame, skip: Column, fields: list[str], keys: tuple[str, ...] = (*GAME, "period"), name: str = "next") -> DataFrame:
     """The next row that is not skipped, within the keys."""
     return df.withColumn(name, first_after(F.when(~skip, F.struct(*fields)), *keys))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -88,9 +89,28 @@ def event_key(rows: DataFrame) -> DataFrame:
     return rows.withColumn("event_key", F.concat(F.lit("MSG="), kind.cast("string"), F.lit("_ACT="), to_int(c("EVENTMSGACTIONTYPE")).cast("string"), extra))
 
 
+#: How the rows of a source get their event_key; a new source is a line here, or a function given to keyed().
 STRATEGIES = {"archive": event_key}
 
 
+def keyed(rows: DataFrame, strategy: str | Callable[[DataFrame], DataFrame] = "archive") -> DataFrame:
+    """rows with event_key, by a named strategy or by a function."""
+    return (STRATEGIES[strategy] if isinstance(strategy, str) else strategy)(rows)
+
+
+def discovered(rows: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(identity, dataset, event_key, n, known, classified_pct): the distinct keys, how often each occurs, whether the
+    catalog has a handling for it that counts, and the share of all rows of which it does, to one decimal.
+
+    Keys are counted before anything else, so what meets is a row a key.
+    """
+    keys = ["identity", "dataset", "event_key"]
+    counted = classified(rows.groupBy(*keys).agg(F.count("*").alias("n")), catalog).withColumn("known", ~c("unclassified"))
+    whole = W.partitionBy("identity", "dataset")
+    share = F.round(100.0 * F.sum(F.when(c("known"), c("n")).otherwise(0)).over(whole) / F.sum("n").over(whole), 1)
+    return counted.select(*keys, "n", "known", share.alias("classified_pct"))
+
+
 def classified(rows: DataFrame, catalog: DataFrame) -> DataFrame:
     """rows (identity, dataset, event_key, ...) with handling and unclassified; handlings that are not trusted don't count.
 

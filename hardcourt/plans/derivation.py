@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hardcourt.operators import box, derive, pbp
-from hardcourt.plans.derivation_sql import DERIVED
+from hardcourt.operators import ordered as od
+from hardcourt.plans.derivation_sql import CHAINED, DERIVED, POSSESSED, SCORED, lined_up
 from hardcourt.plans.derivation_sql import names as sql_names
 from hardcourt.plans.events import EV, INTERVALS, ev, game_of
 from hardcourt.plans.registry import query
@@ -116,23 +117,121 @@ windows as (select game_id, team_id, ps as start_seq, seq as end_seq, pt as star
 _OPP = [*box.WIDE, "points", "poss"]
 
 
-@query(
-    "p1_team_games",
-    f"""{DONE},{_PWINDOWS}, own as (select game_id, team_id, {_COUNTS}, sum({_WORTH})::int as points, (count(*) filter (where event = 'poss_start'))::int as poss from done where team_id <> '' group by all),
+def _teams(src: str) -> str:
+    """Box scores of teams (`teams`) of the stream `src`, in SQL."""
+    every = [*box.WIDE, *box.NARROW, "points", "poss"]
+    return f"""{_PWINDOWS.replace("from done", f"from {src}")}, own as (select game_id, team_id, {_COUNTS}, sum({_WORTH})::int as points, (count(*) filter (where event = 'poss_start'))::int as poss from {src} where team_id <> '' group by all),
     spent as (select game_id, team_id, {_SPENT} as o_poss_secs from windows group by all),
-    ends as (select game_id, case when count(*) = count(secs) then max(secs) end as secs from done where event = 'period_end' group by 1),
-    pairs as (select g.game_id, t.team_id, t.opp_id from (select distinct game_id from done) g, (values ('T0', 'T1'), ('T1', 'T0')) t(team_id, opp_id)),
-    whole as (select p.game_id, p.team_id, p.opp_id, {", ".join(f"coalesce({n}, 0) as {n}" for n in [*box.WIDE, *box.NARROW, "points", "poss"])}, o_poss_secs from pairs p left join own o using (game_id, team_id) left join spent s using (game_id, team_id))
-    select 'mapped' as identity, a.game_id, a.team_id, {", ".join(f"a.{n}" for n in [*box.WIDE, *box.NARROW, "points", "poss"])}, a.o_poss_secs, 2 * a.fg2_assists + 3 * a.fg3_assists as assist_points,
+    ends as (select game_id, case when count(*) = count(secs) then max(secs) end as secs from {src} where event = 'period_end' group by 1),
+    pairs as (select g.game_id, t.team_id, t.opp_id from (select distinct game_id from {src}) g, (values ('T0', 'T1'), ('T1', 'T0')) t(team_id, opp_id)),
+    whole as (select p.game_id, p.team_id, p.opp_id, {", ".join(f"coalesce({n}, 0) as {n}" for n in every)}, o_poss_secs from pairs p left join own o using (game_id, team_id) left join spent s using (game_id, team_id)),
+    teams as (select 'mapped' as identity, a.game_id, a.team_id, {", ".join(f"a.{n}" for n in every)}, a.o_poss_secs, 2 * a.fg2_assists + 3 * a.fg3_assists as assist_points,
       {", ".join(f"b.{n} as opp_{n}" for n in _OPP)}, b.o_poss_secs as d_poss_secs, secs, case when a.points <> b.points then a.points > b.points end as win
-    from whole a join whole b on a.game_id = b.game_id and a.opp_id = b.team_id left join ends e on a.game_id = e.game_id""",
-)
+    from whole a join whole b on a.game_id = b.game_id and a.opp_id = b.team_id left join ends e on a.game_id = e.game_id)"""
+
+
+@query("p1_team_games", f"{DONE},{_teams('done')} select * from teams")
 def p1(spark, sf):
     """Box scores of teams after the derivation (§2.P)."""
     done, games = completed(spark, sf)
     return box.team_games(written(done), games)
 
 
+# The same box scores of the source stream as it is, and its parts.
+
+
+def team_box(spark, sf) -> DataFrame:
+    return box.team_games(*stream(spark, sf))
+
+
+_FIELDS = [*box.WIDE, *box.NARROW, "points"]
+_SOURCE = f"{RAW},{_teams('raw')}"
+
+
+@query("d1_box_score", f"{_SOURCE} select game_id, team_id, {', '.join(_FIELDS)} from teams")
+def d1(spark, sf):
+    """Counts and points of teams."""
+    return team_box(spark, sf).select("game_id", "team_id", *_FIELDS)
+
+
+@query("b16_scope_columns", f"{_SOURCE} select game_id, team_id, {', '.join(f'{n}, opp_{n}' for n in [*box.WIDE, 'points'])} from teams")
+def b16(spark, sf):
+    """One field over several scopes, a column each."""
+    return team_box(spark, sf).select("game_id", "team_id", *(x for n in [*box.WIDE, "points"] for x in (n, f"opp_{n}")))
+
+
+@query("d3_derived_field", f"{_SOURCE} select game_id, team_id, assist_points from teams")
+def d3(spark, sf):
+    return team_box(spark, sf).select("game_id", "team_id", "assist_points")
+
+
+@query("d4_team_seconds", f"{_SOURCE} select game_id, team_id, secs from teams")
+def d4(spark, sf):
+    """The largest clock of the period ends, null unless all are timed."""
+    return team_box(spark, sf).select("game_id", "team_id", "secs")
+
+
+@query("d6_win", f"{_SOURCE} select game_id, team_id, win from teams")
+def d6(spark, sf):
+    return team_box(spark, sf).select("game_id", "team_id", "win")
+
+
+def chained(spark, sf) -> DataFrame:
+    made, games = stream(spark, sf)
+    dealt = made.withColumn("errors", F.expr("cast(array() as array<string>)")).join(games, "game_id")
+    return derive.chained(dealt.select(*derive.COLUMNS, "home", "away"), ("home", "away"))
+
+
+_LINED = f"{RAW},{CHAINED},{lined_up()}"
+
+
+@query("d7_start", f"{_LINED} select game_id, max_by(team_id, seq) as team_id, player_id, bool_or(source = 'derived:starter' and period = 1) as start from lined where event = 'player_in' and player_id <> '' group by game_id, player_id")
+def d7(spark, sf):
+    return box.player_games(derive.lined_up(chained(spark, sf), F.lit(5))).select("game_id", "team_id", "player_id", "start")
+
+
+@query("d18_lineup_size", f"{_LINED} select game_id, period, team_id, count(*) as size from lined where source = 'derived:lineup_sweep' group by all")
+def d18(spark, sf):
+    """How many each team has on court at a period's end."""
+    found = derive.lined_up(chained(spark, sf), F.lit(5))
+    return found.filter(c("source") == "derived:lineup_sweep").groupBy("game_id", "period", "team_id").agg(F.count("*").alias("size"))
+
+
+@query("d17_game_gate", f"{DONE} select game_id, {_STATUS} as status from done group by 1")
+def d17(spark, sf):
+    return derive.game_status(completed(spark, sf)[0]).select("game_id", "status")
+
+
+@query("e9_first_last", f"{RAW},{CHAINED} select game_id, chain_id, min(seq) as first_seq, max(seq) as last_seq from chained where event in {sql_names(pbp.FTS)} and chain_id is not null group by all")
+def e9(spark, sf):
+    """First and last free throw of each trip."""
+    return od.first_last(chained(spark, sf), c("event").isin(*pbp.FTS) & c("chain_id").isNotNull(), ("game_id", "chain_id"))
+
+
+@query("e11_court_state", f"{DONE} select game_id, seq, court > 0 as on_court from done")
+def e11(spark, sf):
+    done = completed(spark, sf)[0]
+    return done.select("game_id", "seq", (derive.court_before() > 0).alias("on_court"))
+
+
+@query("e12_possession_state", f"{RAW},{CHAINED},{lined_up()},{SCORED},{POSSESSED} select game_id, seq, period, team_id, event, source from held_ where event in ('poss_start', 'poss_end')")
+def e12(spark, sf):
+    """Who gets and who gives up the ball, before empty windows go."""
+    held = derive.possessed(derive.scored_sequences(derive.lined_up(chained(spark, sf), F.lit(5))))
+    return held.filter(c("event").isin("poss_start", "poss_end")).select("game_id", "seq", "period", "team_id", "event", "source")
+
+
+@query("c15_same_row", f"{RAW} select a.game_id, a.seq, a.event, b.event as other_event from raw a join raw b on a.game_id = b.game_id and a.event_id = b.event_id and a.seq <> b.seq")
+def c15(spark, sf):
+    return od.same_row(stream(spark, sf)[0], ["event"]).select("game_id", "seq", "event", "other_event")
+
+
+@query("c16_opponent", f"{RAW} select game_id, seq, case team_id when 'T0' then 'T1' when 'T1' then 'T0' end as opponent from raw")
+def c16(spark, sf):
+    made, games = stream(spark, sf)
+    return made.join(games, "game_id").select("game_id", "seq", od.opponent(c("team_id")).alias("opponent"))
+
+
 def _sided(test: str, prefix: str) -> str:
     return ", ".join(f"(count(*) filter (where {test} and event in {sql_names(v)}))::int as {prefix}{n}" for n, v in box.WIDE.items()) + f", coalesce(sum({_WORTH}) filter (where {test}), 0)::int as {prefix}points"
 
@@ -260,3 +359,99 @@ def f1(spark, sf):
 def f2(spark, sf):
     clock = F.concat_ws(":", c("event_id") % 5, F.date_format("ts", "ss"))
     return read(spark, sf, "events").select("event_id", pbp.elapsed(clock, 1 + c("event_id") % 7, F.lit(720), F.lit(300)).cast("int").alias("secs"))
+
+
+# Raw rows made of the table of events: every kind of row, ids that name a team, a player or nobody, clocks that can't be read.
+_KINDS = [1, 2, 3, 4, 5, 6, 8, 10, 12, 13, 18, 99, 1, 2, 3, 4, 8, 1, 2, 3]
+_HANDLED = {
+    **{f"MSG=1_ACT={a}_{h}=3PT": "fg3_make" if h == "HAS" else "fg2_make" for a in range(4) for h in ("HAS", "NO")},
+    **{f"MSG=2_ACT={a}_{h}=3PT": "fg3_miss" if h == "HAS" else "fg2_miss" for a in range(4) for h in ("HAS", "NO")},
+    **{f"MSG=3_ACT={a}_{h}=MISS": "ft_miss" if h == "HAS" else "ft1_make" for a in range(4) for h in ("HAS", "NO")},
+    **{f"MSG=4_ACT={a}": "rebound" for a in range(4)}, **{f"MSG=5_ACT={a}": "turnover" for a in range(4)},
+    "MSG=6_ACT=0": "d_standard_foul", "MSG=6_ACT=1": "o_standard_foul", "MSG=6_ACT=2": "elevated_foul", "MSG=6_ACT=3": "unreviewed",
+    **{f"MSG=8_ACT={a}": "substitution" for a in range(4)}, **{f"MSG=10_ACT={a}": "jump_ball_win" for a in range(4)},
+    **{f"MSG=12_ACT={a}": "period_start" for a in range(4)}, **{f"MSG=13_ACT={a}": "period_end" for a in range(4)}, **{f"MSG=18_ACT={a}": "ignore" for a in range(4)},
+}
+_ROWS = f"""with r0 as (select event_id as num, {_KINDS}[1 + event_id % {len(_KINDS)}] as k, event_id % 4 as act, 1 + event_id % 6 as period, strftime(ts, '%Y-%m-%d') || '-' || (user_id % 5)::varchar as game_id, event_type, user_id as u,
+    case when event_id % 17 = 0 then null else (event_id % 12) * 60 + second(ts) end as remaining from events),
+r1 as (select *, 'MSG=' || k || '_ACT=' || act || case when k in (1, 2) then case when event_type = 'view' then '_HAS=3PT' else '_NO=3PT' end when k = 3 then case when event_type = 'click' then '_HAS=MISS' else '_NO=MISS' end else '' end as key,
+    case when num % 13 = 0 then '0' when num % 19 = 0 then 'T1' else (u % 40)::varchar end as x1, case when num % 3 = 0 then '0' else ((u + num) % 40)::varchar end as x2, case when num % 5 = 0 then 'T0' when num % 2 = 0 then '' else ((u + 7) % 40)::varchar end as x3,
+    case when num % 4 = 0 then '' else 'T' || u % 2 end as row_team, case when num % 7 = 0 then 'T' || num % 2 else '0' end as third_team from r0),
+lengths as (select game_id, coalesce(min_by(remaining, num) filter (where period = 1 and k = 12 and remaining is not null), max(remaining) filter (where period = 1))::int as regulation,
+    coalesce(min_by(remaining, num) filter (where period = 5 and k = 12 and remaining is not null), max(remaining) filter (where period = 5))::int as overtime from r0 group by 1)"""
+_CATALOG = ", ".join(f"('{k}', '{v}')" for k, v in _HANDLED.items() if v != "unreviewed")
+
+
+def raw_rows(spark, sf) -> DataFrame:
+    e = read(spark, sf, "events")
+    num, u = c("event_id"), c("user_id")
+    kind = F.element_at(F.array(*map(F.lit, _KINDS)), (num % len(_KINDS) + 1).cast("int"))
+    clock = F.when(num % 17 == 0, "soon").otherwise(F.concat_ws(":", num % 12, F.date_format("ts", "ss")))
+    return e.select(
+        F.lit("mapped").alias("identity"), F.lit("rows").alias("dataset"), game_of("ts", "user_id").alias("GAME_ID"), num.cast("string").alias("EVENTNUM"), kind.cast("string").alias("EVENTMSGTYPE"), (num % 4).cast("string").alias("EVENTMSGACTIONTYPE"),
+        (1 + num % 6).cast("string").alias("PERIOD"), clock.alias("PCTIMESTRING"), F.when(c("event_type") == "view", "a 3pt shot").alias("HOMEDESCRIPTION"), F.lit(None).cast("string").alias("NEUTRALDESCRIPTION"), F.when(c("event_type") == "click", "Miss, free throw").alias("VISITORDESCRIPTION"),
+        F.when(num % 13 == 0, "0").when(num % 19 == 0, "T1").otherwise((u % 40).cast("string")).alias("PLAYER1_ID"), F.when(num % 4 == 0, "").otherwise(F.concat(F.lit("T"), u % 2)).alias("PLAYER1_TEAM_ID"),
+        F.when(num % 3 == 0, "0").otherwise(((u + num) % 40).cast("string")).alias("PLAYER2_ID"), F.when(num % 5 == 0, "T0").when(num % 2 == 0, "").otherwise(((u + 7) % 40).cast("string")).alias("PLAYER3_ID"), F.when(num % 7 == 0, F.concat(F.lit("T"), num % 2)).otherwise("0").alias("PLAYER3_TEAM_ID"),
+    )
+
+
+def classified_rows(spark, sf) -> DataFrame:
+    catalog = spark.createDataFrame([("mapped", "rows", k, v) for k, v in _HANDLED.items()], "identity string, dataset string, event_key string, handling string")
+    return pbp.classified(pbp.keyed(raw_rows(spark, sf)), catalog)
+
+
+@query("d16_period_lengths", f"{_ROWS} select * from lengths")
+def d16(spark, sf):
+    """The start clock of the first period and of the first overtime if there is one, else the largest clock seen."""
+    return pbp.period_lengths(raw_rows(spark, sf))
+
+
+def _events(handling: str, *found: tuple[str, str, str, str]) -> str:
+    made = ", ".join(f"{{'event': {e}, 'team': {t}, 'player': {p}, 'fouled': {f}}}" for e, t, p, f in found)
+    return f"when {handling} then [{made}]"
+
+
+_NONE, _FOULED = "null::varchar", "case when handling <> 'elevated_foul' then pl2 end"
+_MADE = f"""case
+  {_events("handling in ('period_start', 'period_end')", ("handling", "''", "''", _NONE))}
+  {_events("handling = 'o_standard_foul' and pl2 is not null", ("handling", "team", "actor", _FOULED), ("'o_foul_draw'", "opponent", "pl2", _NONE))}
+  {_events(f"handling in {sql_names(pbp.FOULS)}", ("handling", "team", "actor", _FOULED))}
+  {_events("handling = 'jump_ball_win' and jump_team <> ''", ("handling", "jump_team", "''", _NONE))}
+  when handling = 'jump_ball_win' or not known then []
+  {_events("handling = 'rebound'", ("'rebound'", "team", "actor", _NONE))}
+  {_events("handling = 'substitution'", ("'player_in'", "team", "coalesce(pl2, '')", _NONE), ("'player_out'", "team", "actor", _NONE))}
+  {_events("handling = 'turnover' and pl2 is not null", ("handling", "team", "actor", _NONE), ("'steal'", "opponent", "pl2", _NONE))}
+  {_events(f"handling in {sql_names(pbp.FG_MAKES)} and pl2 is not null", ("handling", "team", "actor", _NONE), ("handling[:3] || '_assist'", "team", "pl2", _NONE))}
+  {_events(f"handling in {sql_names(pbp.FG_MISSES)} and pl3 is not null", ("handling", "team", "actor", _NONE), ("'block'", "opponent", "pl3", _NONE))}
+  else [{{'event': handling, 'team': team, 'player': actor, 'fouled': {_NONE}}}] end"""
+
+
+@query(
+    "f3_normalised_events",
+    f"""{_ROWS}, catalog(key, handling) as (values {_CATALOG}),
+    entity as (select id, any_value(kind) as kind, any_value(team) as team from (select 'T0' as id, 'team' as kind, 'T0' as team union all select 'T1', 'team', 'T1' union all select i::varchar, 'player', 'T' || i % 2 from range(1, 33) t(i)) group by 1),
+    r2 as (select r.*, handling, a.kind as t1, b.kind as t2, d.kind as t3, a.team as m1, d.team as m3, regulation, overtime from r1 r join catalog using (key) left join entity a on a.id = x1 left join entity b on b.id = x2 left join entity d on d.id = x3 left join lengths using (game_id) where handling <> 'ignore'),
+    r3 as (select *, case when row_team not in ('', '0') then row_team else coalesce(m1, '') end as team, coalesce(case when t1 = 'player' then x1 end, '') as actor, case when t2 = 'player' then x2 end as pl2, case when t3 = 'player' then x3 end as pl3,
+      t1 is not null or row_team not in ('', '0') as known,
+      case when period <= 5 then regulation * (period - 1) else regulation * 4 + overtime * (period - 5) end + case when period <= 4 then regulation else overtime end - remaining as secs from r2),
+    r4 as (select *, case team when 'T0' then 'T1' when 'T1' then 'T0' else '' end as opponent, case when third_team not in ('', '0') then third_team when t3 is not null then coalesce(m3, team) else team end as jump_team from r3),
+    r5 as (select game_id, num, period, secs, unnest({_MADE}) as e, unnest(range(len({_MADE}))) as k from r4),
+    r6 as (select *, bool_and(secs is not null) over (partition by game_id) as timed from r5)
+    select game_id, num::varchar as event_id, (row_number() over (partition by game_id order by case when timed then secs end nulls first, num, k) - 1)::int as seq, secs::int as secs, period::int as period, e.team as team_id, e.player as player_id, e.event as event, e.fouled as fouled_player_id from r6""",
+)
+def f3(spark, sf):
+    """Raw rows to no, one or two events each."""
+    teams = spark.createDataFrame([("T0",), ("T1",)], "ext_id string")
+    players = spark.createDataFrame([(str(i), f"T{i % 2}") for i in range(33)], "ext_id string, team_id string")
+    rows = classified_rows(spark, sf)
+    games = rows.select(c("GAME_ID").alias("game_id")).distinct().withColumns({"home": F.lit("T0"), "away": F.lit("T1")})
+    return pbp.normalised(rows, pbp.entity_dimension(teams, players), games).select("game_id", "event_id", "seq", "secs", "period", "team_id", "player_id", "event", "fouled_player_id")
+
+
+@query("o6_match_strategy", "select event_id, event_type || '/' || (event_id % 3)::varchar as event_key, event_id % 3 = 0 and event_type = 'view' as known from events")
+def o6(spark, sf):
+    """A source's own way to its keys."""
+    rows = read(spark, sf, "events").withColumns({"identity": F.lit("own"), "dataset": F.lit("rows")})
+    catalog = spark.createDataFrame([("own", "rows", "view/0", "fg2_make")], "identity string, dataset string, event_key string, handling string")
+    found = pbp.classified(pbp.keyed(rows, lambda df: df.withColumn("event_key", F.concat_ws("/", "event_type", c("event_id") % 3))), catalog)
+    return found.select("event_id", "event_key", (~c("unclassified")).alias("known"))

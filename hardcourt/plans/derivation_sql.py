@@ -150,6 +150,18 @@ def was(jump: str) -> str:
     return f"(last_value({setter} ignore nulls) over ({w()} {BEFORE})).t"
 
 
+def _rounds() -> str:
+    """Jump balls that count, settled in rounds."""
+    out = "j0 as (select *, jump as jumps from p4),"
+    for k in range(derive.ROUNDS):
+        out += f"""
+j{k}a as (select *, {was("jump")} as was0 from j{k}),
+j{k}b as (select *, coalesce({OWN} and event = 'turnover' and was0 <> team_id, false) as wrong,
+  coalesce(event in ('period_start', 'period_end') or ((event in ('turnover', 'd_reb') or (live and held)) and not coalesce(was0 = {_TO}, false)) or lost or (soft and not held), false) as settled from j{k}a),
+j{k + 1} as (select * exclude (jump, was0, wrong, settled), jumps and not coalesce({past("wrong or settled", "wrong")}, false) as jump from j{k}b),"""
+    return out
+
+
 def mark(test: str, slot: str, event: str, team: str) -> tuple[str, str]:
     return f"({test}) and {team} is not null", row("seq", slot, event=f"'{event}'", team_id=team, source=f"'derived:{event}'")
 
@@ -163,11 +175,8 @@ p1 as (select *, case when final and not {within(f"bool_or({REB})", "key")} then
 p2 as (select *, coalesce(({POSS} and event not in ('turnover', 'd_reb', 'jump_ball_win')) or reb = team_id, false) as soft, coalesce(reb <> team_id, false) as lost from p1),
 p3 as (select *, coalesce((event = 'period_start' and first_t is not null) or event in ('turnover', 'd_reb') or soft or reb is not null, false) as opens from p2),
 p4 as (select *, coalesce(bool_or(opens) over ({w("bound")} {BEFORE}), false) as held from p3),
-p5 as (select *, {was("jump")} as was0 from p4),
-p6 as (select *, coalesce({OWN} and event = 'turnover' and was0 <> team_id, false) as wrong,
-  coalesce(event in ('period_start', 'period_end') or ((event in ('turnover', 'd_reb') or (live and held)) and not coalesce(was0 = {_TO}, false)) or lost or (jump and was0 <> team_id) or (soft and not held), false) as settled from p5),
-p7 as (select * exclude (jump), jump and not coalesce({past("wrong or settled", "wrong")}, false) as jump from p6),
-p8 as (select *, {was("jump")} as was, {_TO} as dest from p7),
+{_rounds()}
+p8 as (select *, {was("jump")} as was, {_TO} as dest from j{derive.ROUNDS}),
 p9 as (select *, (event in ('turnover', 'd_reb') or live) and dest is not null and (was is null or was <> dest) and (was is not null or not live) as changes, soft and was is null as opened,
   jump and was is not null and was <> team_id as jumped, lost and (was is null or was = team_id) as gives from p8),
 p10 as (select * exclude (errors), {errors(("(event = 'turnover' and was <> team_id) or (live and was is not null and was <> team_id) or (lost and was is not null and was <> team_id)", "poss_mismatch"),

@@ -44,48 +44,6 @@ def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("game_id", "event_id", "seq", "secs", "period", "team_id", "player_id", "ts", name.alias("event"))
 
 
-def opponent(team):
-    return F.when(team == "T0", "T1").when(team == "T1", "T0")
-
-
-SHOTS = ("fg2_make", "fg2_miss")
-_BOX = "count(*) filter (where event = 'fg2_make') as fg2m, count(*) filter (where event in ('fg2_make', 'fg2_miss')) as fg2a, count(*) filter (where event = 'rebound') as rebs, count(*) filter (where event = 'd_standard_foul') as fouls, coalesce(sum(2) filter (where event = 'fg2_make'), 0)::bigint as points"
-
-
-def box():
-    return [F.count_if(c("event") == "fg2_make").alias("fg2m"), F.count_if(c("event").isin(*SHOTS)).alias("fg2a"), F.count_if(c("event") == "rebound").alias("rebs"), F.count_if(c("event") == "d_standard_foul").alias("fouls"), F.sum(F.when(c("event") == "fg2_make", 2).otherwise(0)).alias("points")]
-
-
-@query("d1_box_score", f"{EV} select game_id, team_id, {_BOX} from ev group by 1, 2")
-def d1(spark, sf):
-    """Counts and points of teams."""
-    return ev(spark, sf).groupBy("game_id", "team_id").agg(*box())
-
-
-@query(
-    "b16_scope_columns",
-    f"""{EV}, b as (select game_id, team_id, {_BOX} from ev group by 1, 2)
-    select b.game_id, b.team_id, b.fg2m, b.points, o.fg2m as opp_fg2m, o.points as opp_points from b left join b o on b.game_id = o.game_id and b.team_id <> o.team_id""",
-)
-def b16(spark, sf):
-    """Scopes fanned out (team and opponent), counted once, pivoted into columns."""
-    e = ev(spark, sf).withColumn("scoped", F.explode(F.array(F.struct(c("team_id").alias("team"), F.lit("own").alias("scope")), F.struct(opponent(c("team_id")).alias("team"), F.lit("opp").alias("scope")))))
-    wide = e.withColumns({"team": c("scoped.team"), "scope": c("scoped.scope")}).groupBy("game_id", "team").pivot("scope", ["own", "opp"])
-    out = wide.agg(F.count_if(c("event") == "fg2_make").alias("fg2m"), F.sum(F.when(c("event") == "fg2_make", 2).otherwise(0)).alias("points"), F.count(F.lit(1)).alias("n"))
-    return out.filter("own_n > 0").select("game_id", c("team").alias("team_id"), c("own_fg2m").alias("fg2m"), c("own_points").alias("points"), F.when(c("opp_n") > 0, c("opp_fg2m")).alias("opp_fg2m"), F.when(c("opp_n") > 0, c("opp_points")).alias("opp_points"))
-
-
-@query("d3_derived_field", f"{EV}, b as (select game_id, team_id, {_BOX} from ev group by 1, 2) select game_id, team_id, 2 * fg2m + 3 * nullif(rebs, 0) as weighted from b")
-def d3(spark, sf):
-    return ev(spark, sf).groupBy("game_id", "team_id").agg(*box()).select("game_id", "team_id", F.expr("2 * fg2m + 3 * nullif(rebs, 0)").alias("weighted"))
-
-
-@query("d4_team_seconds", f"{EV} select game_id, case when count(*) = count(secs) then max(secs) end as secs from ev where event = 'd_standard_foul' group by 1")
-def d4(spark, sf):
-    """Fouls stand for period ends: the largest clock, null unless all are timed."""
-    return ev(spark, sf).filter(c("event") == "d_standard_foul").groupBy("game_id").agg(F.when(F.count("*") == F.count("secs"), F.max("secs")).alias("secs"))
-
-
 INTERVALS = """,
 marks as (select *, sum(case when event = 'player_in' then 1 else -1 end) over w as bal from ev where event in ('player_in', 'player_out') window w as (partition by game_id, team_id, player_id order by seq)),
 short as (select *, max(greatest(0, -bal)) over (partition by game_id, team_id, player_id order by seq) as short from marks),
@@ -106,18 +64,6 @@ def d5(spark, sf):
     return od.in_out_intervals(ev(spark, sf)).groupBy("game_id", "team_id", "player_id").agg(F.nullif(F.sum(spent), F.lit(0)).alias("secs"))
 
 
-@query("d6_win", f"{EV}, b as (select game_id, team_id, {_BOX} from ev group by 1, 2) select b.game_id, b.team_id, case when b.points <> o.points then b.points > o.points end as win from b left join b o on b.game_id = o.game_id and b.team_id <> o.team_id")
-def d6(spark, sf):
-    b = ev(spark, sf).groupBy("game_id", "team_id").agg(*box()).select("game_id", "team_id", "points")
-    o = b.select("game_id", opponent(c("team_id")).alias("team_id"), c("points").alias("theirs"))
-    return b.join(o, ["game_id", "team_id"], "left").select("game_id", "team_id", F.when(c("points") != c("theirs"), c("points") > c("theirs")).alias("win"))
-
-
-@query("d7_start", f"{EV} select game_id, team_id, player_id, bool_or(event = 'player_in' and period = 1) as start from ev group by all")
-def d7(spark, sf):
-    return ev(spark, sf).groupBy("game_id", "team_id", "player_id").agg(F.bool_or((c("event") == "player_in") & (c("period") == 1)).alias("start"))
-
-
 # Makes open and rebounds close a team's windows here.
 _WINDOWS = """,
 pm as (select *, lag(event) over w as pe, lag(seq) over w as ps, lag(secs) over w as pt from ev where event in ('fg2_make', 'rebound') window w as (partition by game_id, team_id order by seq)),
@@ -187,21 +133,6 @@ def c14(spark, sf):
     return od.next_kept(ev(spark, sf), c("event").isin("player_in", "player_out"), ["event"]).select("game_id", "seq", c("next.event").alias("next_event"))
 
 
-@query("c15_same_row", f"{EV} select a.game_id, a.event_id, a.event, b.event as other from ev a join ev b on a.game_id = b.game_id and a.event_id // 2 = b.event_id // 2 and a.event_id <> b.event_id")
-def c15(spark, sf):
-    """Events of one source row (here: ids that halve alike) linked to each other."""
-    e = ev(spark, sf).withColumn("row", F.floor(c("event_id") / 2))
-    o = e.select("game_id", "row", c("event_id").alias("other_id"), c("event").alias("other"))
-    return e.join(o, ["game_id", "row"]).filter("event_id <> other_id").select("game_id", "event_id", "event", "other")
-
-
-@query("c16_opponent", f"{EV} select game_id, seq, case team_id when 'T0' then 'T1' when 'T1' then 'T0' end as opponent from ev")
-def c16(spark, sf):
-    e = ev(spark, sf)
-    games = e.select("game_id").distinct().withColumns({"home": F.lit("T0"), "away": F.lit("T1")})
-    return e.join(games, "game_id").select("game_id", "seq", F.when(c("team_id") == c("home"), c("away")).when(c("team_id") == c("away"), c("home")).alias("opponent"))
-
-
 @query("e1_resequence", f"{EV} select game_id, event_id, seq from ev")
 def e1(spark, sf):
     return ev(spark, sf).select("game_id", "event_id", "seq")
@@ -247,11 +178,6 @@ def e8(spark, sf):
     return found.withColumn("n", n).filter("n = 1").select("game_id", "event_id", "chain")
 
 
-@query("e9_first_last", f"{EV} select distinct game_id, team_id, period, min(seq) over w as first_seq, max(seq) over w as last_seq from ev where event = 'fg2_make' window w as (partition by game_id, team_id, period)")
-def e9(spark, sf):
-    return ev(spark, sf).filter(c("event") == "fg2_make").groupBy("game_id", "team_id", "period").agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
-
-
 @query(
     "e10_move_to_anchor",
     f"""{EV}{_C13}, k as (select game_id, event_id, seq, case when event = 'rebound' and ord - ao - 1 <= 2 and ap = period then ae end as chain from a),
@@ -265,49 +191,6 @@ def e10(spark, sf):
     return od.resequenced(found.withColumns({"base": F.coalesce(base, c("seq")), "slot": base.isNotNull().cast("int")}), ["base", "slot", "seq"]).select("game_id", "event_id", "seq")
 
 
-@query(
-    "e11_court_state",
-    f"{EV} select game_id, event_id, coalesce(lag(event) over (partition by game_id, period, team_id, player_id order by seq) <> 'player_out', false) as on_court from ev",
-)
-def e11(spark, sf):
-    past = F.lag("event").over(od.by_seq("game_id", "period", "team_id", "player_id"))
-    return ev(spark, sf).select("game_id", "event_id", F.coalesce(past != "player_out", F.lit(False)).alias("on_court"))
-
-
-@query(
-    "e12_possession_state",
-    f"""{EV} select game_id, seq, last_value(case event when 'rebound' then team_id when 'fg2_make' then case team_id when 'T0' then 'T1' else 'T0' end end ignore nulls)
-      over (partition by game_id, period order by seq) as team from ev""",
-)
-def e12(spark, sf):
-    setter = F.when(c("event") == "rebound", c("team_id")).when(c("event") == "fg2_make", opponent(c("team_id")))
-    return ev(spark, sf).select("game_id", "seq", F.last(setter, ignorenulls=True).over(od.by_seq("game_id", "period")).alias("team"))
-
-
-@query("d16_period_lengths", f"{EV} select game_id, coalesce(min_by(secs, seq) filter (where period = 1 and event = 'player_in'), max(secs) filter (where period = 1)) as regulation from ev group by 1")
-def d16(spark, sf):
-    """The start clock of period 1 if there is one, else the largest clock seen; player_in stands for period_start."""
-    start = F.min_by("secs", F.when((c("period") == 1) & (c("event") == "player_in") & c("secs").isNotNull(), c("seq")))
-    return ev(spark, sf).groupBy("game_id").agg(F.coalesce(start, F.max(F.when(c("period") == 1, c("secs")))).alias("regulation"))
-
-
-@query("d17_game_gate", f"{EV} select game_id, case when bool_or(secs is null and event = 'd_standard_foul') then 'error' else 'ready' end as status from ev group by 1")
-def d17(spark, sf):
-    return ev(spark, sf).groupBy("game_id").agg(F.when(F.bool_or(c("secs").isNull() & (c("event") == "d_standard_foul")), "error").otherwise("ready").alias("status"))
-
-
-@query(
-    "d18_lineup_size",
-    f"""{EV}, gp as (select distinct game_id, period from ev), t as (select * from gp cross join (values ('T0'), ('T1')) v(team_id))
-    select t.game_id, t.period, t.team_id, count(distinct player_id) filter (where event = 'player_in') as size from t left join ev using (game_id, period, team_id) group by all""",
-)
-def d18(spark, sf):
-    """Both teams of every period, those without events too."""
-    e = ev(spark, sf)
-    teams = e.select("game_id", "period").distinct().withColumn("team_id", F.explode(F.array(F.lit("T0"), F.lit("T1"))))
-    return teams.join(e, ["game_id", "period", "team_id"], "left").groupBy("game_id", "period", "team_id").agg(F.count_distinct(F.when(c("event") == "player_in", c("player_id"))).alias("size"))
-
-
 @query("c6_classify", "select event_id, case event_type when 'view' then 'fg2_make' when 'click' then 'ignore' when 'purchase' then null else null end as handling, event_type not in ('view', 'click') as unclassified from events")
 def c6(spark, sf):
     """Keys meet the catalog; unknown, unreviewed and retired handlings are unclassified."""
@@ -334,9 +217,8 @@ def c7(spark, sf):
 
 @query("d14_catalog_discovery", "select event_type as event_key, count(*) as n, event_type in ('view', 'click') as known, round(100.0 * sum(count(*)) filter (where event_type in ('view', 'click')) over () / sum(count(*)) over (), 1)::double as classified_pct from events group by 1")
 def d14(spark, sf):
-    known = spark.createDataFrame([("view",), ("click",)], "event_key string").withColumn("known", F.lit(True))
-    keys = read(spark, sf, "events").groupBy(c("event_type").alias("event_key")).agg(F.count("*").alias("n"))
-    # one row per distinct key: a few, counted before they meet
-    found = keys.join(known, "event_key", "left").withColumn("known", F.coalesce("known", F.lit(False)))
-    share = found.agg(F.round(100.0 * F.sum(F.when(c("known"), c("n")).otherwise(0)) / F.sum("n"), 1).alias("classified_pct")).withColumn("one", F.lit(1))
-    return found.withColumn("one", F.lit(1)).join(share, "one").drop("one")
+    from hardcourt.operators.pbp import discovered
+
+    catalog = spark.createDataFrame([("src", "ds", "view", "fg2_make"), ("src", "ds", "click", "ignore"), ("src", "ds", "error", "unreviewed")], "identity string, dataset string, event_key string, handling string")
+    rows = read(spark, sf, "events").select(F.lit("src").alias("identity"), F.lit("ds").alias("dataset"), c("event_type").alias("event_key"))
+    return discovered(rows, catalog).select("event_key", "n", "known", "classified_pct")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -88,9 +89,12 @@ def m7(spark, sf):
     return mt.staged_stats(rows, old, ["ext_player_id", "season"], {"season": "2024-25"}, old, "ext_player_id")[0]
 
 
-@query("m12_clear", "select count(*) as n from customer where false")
+@query("m12_clear", "select 'customer' as table, count(*) as deleted, 0::bigint as left_over from customer union all select 'orders', count(*), 0 from orders")
 def m12(spark, sf):
-    return mt.cleared(read(spark, sf, "customer")).agg(F.count("*").alias("n"))
+    tables = {n: read(spark, sf, n) for n in ("customer", "orders")}
+    empty, deleted = mt.cleared(tables)
+    rest = reduce(lambda a, b: a.unionByName(b), (t.agg(F.count("*").alias("left_over")).withColumn("table", F.lit(n)) for n, t in empty.items()))
+    return deleted.join(rest, "table")
 
 
 @query(
@@ -155,10 +159,10 @@ def m14(spark, sf):
     return cust.join(mt.unreferenced(cust, "c_custkey", [(recent, "o_custkey")]), "c_custkey", "left_anti")
 
 
-@query("m15_prune_stale", "select event_id from events where not (event_type = 'view' and ts < timestamp '2024-01-15')")
+@query("m15_prune_stale", "select event_id from events where not (event_type = 'view' and user_id % 2 = 0 and ts < timestamp '2024-01-15')")
 def m15(spark, sf):
-    """Rows of one league that this run did not touch go."""
-    return read(spark, sf, "events").filter(~((c("event_type") == "view") & (c("ts") < F.lit("2024-01-15").cast("timestamp")))).select("event_id")
+    rows = read(spark, sf, "events").select("event_id", c("event_type").alias("league_code"), F.concat(F.lit("src"), c("user_id") % 2).alias("identity"), c("ts").alias("updated_at"))
+    return mt.stale_pruned(rows, "view", "src0", F.lit("2024-01-15").cast("timestamp")).select("event_id")
 
 
 @query(

@@ -141,6 +141,17 @@ def a2(spark, sf):
     return rows.select(ex.entity_id(["NATION_ID", "nationId"]).alias("id"), ex.cell("NAME").alias("name"), ex.cell("REGION").alias("region"), (c("row_no") >= 0).alias("ok"))
 
 
+@query("b9_result_set_routing", "select n_regionkey::varchar as region, max(n_name) as last_name, min(r_name) as label from nation join region on n_regionkey = r_regionkey group by 1")
+def b9(spark, sf):
+    """Two result sets of one response with columns of the same header; each field reads its own."""
+    nations = read(spark, sf, "nation").groupBy(c("n_regionkey").alias("k")).agg(F.array_sort(F.collect_list(F.array(c("n_regionkey").cast("string"), "n_name"))).alias("a"))
+    regions = read(spark, sf, "region").select(c("r_regionkey").alias("k"), F.array(F.array(c("r_regionkey").cast("string"), "r_name")).alias("b"))
+    sets = [F.struct(F.lit(n).alias("name"), F.array(F.lit("ID"), F.lit("NAME")).alias("headers"), c(x).alias("rowSet")) for n, x in (("Nations", "a"), ("Regions", "b"))]
+    body = nations.join(regions, "k").select(F.to_json(F.struct(F.array(*sets).alias("resultSets"))).alias("body"))
+    rows = ex.result_rows(body).select(ex.cell("ID").alias("region"), ex.routed(ex.cell("NAME"), "Nations").alias("last_name"), ex.routed(ex.cell("NAME"), "Regions").alias("label"), "rs_no", "row_no")
+    return ex.merged_entities(rows, ["region"], ["rs_no", "row_no"], ["last_name", "label"])
+
+
 @query("a3_raw_rows", "select o_custkey, string_agg(o_orderkey::varchar || ':' || o_orderstatus, ',' order by o_orderkey) as records from orders where o_orderstatus in ('F', 'O') group by 1")
 def a3(spark, sf):
     rows = ex.raw_rows(read(spark, sf, "orders"), "o_custkey", ["o_orderkey"], ["o_orderstatus"], c("o_orderstatus").isin("F", "O"))
