@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hardcourt.sources.tables import shared_folder
+
 PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()
 
@@ -26,19 +28,6 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it. Only a local session, whose one machine is all there is,
-    gets a temporary one where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 def stored(df: DataFrame) -> DataFrame:
     """df written to a table in the shared folder and read again: computed once, lineage cut, safe from lost executors."""
     return Scratch(df.sparkSession).stored(df)
@@ -51,7 +40,7 @@ class Scratch:
         self.spark, self.paths = spark, {}
 
     def stored(self, df: DataFrame) -> DataFrame:
-        path = f"{shared_dir(self.spark).rstrip('/')}/{uuid.uuid4().hex}"
+        path = f"{shared_folder(self.spark)}/{uuid.uuid4().hex}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (path, out)
