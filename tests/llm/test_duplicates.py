@@ -74,10 +74,11 @@ def test_near_duplicates_by_force(spark):
     assert {r.doc_id: r.class_id for r in got.collect()} == classes_by_force(rows)
 
 
-@pytest.mark.parametrize("block", [512, 2])
-def test_large_buckets_are_searched_by_blocks(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "stragglers"), [(512, 4096), (2, 0)])
+def test_large_buckets_are_searched_by_blocks(spark, monkeypatch, block, stragglers):
     monkeypatch.setattr(om, "SMALL", 3)
     monkeypatch.setattr(om, "BLOCK", block)
+    monkeypatch.setattr(om, "STRAGGLERS", stragglers)
     rows = near_copies(8)
     got = om.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.doc_id: r.class_id for r in got.collect()} == classes_by_force(rows)
@@ -89,7 +90,7 @@ def test_blocks_join_all_that_can_be_joined(spark):
     texts_ = {i: om.kmers(words(t)) for i, t in rows}
     big = {i for i in texts_ if i % 8 < 4}
     schema = "key long, node long, root long, n int"
-    members = spark.createDataFrame([(1, i, -1 if i in big else i, len(g)) for i, g in texts_.items()], schema)
+    members = spark.createDataFrame([(-1, i, -1 if i in big else i, len(g)) for i, g in texts_.items()], schema)
     shingles = spark.createDataFrame([(i, bytearray(g.astype("<u8").tobytes())) for i, g in texts_.items()], "node long, g binary")
     for block in (512, 7):
         om.BLOCK, kept = block, om.BLOCK
