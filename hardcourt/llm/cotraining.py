@@ -13,7 +13,8 @@ are broadcast. Scoring is one map-side pass over all texts.
 
 Nulls: a text counts as empty, language and source as a value of their own, length as 0; labels with a null are unknown.
 An id labelled more than once takes the worse label. Repeated rows are scored each; an empty table gives no rows; without
-labels of both classes a question is answered with the base rate. Further columns are not read.
+labels of both classes a question is answered with the base rate. Further columns are not read. Texts of any length are
+read whole. Ties: of equally sure documents the lesser id and hash is handed on first; a probability of 0.5 keeps.
 """
 
 from __future__ import annotations

@@ -121,3 +121,72 @@ def test_shots_and_index():
     assert media_avi.riff_parts(movie) == (frames, 2000, media_avi.FRAME_MS)
     cut = movie[: movie.index(b"idx1")]
     assert media_avi.riff_parts(cut)[0] == frames
+
+
+def decoded_by_force(jpeg):
+    """A lossless frame of one component, predictor 1, read bit by bit as the standard says."""
+    at, codes, data = 2, {}, b""
+    while at < len(jpeg):
+        marker, size = jpeg[at + 1], int.from_bytes(jpeg[at + 2 : at + 4], "big")
+        body = jpeg[at + 4 : at + 2 + size]
+        at += 2 + size
+        if marker == 0xC3:
+            lines, width = int.from_bytes(body[1:3], "big"), int.from_bytes(body[3:5], "big")
+        elif marker == 0xC4:
+            code, k = 0, 17
+            for length in range(1, 17):
+                for _ in range(body[length]):
+                    codes[(length, code)] = body[k]
+                    code, k = code + 1, k + 1
+                code <<= 1
+        elif marker == 0xDA:
+            data = jpeg[at:]
+            break
+    out, line, k = [], b"", 0
+    while len(out) < lines:
+        if data[k] == 0xFF and data[k + 1]:
+            bits = "".join(f"{b:08b}" for b in line)
+            row, past, place = [], 128, 0
+            for _ in range(width):
+                length = next(n for n in range(1, 17) if (n, int(bits[place : place + n], 2)) in codes)
+                size = codes[(length, int(bits[place : place + length], 2))]
+                place += length
+                value = int(bits[place : place + size] or "0", 2)
+                place += size
+                past += value if not size or value >> (size - 1) else value - (1 << size) + 1
+                row.append(past % 65536)
+            out.append(bytes(row))
+            line, k = b"", k + 2
+        else:
+            line, k = line + data[k : k + 1], k + (2 if data[k] == 0xFF else 1)
+    return b"".join(out)
+
+
+def test_frames_by_force():
+    raw = [hashlib.sha512(bytes([k])).digest() * (1 + k % 3) for k in range(6)] + [b"\xff\x00" * 32, b"text of a page. " * 8]
+    for frame, jpeg in zip(raw, media_avi.encode_frames(raw), strict=True):
+        assert decoded_by_force(jpeg) == frame
+
+
+def test_shots_by_force(spark):
+    def by_force(frames):
+        hist = [[sum(b // 16 == k for b in f) / len(f) for k in range(16)] for f in frames]
+        change = [sum(abs(a - b) for a, b in zip(x, y, strict=True)) for x, y in zip(hist, hist[1:], strict=False)]
+        cuts = []
+        for i, c in enumerate(change):
+            before = change[max(0, i - media_avi.BEFORE) : i]
+            mean = sum(before) / max(1, len(before))
+            spread = (sum(b * b for b in before) / max(1, len(before)) - mean * mean) if before else 0
+            if c > max(media_avi.FLOOR, mean + media_avi.DEVIATIONS * max(0, spread) ** 0.5):
+                cuts.append(i + 1)
+        edges = [0, *cuts, len(frames)]
+        return list(zip(edges, edges[1:], strict=False))
+
+    got = {r.doc_id: r for r in media_avi.op8_avi_media(spark, SF).collect()}
+    size = media_avi.WIDTH * media_avi.HEIGHT
+    for r in table(spark).filter("doc_id < 60").collect():
+        payload = media_avi.payload_of(r.text)[1]
+        frames = [payload[k : k + size].ljust(size, b"\0") for k in range(0, len(payload), size)]  # the last one is filled
+        want = ",".join(f"{a * media_avi.FRAME_MS}-{b * media_avi.FRAME_MS}" for a, b in by_force(frames))
+        assert got[r.doc_id].feature == want, r.doc_id
+        assert got[r.doc_id].media_bytes > len(payload) // 8 and len(got[r.doc_id].media_sha256) == 64
