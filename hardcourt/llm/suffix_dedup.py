@@ -5,8 +5,10 @@ occurrences of a passage keep the same suffixes, whatever surrounds them. Any pa
 suffix within its first WINDOW words, hence with NEAR = LEAST - WINDOW + 1 words of the passage behind it.
 
 1. Suffixes whose first NEAR words, as a hash, occur in no other document are left out: they can't be in a passage.
-2. The others get LEAST words to their right and the WINDOW - 1 words to their left, and are put in the order of the words
-   to the right, then those to the left: range partitions, sorted each.
+2. The others get LEAST words to their right and the WINDOW - 1 words to their left, and are put in order: by the hash of
+   the first NEAR words, which keeps equal ones together, then by all words to the right, then by those to the left. The
+   order is dealt out in ranges of that hash, id and place, so that a passage in very many documents has many tasks and
+   the ranges are found from numbers alone; each is sorted by itself.
 3. Neighbours in that order that are of different documents are compared word by word and extended right and left. What
    agrees over LEAST words or more is a passage in both.
 4. Suffixes with the same NEAR words are a run of neighbours. In a run of three or more, or one that a partition's end
@@ -256,8 +258,8 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
     scratch.drop(every)
     held = scratch.stored(contents(rows, seen))
     scratch.drop(seen)
-    order = ("right", "left", "doc_id", "pos")
-    found = scratch.stored(neighbours(held.repartitionByRange(*order).sortWithinPartitions(*order)))
+    dealt = held.repartitionByRange("near", "doc_id", "pos").sortWithinPartitions("near", "right", "left", "doc_id", "pos")
+    found = scratch.stored(neighbours(dealt))
     again = scratch.stored(digests(held.join(found.filter("near is not null").select("near").distinct(), "near", "left_semi")))
     scratch.drop(held)
     more = of_several(again, "whole", scratch).select("doc_id", "start", F.lit(LEAST).alias("length"))
