@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from hardcourt.plans.derivation_sql import CHAINED, DERIVED, POSSESSED, SCORED,
 from hardcourt.plans.derivation_sql import names as sql_names
 from hardcourt.plans.events import EV, INTERVALS, ev, game_of
 from hardcourt.plans.registry import query
-from hardcourt.sources.tables import read, written
+from hardcourt.sources.tables import RAW_COLUMNS, read, read_play_by_play, shared_folder, written
 
 c = F.col
 
@@ -455,3 +457,22 @@ def o6(spark, sf):
     catalog = spark.createDataFrame([("own", "rows", "view/0", "fg2_make")], "identity string, dataset string, event_key string, handling string")
     found = pbp.classified(pbp.keyed(rows, lambda df: df.withColumn("event_key", F.concat_ws("/", "event_type", c("event_id") % 3))), catalog)
     return found.select("event_id", "event_key", (~c("unclassified")).alias("known"))
+
+
+@query(
+    "a1_play_by_play_file",
+    f"{_ROWS} select game_id as \"GAME_ID\", r.event_id::varchar as \"EVENTNUM\", k::varchar as \"EVENTMSGTYPE\", period::varchar as \"PERIOD\", case when r.event_id % 17 = 0 then 'soon' else (r.event_id % 12) || ':' || lpad(second(ts)::varchar, 2, '0') end as \"PCTIMESTRING\", x1 as \"PLAYER1_ID\" from r1 join events r on num = r.event_id",
+)
+def a1(spark, sf):
+    """The raw rows written as a season's file, and read as one."""
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    rows = raw_rows(spark, sf)
+    rows.select(*(c(n) if n in rows.columns else F.lit(None).cast("string").alias(n) for n in RAW_COLUMNS)).write.option("header", True).csv(path)
+    return read_play_by_play(spark, path).select("GAME_ID", "EVENTNUM", "EVENTMSGTYPE", "PERIOD", "PCTIMESTRING", "PLAYER1_ID")
+
+
+@query("o7_result_fields", f"{RAW} select game_id, team_id, (count(*) filter (where event in ('fg3_make', 'fg3_miss')))::int as threes, (count(*) filter (where event in ('steal', 'block')))::int as stops from raw where team_id <> '' group by all")
+def o7(spark, sf):
+    """Fields that are not built in, each a line of configuration."""
+    more = {"threes": ["fg3_make", "fg3_miss"], "stops": ["steal", "block"]}
+    return stream(spark, sf)[0].filter("team_id <> ''").groupBy("game_id", "team_id").agg(*box.counts(more))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hardcourt.operators import maintenance as mt
 from hardcourt.plans.registry import query
-from hardcourt.sources.tables import append, read, shared_folder
+from hardcourt.sources.tables import append, error_rows, read, shared_folder
 
 c = F.col
 T = "(select c_custkey, case when c_custkey % 5 <> 0 then c_acctbal end as c_acctbal, c_mktsegment from customer where c_custkey % 3 <> 0)"
@@ -330,3 +330,8 @@ def a8(spark, sf):
     for _ in range(2):
         append(read(spark, sf, "customer"), path, ["c_custkey", "c_mktsegment"])
     return spark.read.parquet(path).agg(F.count("*").alias("n"), F.count("c_mktsegment").alias("known"))
+
+
+@query("a9_error_rows", "select 'merge' as phase, 'no key' as message, '{\"event_id\":' || event_id || ',\"user_id\":' || user_id || '}' as detail from events where event_type = 'error'")
+def a9(spark, sf):
+    return error_rows(read(spark, sf, "events").filter("event_type = 'error'"), "merge", "no key", ["event_id", "user_id"])

@@ -64,6 +64,16 @@ def l8(spark, sf):
 _WORDS = "case w when 'Saint' then 'St' when 'Sainte' then 'Ste' when 'Mount' then 'Mt' when 'and' then '&' when 'LA' then 'Los Angeles' else w end"
 
 
+@query(
+    "o5_transform_by_name",
+    "select p_partkey, p_size as size, nullif(p_brand, '') as brand, round_even(p_retailprice, 0)::bigint as price, p_retailprice >= 1000 as dear, p_brand = 'Brand#1' as first from part",
+)
+def o5(spark, sf):
+    """Transforms looked up by the names that configurations use."""
+    named = {"size": ("p_size", "to_int", {}), "brand": ("p_brand", "safe_str", {}), "price": ("p_retailprice", "safe_int", {}), "dear": ("p_retailprice", "gte", {"threshold": 1000}), "first": ("p_brand", "eq", {"threshold": "Brand#1"})}
+    return read(spark, sf, "part").select("p_partkey", *(tr.TRANSFORMS[how](c(col), **more).alias(out) for out, (col, how, more) in named.items()))
+
+
 _LETTERS = tr.unaccented()
 
 
