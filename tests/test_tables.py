@@ -34,6 +34,29 @@ def test_merge_filters_resolves_and_gates(spark):
     assert rows(mt.merged(staged, once, mt.MERGES["team_seasons"], ids)) == rows(once)
 
 
+@pytest.mark.parametrize("name", sorted(mt.MERGES))
+def test_every_merge(spark, name):
+    """Two ready rows of one key, one of a key that no identity knows, one that the merge's filter leaves out."""
+    m = mt.MERGES[name]
+    made = {x.split("=")[0] for *_, x in m.joins} | {*m.rename.values()}
+    ext = [x for x, *_ in m.joins]
+    cols = sorted({*m.drop, *ext, *m.rename, *(k for k in m.keys if k not in made), "val", "priority", "games", "status"})
+
+    def row(**change):
+        known = {"val": 7, "priority": 1, "games": 3, "status": "ready"} | change
+        return tuple(known.get(x, "1") for x in cols)
+
+    rows_ = [row(val=None), row(val=8, priority=2), *([row(**{ext[0]: "2"})] if ext else []), *([row(status="pending" if "ready" in m.where else "error", games=0, val=99, priority=0)] if m.where != "true" else [])]
+    schema = ", ".join(f"{x} {'int' if x in ('val', 'priority', 'games') else 'string'}" for x in cols)
+    ids = {t: spark.createDataFrame([("1", "10")], f"ext_id string, {x.split('=')[-1]} string") for _, t, _, x in m.joins}
+    empty = spark.createDataFrame([], ", ".join(f"{k} string" for k in m.keys) + ", val int")
+    once = mt.merged(spark.createDataFrame(rows_, schema), empty, m, ids)
+    got = once.collect()
+    assert len(got) == 1 and all(getattr(got[0], k) == ("10" if any(k == x.split("=")[0] for *_, x in m.joins) else "1") for k in m.keys)
+    assert got[0].val in (None, 8)
+    assert rows(mt.merged(spark.createDataFrame(rows_, schema), once, m, ids)) == rows(once)
+
+
 def test_coverage_and_retention(spark):
     cov = spark.createDataFrame([("s1", "c1", True), ("s1", "c2", False)], "season string, col_name string, covered boolean")
     assert [r.complete for r in mt.complete(cov, ["season"]).collect()] == [False]
