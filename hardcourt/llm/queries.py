@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from hardcourt.llm.count_rtree import OP11_SQL, op11_ngram_jaccard
 from hardcourt.llm.cotraining import op1_cotraining
 from hardcourt.llm.decontaminate import OP10_SQL, op10_decontaminate
 from hardcourt.llm.license_scan import op4_license_alignment
@@ -27,6 +28,7 @@ QUERIES = {
         op9_host_reputation,
         op10_decontaminate,
         packed_conversations,
+        op11_ngram_jaccard,
     )
 }
-ORACLES = {"op9_host_reputation": OP9_SQL, "op10_decontaminate": OP10_SQL}
+ORACLES = {"op9_host_reputation": OP9_SQL, "op10_decontaminate": OP10_SQL, "op11_ngram_jaccard": OP11_SQL}
