@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from hardcourt.llm.components import rooted, stars
 from hardcourt.llm.order_minhash import by_main_component, keyed
-from hardcourt.llm.runtime import Scratch, ship, table
+from hardcourt.llm.runtime import Scratch, set_apart, ship, table
 from hardcourt.llm.words import mixed
 
 SHINGLE, PERCENT = 4, 85
@@ -286,7 +286,7 @@ def links_across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
 def ngram_components(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs."""
-    scratch, docs = Scratch(docs.sparkSession), keyed(docs, key, text)
+    scratch, docs = Scratch(docs.sparkSession), keyed(set_apart(docs, (key, text))[0], key, text)
     known = scratch.stored(profiles(docs, percent))
     members = scratch.stored(boxes(known.filter("keys is not null").select(F.explode("keys").alias("key"), "node")))
     ends = members.select("lead", "node").distinct()
