@@ -10,13 +10,13 @@ of their counts, group by group, and two boxes of points at most the sum of the
    all shingles, of more than s runs. So the first level of the tree is exact: each run's points are boxes of one point, and
    only texts that share such a box can link. Runs without a shingle say nothing; since more than s runs agree, a set with
    at most s empty ones leaves them out. Where D is 0, only equal sets link, which are one text from the start.
-2. Every box links its members to its least one (a star, not all pairs). Links are kept if the sum of minima over GROUPS
-   groups allows it and the sets, then compared, are alike enough.
+2. Every box links its members to its least one (a star, not all pairs). Links are kept if the sum of minima of their
+   points (about PER_GROUP shingles a group) allows it and the sets, then compared, are alike enough.
 3. Components of the links are found. Boxes of three texts or more that still hold several components are put together by
    the largest of these, each text once; that component is cut into blocks, and the texts outside it are laid beside each
-   block and each other. A task packs its texts' points into an R-tree, walks it against itself, drops pairs of boxes whose
-   sizes, components or summed minima exclude a link, verifies the surviving pairs from the most alike down and returns
-   links that join components, fewer than it has texts.
+   block and each other. A task packs its texts' points into an R-tree, walks it against itself and drops pairs of boxes
+   whose sizes, components or summed minima exclude a link. For texts that have a partner left their sets are fetched, the
+   surviving pairs are verified from the most alike down, and links that join components are returned, fewer than texts.
 
 So no link between different components is lost, whatever the sizes of groups, and no group's pairs are written out.
 
@@ -38,14 +38,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hardcourt.llm.components import rooted, stars
-from hardcourt.llm.order_minhash import by_main_component, keyed
+from hardcourt.llm.order_minhash import keyed
 from hardcourt.llm.runtime import Scratch, set_apart, ship, table
 from hardcourt.llm.words import mixed
 
 SHINGLE, PERCENT = 4, 85
-GROUPS, SPARE, CLASS = 64, 3, 1.5
+SPARE, CLASS = 3, 1.5
+LEAST_GROUPS, MOST_GROUPS, PER_GROUP = 64, 4096, 8
 FANOUT = 8
 BLOCK, BLOCK_SHINGLES = 512, 1 << 19
+BROADCAST_ROWS = 500_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _PAIRS = 1 << 14
 
@@ -98,16 +100,33 @@ def run_keys(shingles: np.ndarray, percent: int = PERCENT) -> list[np.ndarray]:
         runs = most + 1 + spare
         edges = np.array([-(-(j << 64) // runs) for j in range(1, runs)], np.uint64)
         at = np.concatenate([[0], np.searchsorted(shingles, edges), [n]])
-        key = mixed((sums[at[1:]] - sums[at[:-1]]) ^ mixed(np.arange(k << 32, (k << 32) + runs, dtype=np.uint64)))
+        # the class stands in the last bits, so that a box knows it
+        key = mixed((sums[at[1:]] - sums[at[:-1]]) ^ mixed(np.arange(k << 32, (k << 32) + runs, dtype=np.uint64))) & ~np.uint64(63) | np.uint64(k)
         there = at[1:] > at[:-1]
         out.append(key[there] if (~there).sum() <= spare else key)
     return out
 
 
-def points(shingles: list[np.ndarray]) -> np.ndarray:
-    """Each set's count in each of GROUPS groups."""
-    bits = np.uint64(64 - GROUPS.bit_length() + 1)
-    return np.array([np.bincount((g >> bits).astype(np.int64), minlength=GROUPS) for g in shingles], np.int32).reshape(-1, GROUPS)
+def groups(k: int) -> int:
+    """Into how many groups a class's points count: about PER_GROUP shingles in each."""
+    return min(MOST_GROUPS, max(LEAST_GROUPS, 1 << (class_starts_at(k) // PER_GROUP).bit_length()))
+
+
+def class_starts_at(k: int) -> int:
+    start = 1
+    for _ in range(k):
+        start = max(start + 1, int(start * CLASS))
+    return start
+
+
+def point(shingles: np.ndarray, many: int) -> np.ndarray:
+    """The set's count in each of `many` groups, a power of two."""
+    return np.bincount((shingles >> np.uint64(65 - many.bit_length())).astype(np.int64), minlength=many).astype("<i4")
+
+
+def folded(counts: np.ndarray, many: int) -> np.ndarray:
+    """The counts of fewer groups."""
+    return counts.reshape(many, -1).sum(axis=1)
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -157,7 +176,7 @@ class CountTree:
         return self.order[i[best]], self.order[j[best]]
 
 
-def joining_links(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
+def joining_links(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], many: int, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links between sets of different components, enough to join all that links among these sets join."""
     sizes = np.array([len(g) for g in sets], np.int64)
     parent = {r: r for r in roots.tolist()}
@@ -168,7 +187,7 @@ def joining_links(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], pe
         return r
 
     links = []
-    for a, b in zip(*(x.tolist() for x in CountTree(points(sets), sizes, roots).candidates(percent)), strict=True):
+    for a, b in zip(*(x.tolist() for x in CountTree(np.array([point(g, many) for g in sets]), sizes, roots).candidates(percent)), strict=True):
         p, q = top(int(roots[a])), top(int(roots[b]))
         if p != q and shared(sets[a], sets[b]) >= least_shared(len(sets[a]), len(sets[b]), percent):
             parent[p] = q
@@ -177,25 +196,29 @@ def joining_links(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], pe
 
 
 def profiles(docs: DataFrame, percent: int) -> DataFrame:
-    """doc_id, row, node (digest of the set, null for an empty one), n, keys (for the first of a task's equal sets)."""
+    """doc_id, row, node (digest of the set, null for an empty one), n, and for the first of a task's equal sets its keys
+    and its point in the groups of the last class it is in."""
     ship(docs.sparkSession)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            nodes, sizes, keys = [], [], []
+            nodes, sizes, keys, at = [], [], [], []
             for text in batch.column(2).to_pylist():
                 g = shingle_set(text)
                 node = int.from_bytes(hashlib.blake2b(g.astype("<u8").tobytes(), digest_size=8).digest(), "little", signed=True) if len(g) else None
+                own = [] if node is None or node in seen else run_keys(g, percent)
+                seen.add(node)
                 nodes.append(node)
                 sizes.append(len(g))
-                keys.append(np.concatenate([np.zeros(0, np.uint64), *run_keys(g, percent)]).view(np.int64) if node is not None and node not in seen else None)
-                seen.add(node)
+                keys.append(np.concatenate(own).view(np.int64) if own else None)
+                at.append(point(g, groups(int(own[-1][0]) & 63)).tobytes() if own else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "row", "node", "n", "keys"]
+                [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(at, pa.binary())],
+                ["doc_id", "row", "node", "n", "keys", "point"],
             )
 
-    return docs.select("doc_id", "row", "text").mapInArrow(step, "doc_id long, row binary, node long, n long, keys array<long>")
+    return docs.select("doc_id", "row", "text").mapInArrow(step, "doc_id long, row binary, node long, n long, keys array<long>, point binary")
 
 
 def boxes(keyed_nodes: DataFrame) -> DataFrame:
@@ -223,65 +246,109 @@ def boxes(keyed_nodes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(step, "key long, lead long, node long")
 
 
-def set_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, g): the sets, as sorted 64-bit numbers, of the texts that are wanted (node, doc_id, row).
+def set_rows(docs: DataFrame, known: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, g): the sets, as sorted 64-bit numbers, of `nodes`, each from one row of docs.
 
-    Repeated rows are taken together before the one exchange of texts, which the join then shares.
+    Up to BROADCAST_ROWS rows are broadcast, so that no text is exchanged; more are joined by exchanges.
     """
     ship(docs.sparkSession)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            g = [shingle_set(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in g], pa.int64()), pa.array([x.astype("<u8").tobytes() for x in g], pa.binary())], ["node", "n", "g"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t).astype("<u8").tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["node", "g"])
 
-    rows = docs.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), "row", "text").dropDuplicates(["_id", "row"])
-    found = rows.join(wanted.select("node", F.coalesce("doc_id", F.lit(0)).alias("_id"), "row"), ["_id", "row"])
-    return found.select("node", "text").mapInArrow(step, "node long, n long, g binary")
+    rows = known.join(nodes, "node", "left_semi").groupBy("node", "doc_id", "row").agg(F.count("*").alias("times"))
+    rows = rows.groupBy("node").agg(F.min(F.struct("doc_id", "row", "times")).alias("r"))
+    wanted = Scratch(docs.sparkSession).stored(rows.select("node", F.coalesce("r.doc_id", F.lit(0)).alias("_id"), "r.row", "r.times"))
+    size = wanted.agg(F.count("*").alias("n"), F.max("times").alias("times")).collect()[0]
+    texts = docs.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), "row", "text")
+    if (size["times"] or 1) > 1:
+        texts = texts.dropDuplicates(["_id", "row"])
+    wanted = wanted.select("node", "_id", "row")
+    found = texts.join(F.broadcast(wanted) if size["n"] <= BROADCAST_ROWS else wanted, ["_id", "row"])
+    return found.select("node", "text").mapInArrow(step, "node long, g binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: their points allow it, and so do their sets."""
+def likely(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and points allow to link."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = ([np.frombuffer(x, "<u8") for x in batch.column(c).to_pylist()] for c in (2, 3))
-            need = [least_shared(len(a), len(b), percent) for a, b in zip(left, right, strict=True)]
-            may = np.minimum(points(left), points(right)).sum(axis=1) >= np.array(need, np.int64)
-            keep = [bool(m) and shared(a, b) >= k for m, a, b, k in zip(may, left, right, need, strict=True)]
+            keep = []
+            for m, n, x, y in zip(*(batch.column(c).to_pylist() for c in (2, 3, 4, 5)), strict=True):
+                x, y = np.frombuffer(x, "<i4"), np.frombuffer(y, "<i4")
+                many = min(len(x), len(y))
+                keep.append(bool(np.minimum(folded(x, many), folded(y, many)).sum() >= least_shared(m, n, percent)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left, right = (sets.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("g").alias(f"g{c}")) for c in "ab")
+    left, right = (facts.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("point").alias(f"p{c}")) for c in "ab")
     near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    return pairs.join(right, "b").join(left, "a").filter(near).select("a", "b", "ga", "gb").mapInArrow(step, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").filter(near).select("a", "b", "na", "nb", "pa", "pb").mapInArrow(step, "a long, b long")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets link."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = (tuple(np.frombuffer(x, "<u8") for x in p) for p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True))
+            keep = [shared(a, b) >= least_shared(len(a), len(b), percent) for a, b in both]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left, right = (sets.select(F.col("node").alias(c), F.col("g").alias(f"g{c}")) for c in "ab")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "ga", "gb").mapInArrow(step, "a long, b long")
 
 
-def links_across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that join components within groups of texts. members: key (the largest component), node, root, n.
+GROUP = ("main", "class", "low", "high")
 
-    That component is cut into blocks, one block for each of its texts; the texts outside it are cut into chunks, and each
-    chunk is laid beside every block and every chunk.
+
+def laid_out(open_: DataFrame) -> DataFrame:
+    """(GROUP, node, root): which texts a task lays beside each other. open_: key, node, root, n of boxes with several components.
+
+    Boxes of a class are put together by their largest component, `main`. That component is cut into blocks, one block for
+    each of its texts; the texts outside it are cut into chunks, and each chunk is laid beside every block and every other
+    chunk.
     """
-    astray = F.col("root") != F.col("key")
+    counts = open_.groupBy("key", "root").count()
+    main = counts.groupBy("key").agg(F.max(F.struct("count", "root")).alias("m")).select("key", F.col("m.root").alias("main"))
+    texts = open_.join(main, "key").select("main", F.expr("cast(key & 63 as int)").alias("class"), "node", "root", "n").distinct()
+    astray = F.col("root") != F.col("main")
 
     def blocks(of: Column) -> Column:
         return F.ceil(F.greatest(F.count_if(of) / BLOCK, F.coalesce(F.sum(F.when(of, F.col("n"))), F.lit(0)) / BLOCK_SHINGLES, F.lit(1))).cast("int")
 
-    sizes = members.groupBy("key").agg(blocks(~astray).alias("mains"), blocks(astray).alias("chunks"))
-    dealt = members.join(sizes, "key").withColumn("straggles", astray)
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node", "key"), F.when(F.col("straggles"), F.col("chunks")).otherwise(F.col("mains"))).cast("int"))
-    # chunk beside block (numbered from 0), and chunk beside chunk (numbered below 0)
+    sizes = texts.groupBy("main", "class").agg(blocks(~astray).alias("mains"), blocks(astray).alias("chunks"))
+    dealt = texts.join(sizes, ["main", "class"]).withColumn("straggles", astray)
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node", "main"), F.when(F.col("straggles"), F.col("chunks")).otherwise(F.col("mains"))).cast("int"))
+    # chunk beside block (numbered from 0), where the chunk meets itself, too; and chunk beside chunk (numbered below 0)
     beside = F.when(F.col("straggles"), F.concat(
         F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda b: F.struct(F.col("own").alias("low"), b.alias("high"))),
-        F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda b: F.struct(F.least("own", b).alias("low"), (-1 - F.greatest("own", b)).alias("high"))),
+        F.transform(F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda b: b != F.col("own")), lambda b: F.struct(F.least("own", b).alias("low"), (-1 - F.greatest("own", b)).alias("high"))),
     )).otherwise(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda b: F.struct(b.alias("low"), F.col("own").alias("high"))))
-    dealt = dealt.select("key", "node", "root", F.inline(beside)).join(sets.select("node", "g"), "node")
+    return dealt.select("main", "class", F.inline(beside), "node", "root")
+
+
+def with_partners(dealt: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """The rows of laid_out whose text has, in its task, one of another component that no box of the tree excludes."""
+
+    def step(group: pa.Table) -> pa.Table:
+        many = groups(group.column("class")[0].as_py())
+        counts = np.array([folded(np.frombuffer(p, "<i4"), many) for p in group.column("point").to_pylist()])
+        tree = CountTree(counts, group.column("n").to_numpy(), group.column("root").to_numpy())
+        return group.select([*GROUP, "node", "root"]).take(pa.array(np.unique(np.concatenate(tree.candidates(percent)))))
+
+    return dealt.join(facts, "node").groupBy(*GROUP).applyInArrow(step, "main long, class int, low int, high int, node long, root long")
+
+
+def links_across(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join components within the groups of laid_out."""
 
     def step(group: pa.Table) -> pa.Table:
-        links = joining_links(group.column("node").to_numpy(), group.column("root").to_numpy(), [np.frombuffer(g, "<u8") for g in group.column("g").to_pylist()], percent)
+        found = [np.frombuffer(g, "<u8") for g in group.column("g").to_pylist()]
+        links = joining_links(group.column("node").to_numpy(), group.column("root").to_numpy(), found, groups(group.column("class")[0].as_py()), percent)
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return dealt.groupBy("key", "low", "high").applyInArrow(step, "a long, b long")
+    return dealt.join(sets, "node").groupBy(*GROUP).applyInArrow(step, "a long, b long")
 
 
 def ngram_components(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -289,30 +356,32 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id
     scratch, docs = Scratch(docs.sparkSession), keyed(set_apart(docs, (key, text))[0], key, text)
     known = scratch.stored(profiles(docs, percent))
     members = scratch.stored(boxes(known.filter("keys is not null").select(F.explode("keys").alias("key"), "node")))
-    ends = members.select("lead", "node").distinct()
-    pairs = scratch.stored(ends.select(F.col("lead").alias("a"), F.col("node").alias("b")))
-    # one row of each text that is in a box
-    inside = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    rows = known.filter("node is not null").join(inside, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("r"))
-    sets = scratch.stored(set_rows(docs, rows.select("node", "r.doc_id", "r.row")))
-    first = scratch.stored(verified(pairs, sets, percent))
+    pairs = scratch.stored(members.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
+    inside = scratch.stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    facts = scratch.stored(known.filter("point is not null").dropDuplicates(["node"]).select("node", "n", "point").join(inside, "node"))
+    near = scratch.stored(likely(pairs, facts, percent))
+    scratch.drop(pairs, inside)
+    named = known.select("node", "doc_id", "row").filter("node is not null")
+    sets = scratch.stored(set_rows(docs, named, near.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+    first = scratch.stored(verified(near, sets, percent))
     flat = stars(first)
-    scratch.drop(pairs, first)
+    scratch.drop(near, first, sets)
     # boxes of three texts or more in which several components are left; of two, the only pair has been tested
     whole = members.select("key", "node").unionByName(members.groupBy("key").agg(F.min("lead").alias("node")))
     roots = rooted(flat).withColumnRenamed("node", "_node")
-    placed = whole.join(roots, F.col("node") == F.col("_node"), "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    placed = scratch.stored(placed)
+    placed = scratch.stored(whole.join(roots, F.col("node") == F.col("_node"), "left").select("key", "node", F.coalesce("root", "node").alias("root")))
     left = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("size")).filter("r0 < r1 and size > 2").select("key")
-    open_ = scratch.stored(placed.join(left, "key").join(sets.select("node", "n"), "node"))
+    open_ = scratch.stored(placed.join(left, "key").join(facts.select("node", "n"), "node"))
     scratch.drop(members, placed)
-    groups = scratch.stored(by_main_component(open_).select("key", "node", "root", "n"))
-    second = scratch.stored(links_across(groups, sets, percent))
-    scratch.drop(open_, groups)
-    if not second.isEmpty():
+    dealt = scratch.stored(with_partners(laid_out(open_), facts, percent))
+    scratch.drop(open_, facts)
+    if not dealt.isEmpty():
+        sets = scratch.stored(set_rows(docs, named, dealt.select("node").distinct()))
+        second = scratch.stored(links_across(dealt, sets, percent))
+        scratch.drop(sets)
         before, flat = flat, stars(flat.unionByName(second))
-        scratch.drop(before)
-    scratch.drop(second, sets)
+        scratch.drop(before, second)
+    scratch.drop(dealt)
     # every text's component by its least id
     texts = known.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     texts = texts.join(rooted(flat).withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
@@ -320,9 +389,8 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id
     names = texts.groupBy("root").agg(F.min("least").alias("component_id"))
     named = scratch.stored(texts.join(names, "root").select(F.col("node").alias("_node"), "component_id"))
     scratch.drop(texts)
-    rows = known.select("doc_id", "n", "node")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.join(named, F.col("node") == F.col("_node"), "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return known.select("doc_id", "n", "node").join(named, F.col("node") == F.col("_node"), "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
 def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
