@@ -10,6 +10,7 @@ from hardcourt.llm.media_avi import op8_avi_media
 from hardcourt.llm.order_minhash import op6_order_minhash
 from hardcourt.llm.packing import op7_vector_packing, packed_conversations
 from hardcourt.llm.pii import op3_personal_data
+from hardcourt.llm.rotated_codes import OP13_SQL, op13_hard_negatives
 from hardcourt.llm.suffix_dedup import op2_sparse_suffixes
 from hardcourt.llm.token_counts import op5_token_counts
 from hardcourt.llm.url_reputation import OP9_SQL, op9_host_reputation
@@ -29,6 +30,7 @@ QUERIES = {
         op10_decontaminate,
         packed_conversations,
         op11_ngram_jaccard,
+        op13_hard_negatives,
     )
 }
-ORACLES = {"op9_host_reputation": OP9_SQL, "op10_decontaminate": OP10_SQL, "op11_ngram_jaccard": OP11_SQL}
+ORACLES = {"op9_host_reputation": OP9_SQL, "op10_decontaminate": OP10_SQL, "op11_ngram_jaccard": OP11_SQL, "op13_hard_negatives": OP13_SQL}
