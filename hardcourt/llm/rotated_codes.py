@@ -95,7 +95,7 @@ class Anchors:
         off = self.error[:, None] / length + 1e-9 * self.norm[:, None]
         room = rest * np.sqrt(np.maximum(self.norm[:, None] ** 2 - np.maximum(np.abs(x) - off, 0) ** 2, 0)) + along * off + 1e-6 * self.norm[:, None] * norm + 1e-6
         estimate = along * x
-        return estimate, estimate - room, estimate + room
+        return estimate, np.clip(estimate - room, -(2.0**63), 2.0**63), np.clip(estimate + room, -(2.0**63), 2.0**63)
 
     def scores(self, whole: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Inner products in whole numbers of anchors i with rows j."""
