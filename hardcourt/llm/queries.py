@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from hardcourt.llm.blocked_search import OP12_SQL, op12_ranked_search
 from hardcourt.llm.count_rtree import OP11_SQL, op11_ngram_jaccard
 from hardcourt.llm.cotraining import op1_cotraining
 from hardcourt.llm.decontaminate import OP10_SQL, op10_decontaminate
@@ -30,7 +31,8 @@ QUERIES = {
         op10_decontaminate,
         packed_conversations,
         op11_ngram_jaccard,
+        op12_ranked_search,
         op13_hard_negatives,
     )
 }
-ORACLES = {"op9_host_reputation": OP9_SQL, "op10_decontaminate": OP10_SQL, "op11_ngram_jaccard": OP11_SQL, "op13_hard_negatives": OP13_SQL}
+ORACLES = {"op9_host_reputation": OP9_SQL, "op10_decontaminate": OP10_SQL, "op11_ngram_jaccard": OP11_SQL, "op12_ranked_search": OP12_SQL, "op13_hard_negatives": OP13_SQL}
