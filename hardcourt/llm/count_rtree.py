@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from hardcourt.llm.components import rooted, stars
 from hardcourt.llm.order_minhash import keyed
-from hardcourt.llm.runtime import Scratch, set_apart, ship, table
+from hardcourt.llm.runtime import Scratch, pieces, set_apart, ship, table
 from hardcourt.llm.words import mixed
 
 SHINGLE, PERCENT = 4, 85
@@ -121,12 +121,12 @@ def class_starts_at(k: int) -> int:
 
 def point(shingles: np.ndarray, many: int) -> np.ndarray:
     """The set's count in each of `many` groups, a power of two."""
-    return np.bincount((shingles >> np.uint64(65 - many.bit_length())).astype(np.int64), minlength=many).astype("<i4")
+    return np.bincount((shingles >> np.uint64(65 - many.bit_length())).astype(np.int64), minlength=many).astype("<u2" if len(shingles) < 1 << 16 else "<u4")
 
 
-def folded(counts: np.ndarray, many: int) -> np.ndarray:
-    """The counts of fewer groups."""
-    return counts.reshape(many, -1).sum(axis=1)
+def folded(stored: bytes, n: int, many: int) -> np.ndarray:
+    """The counts of as many groups or fewer, of a stored point of n shingles."""
+    return np.frombuffer(stored, "<u2" if n < 1 << 16 else "<u4").reshape(many, -1).sum(axis=1, dtype=np.int64)
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -187,7 +187,7 @@ def joining_links(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], ma
         return r
 
     links = []
-    for a, b in zip(*(x.tolist() for x in CountTree(np.array([point(g, many) for g in sets]), sizes, roots).candidates(percent)), strict=True):
+    for a, b in zip(*(x.tolist() for x in CountTree(np.array([point(g, many) for g in sets], np.int64), sizes, roots).candidates(percent)), strict=True):
         p, q = top(int(roots[a])), top(int(roots[b]))
         if p != q and shared(sets[a], sets[b]) >= least_shared(len(sets[a]), len(sets[b]), percent):
             parent[p] = q
@@ -202,7 +202,7 @@ def profiles(docs: DataFrame, percent: int) -> DataFrame:
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in pieces(batches):
             nodes, sizes, keys, at = [], [], [], []
             for text in batch.column(2).to_pylist():
                 g = shingle_set(text)
@@ -254,7 +254,7 @@ def set_rows(docs: DataFrame, known: DataFrame, nodes: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t).astype("<u8").tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["node", "g"])
 
     rows = known.join(nodes, "node", "left_semi").groupBy("node", "doc_id", "row").agg(F.count("*").alias("times"))
@@ -273,12 +273,11 @@ def likely(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and points allow to link."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             keep = []
             for m, n, x, y in zip(*(batch.column(c).to_pylist() for c in (2, 3, 4, 5)), strict=True):
-                x, y = np.frombuffer(x, "<i4"), np.frombuffer(y, "<i4")
-                many = min(len(x), len(y))
-                keep.append(bool(np.minimum(folded(x, many), folded(y, many)).sum() >= least_shared(m, n, percent)))
+                many = min(len(x) // (2 if m < 1 << 16 else 4), len(y) // (2 if n < 1 << 16 else 4))
+                keep.append(bool(np.minimum(folded(x, m, many), folded(y, n, many)).sum() >= least_shared(m, n, percent)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left, right = (facts.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("point").alias(f"p{c}")) for c in "ab")
@@ -290,7 +289,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             both = (tuple(np.frombuffer(x, "<u8") for x in p) for p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True))
             keep = [shared(a, b) >= least_shared(len(a), len(b), percent) for a, b in both]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -333,8 +332,9 @@ def with_partners(dealt: DataFrame, facts: DataFrame, percent: int) -> DataFrame
 
     def step(group: pa.Table) -> pa.Table:
         many = groups(group.column("class")[0].as_py())
-        counts = np.array([folded(np.frombuffer(p, "<i4"), many) for p in group.column("point").to_pylist()])
-        tree = CountTree(counts, group.column("n").to_numpy(), group.column("root").to_numpy())
+        sizes = group.column("n").to_numpy()
+        counts = np.array([folded(p, n, many) for p, n in zip(group.column("point").to_pylist(), sizes.tolist(), strict=True)])
+        tree = CountTree(counts, sizes, group.column("root").to_numpy())
         return group.select([*GROUP, "node", "root"]).take(pa.array(np.unique(np.concatenate(tree.candidates(percent)))))
 
     return dealt.join(facts, "node").groupBy(*GROUP).applyInArrow(step, "main long, class int, low int, high int, node long, root long")

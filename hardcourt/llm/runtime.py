@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from hardcourt.sources.tables import shared_folder
@@ -54,6 +56,13 @@ class Scratch:
                 path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that a worker holds few texts as Python objects at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -119,7 +119,7 @@ def test_tree_keeps_every_pair_that_may_link():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 63, 80, dtype=np.uint64)
     sets = [np.unique(np.concatenate([rng.permutation(base)[: 80 - k % 9], rng.integers(0, 1 << 63, k % 9, dtype=np.uint64)])) for k in range(70)]
-    sizes, counts = np.array([len(s) for s in sets]), np.array([cr.point(s, 64) for s in sets])
+    sizes, counts = np.array([len(s) for s in sets]), np.array([cr.point(s, 64) for s in sets], int)
     got = {tuple(sorted(p)) for p in zip(*(x.tolist() for x in cr.CountTree(counts, sizes, np.arange(70)).candidates()), strict=True)}
     room = [(a, b) for a in range(70) for b in range(a + 1, 70) if np.minimum(counts[a], counts[b]).sum() >= cr.least_shared(len(sets[a]), len(sets[b]))]
     assert got == {*room}
