@@ -2,8 +2,8 @@
 
 A game's events are dealt to one task once; every rule is a window within the game and every inserted event comes out of
 the row that causes it, placed by an order key (base position, slot, team, player), so no stage joins or deals again.
-Rules that would walk with state reduce to the last row that sets it: a possession after an event is a constant of that
-event or the one before. Broken rules are gathered on the rows (`errors`); games that have one are gated, not repaired.
+Rules that would walk with state reduce to running aggregates: the last row that sets it, and for possession the functions
+of the events composed (`owned`). Broken rules are gathered on the rows (`errors`); games that have one are gated, not repaired.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ MAKES = [*pbp.FG_MAKES, "ft1_make", "ft2_make", "ft3_make"]
 REBOUND_SKIP = ["block", "player_in", "player_out", *MAKES, *pbp.REBOUNDS]
 FOUL_SKIP = [*MAKES, "ft_miss", "o_foul_draw", "player_in", "player_out", *pbp.REBOUNDS]
 OFF_COURT_EXEMPT = pbp.FOULS
-ROUNDS = 2
 
 
 def over(*keys: str):
@@ -102,12 +101,17 @@ def chained(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     df = with_errors(df, error(ft & c("_foul").isNull(), "ft_without_foul"), error(rebound & c("_shot").isNull(), "rebound_no_shot"))
     kind = F.when((c("event") == "rebound") & c("_shot").isNotNull(), F.when(c("_shot.team_id") == c("team_id"), "o_reb").otherwise("d_reb")).otherwise(c("event"))
     df = df.withColumns({"chain_id": F.when(ft, c("_foul.event_id")).when(rebound, c("_shot.event_id")).otherwise(c("chain_id")), "_standard": ft & c("_foul.event").isin(*pbp.STANDARD_FOULS)})
-    df = trips(df.withColumn("event", kind))
-    # a miss on a shot that was fouled: the foul is the record of the attempt
-    nxt = first_after(c("event") != "block", F.struct("event", "fouled_player_id", "_trip_n"), "period")
-    fouled = is_in(pbp.FG_MISSES) & nxt["event"].isin(*pbp.STANDARD_FOULS) & (nxt["fouled_player_id"] == c("player_id")) & (nxt["_trip_n"] > 0)
-    df = with_errors(df.withColumn("_fouled", fouled), error(c("_fouled"), "fouled_shot_miss"))
-    df = df.withColumn("event", F.when(within(F.max("_fouled"), "event_id"), "dropped").otherwise(c("event")))
+    # a miss on a shot that was fouled: the foul is the record of the attempt, so it carries the error, and the miss goes
+    # with all events of its row
+    trip = F.when(ft, c("chain_id")).when(foul, c("event_id"))
+    df = df.withColumns({"event": kind, "_trip": trip}).withColumn("_shots", F.coalesce(within(F.count(F.when(ft, 1)), "_trip"), F.lit(0)))
+    beside, same = c("event") != "block", ("period",)
+    nxt, past = first_after(beside, F.struct("event", "fouled_player_id", "_shots"), *same), last_before(beside, F.struct("event", "player_id"), *same)
+    fouled = is_in(pbp.FG_MISSES) & nxt["event"].isin(*pbp.STANDARD_FOULS) & (nxt["fouled_player_id"] == c("player_id")) & (nxt["_shots"] > 0)
+    record = is_in(pbp.STANDARD_FOULS) & past["event"].isin(*pbp.FG_MISSES) & (past["player_id"] == c("fouled_player_id")) & (c("_shots") > 0)
+    df = with_errors(df.withColumns({"_fouled": F.coalesce(fouled, F.lit(False)), "_record": F.coalesce(record, F.lit(False))}), error(c("_record"), "fouled_shot_miss"))
+    df = df.withColumn("_impossible", within(F.max("_fouled"), "event_id")).filter("not _impossible").drop("_trip")
+    df = trips(df)
     # rebounds inside a trip, and all but the first of a shot
     key = F.when(is_in(pbp.SHOTS), c("event_id")).when(rebound, c("chain_id"))
     df = df.withColumn("_key", key)
@@ -208,6 +212,42 @@ def scored_sequences(df: DataFrame) -> DataFrame:
 # Stage 4 ------------------------------------------------------------------------------------------------------------
 
 
+def owned(df: DataFrame) -> DataFrame:
+    """`_was`: who possesses before each event; `_spent`: whether a turnover by the wrong team stands since it last changed.
+
+    A sequential walk has two states for every holder, as a jump ball changes nothing behind a wrong turnover. Every event
+    but a jump ball that sets the holder sets it to a constant, so between two of them only the last jump ball matters, and
+    only if the state was 0. What such an event makes of that state is therefore a function of 0 and 1 to 0 and 1: a
+    constant, the identity or the negation. Functions composed up to an event are the last constant, negated once for each
+    negation since: two running aggregates, however often wrong turnovers and jump balls alternate.
+    """
+    own, starts, ends, team = ~c("source").startswith("derived"), c("event") == "period_start", c("event") == "period_end", c("team_id")
+    hands = is_in(["turnover", "d_reb"]) | c("_live")
+    sets = (
+        F.when(starts, F.struct(c("_first").alias("t")))
+        .when(ends, F.struct(F.lit(None).cast("string").alias("t")))
+        .when((c("event") == "turnover") | (c("_live") & c("_held")), F.struct(c("_other").alias("t")))
+        .when(c("event") == "d_reb", F.struct(team.alias("t")))
+        .when(c("_lost"), F.struct(c("_reb").alias("t")))
+        .when(c("_soft") & ~c("_held"), F.struct(team.alias("t")))
+    )
+    df = df.withColumn("_sets", sets)
+    jump = c("_jump") & c("_held")
+    df = df.withColumns({
+        "_set": F.last("_sets", ignorenulls=True).over(before(over()))["t"],
+        "_jumped": F.last(F.when(c("_sets").isNotNull(), c("_sets")).when(jump, F.struct(team.alias("t"))), ignorenulls=True).over(before(over()))["t"],
+    })
+    may_keep, to = c("_sets").isNotNull() & c("_held") & hands, c("_sets.t")
+    of0 = may_keep & own & (c("event") == "turnover") & F.coalesce(c("_jumped") == to, F.lit(False))
+    of1 = may_keep & F.coalesce(c("_set") == to, F.lit(False))
+    df = df.withColumns({"_of0": of0, "_negates": of0 & ~of1, "_fixed": c("_sets").isNotNull() & (of0 == of1)})
+    df = df.withColumn("_turns", F.coalesce(F.sum(c("_negates").cast("int")).over(before(over())), F.lit(0)))
+    last = F.last(F.when(c("_fixed"), F.struct(c("_of0").cast("int").alias("v"), c("_turns").alias("n"))), ignorenulls=True).over(before(over()))
+    state = (F.coalesce(last["v"], F.lit(0)) + c("_turns") - F.coalesce(last["n"], F.lit(0))) % 2
+    df = df.withColumn("_spent", state == 1)
+    return df.withColumn("_was", F.when(c("_spent"), c("_set")).otherwise(c("_jumped"))).drop("_sets", "_set", "_jumped", "_of0", "_negates", "_fixed", "_turns")
+
+
 def possessed(df: DataFrame) -> DataFrame:
     """Possession markers, team rebounds nobody recorded, turnovers behind jump balls."""
     own, starts, ends = ~c("source").startswith("derived"), c("event") == "period_start", c("event") == "period_end"
@@ -228,34 +268,12 @@ def possessed(df: DataFrame) -> DataFrame:
     df = df.withColumns({"_soft": F.coalesce(soft, F.lit(False)), "_lost": F.coalesce(c("_reb") != team, F.lit(False)), "_opens": F.coalesce(opens, F.lit(False))})
     df = df.withColumn("_held", F.coalesce(F.max("_opens").over(before(over("_period"))), F.lit(False)))
 
-    def holder() -> Column:
-        """Who possesses before each event: what the last event that sets it sets."""
-        setter = (
-            F.when(starts, F.struct(c("_first").alias("t")))
-            .when(ends, F.struct(F.lit(None).cast("string").alias("t")))
-            .when((c("event") == "turnover") | (c("_live") & c("_held")), F.struct(c("_other").alias("t")))
-            .when((c("event") == "d_reb") | (c("_jump") & c("_held")), F.struct(team.alias("t")))
-            .when(c("_lost"), F.struct(c("_reb").alias("t")))
-            .when(c("_soft") & ~c("_held"), F.struct(team.alias("t")))
-        )
-        return F.last(setter, ignorenulls=True).over(before(over()))["t"]
-
-    # A turnover of the team without the ball is an error and hands nothing over; until something else does, it counts as
-    # the one behind a jump ball. Whether it is one can hang on a jump ball before it, so this is settled in rounds; more
-    # rounds than ROUNDS matter only where wrong turnovers and jump balls alternate, and such games are gated anyway.
-    df = df.withColumn("_jumps", c("_jump"))
-    for _ in range(ROUNDS):
-        df = df.withColumn("_was", holder())
-        wrong = own & (c("event") == "turnover") & (c("_was") != team)
-        passes = (is_in(["turnover", "d_reb"]) | (c("_live") & c("_held"))) & ~F.coalesce(c("_was") == F.when(c("event") == "d_reb", team).otherwise(c("_other")), F.lit(False))
-        settled = starts | ends | passes | c("_lost") | (c("_soft") & ~c("_held"))
-        df = df.withColumn("_jump", c("_jumps") & ~F.coalesce(last_before(wrong | settled, F.coalesce(wrong, F.lit(False))), F.lit(False)))
-    df = df.withColumn("_was", holder())
+    df = owned(df)
     was, to = c("_was"), F.when(c("event") == "d_reb", team).otherwise(c("_other"))
     hands = is_in(["turnover", "d_reb"]) | c("_live")
     changes = hands & to.isNotNull() & (was.isNull() | (was != to)) & (was.isNotNull() | ~c("_live"))
     opened = c("_soft") & was.isNull()
-    jumped = c("_jump") & was.isNotNull() & (was != team)
+    jumped = c("_jump") & ~c("_spent") & was.isNotNull() & (was != team)
     gives = c("_lost") & (was.isNull() | (was == team))
     mismatch = ((c("event") == "turnover") & (was != team)) | (c("_live") & was.isNotNull() & (was != team)) | (c("_lost") & was.isNotNull() & (was != team))
     loose = indicates & ~is_in(["turnover", "d_reb", "jump_ball_win"]) & was.isNotNull() & (was != team)
@@ -334,7 +352,7 @@ def derived(events: DataFrame, games: DataFrame, lineup_size: int = 5) -> DataFr
     """The event contract completed, with `errors` per row. games: (game_id, home, away)."""
     dealt = events.withColumn("errors", F.expr("cast(array() as array<string>)")).select(*COLUMNS).join(games.select("game_id", "home", "away"), "game_id").repartition(*GAME)
     df = lined_up(chained(dealt, ("home", "away")), F.lit(lineup_size))
-    return cleaned(possessed(scored_sequences(df))).filter(c("event") != "dropped")
+    return cleaned(possessed(scored_sequences(df)))
 
 
 def game_errors(stream: DataFrame) -> DataFrame:

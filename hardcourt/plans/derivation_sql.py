@@ -89,10 +89,14 @@ c2 as (select * exclude (f), case when o1 - f.o - 1 <= {derive.MAX_GAP} then f e
 c3 as (select * exclude (event, chain_id, errors), {errors((f"{FT} and f is null", "ft_without_foul"), (f"{REB} and shot is null", "rebound_no_shot"))} as errors,
   case when event = 'rebound' and shot is not null then case when shot.t = team_id then 'o_reb' else 'd_reb' end else event end as event,
   case when {FT} then f.e when {REB} then shot.e else chain_id end as chain_id from c2),
-{trips("c3", "c4")},
-c5 as (select *, {ahead("event <> 'block'", "{'ev': event, 'fp': fouled_player_id, 'n': trip_n}", "period")} as nb from c4),
-c6 as (select *, coalesce(event in {names(pbp.FG_MISSES)} and nb.ev in {names(pbp.STANDARD_FOULS)} and nb.fp = player_id and nb.n > 0, false) as fouled from c5),
-c7 as (select * exclude (event, errors), {errors(("fouled", "fouled_shot_miss"))} as errors, case when bool_or(fouled) over (partition by game_id, event_id) then 'dropped' else event end as event from c6),
+c4 as (select *, case when {FT} then chain_id when {FOUL} then event_id end as ftrip from c3),
+c5 as (select *, case when ftrip is null then 0 else count(*) filter (where {FT}) over (partition by game_id, ftrip) end as shots from c4),
+c6 as (select *, {ahead("event <> 'block'", "{'ev': event, 'fp': fouled_player_id, 'n': shots}", "period")} as nb, {past("event <> 'block'", "{'ev': event, 'pl': player_id}", "period")} as pb from c5),
+c7a as (select *, coalesce(event in {names(pbp.FG_MISSES)} and nb.ev in {names(pbp.STANDARD_FOULS)} and nb.fp = player_id and nb.n > 0, false) as fouled,
+  coalesce({STD} and pb.ev in {names(pbp.FG_MISSES)} and pb.pl = fouled_player_id and shots > 0, false) as record from c6),
+c7b as (select * exclude (errors), {errors(("record", "fouled_shot_miss"))} as errors, bool_or(fouled) over (partition by game_id, event_id) as gone from c7a),
+c7c as (select * exclude (gone, fouled, record, nb, pb, ftrip, shots) from c7b where not gone),
+{trips("c7c", "c7")},
 c8 as (select *, case when {SHOT} then event_id when {REB} then chain_id end as key from c7),
 c9 as (select *, {within(f"bool_or(case when {FT} and seq < trip_last then true when absorbed then true else false end)", "key")} as inner_, count(*) filter (where {REB}) over ({w("key")} rows unbounded preceding) as nth,
   coalesce({FOUL} and trip_n > 0 and first_value(period) over (partition by game_id, trip order by case when {FT} then seq end nulls last) <> period, false) as across,
@@ -140,26 +144,18 @@ s7 as (select *, {MISS} and (fg or standard) and coalesce(nv.c, true) as final,
 ], ", final, live")},
 scored as (select * exclude (final, live), coalesce(final and {OWN}, false) as final, coalesce(live and {OWN}, false) as live from s8)"""
 
-_HOLDER = """case when event = 'period_start' then {'t': first_t} when event = 'period_end' then {'t': null::varchar} when event = 'turnover' or (live and held) then {'t': other}
-    when event = 'd_reb' or (jump and held) then {'t': team_id} when lost then {'t': reb} when soft and not held then {'t': team_id} end"""
 _TO = "case when event = 'd_reb' then team_id else other end"
-
-
-def was(jump: str) -> str:
-    setter = _HOLDER.replace("jump and held", f"{jump} and held")
-    return f"(last_value({setter} ignore nulls) over ({w()} {BEFORE})).t"
-
-
-def _rounds() -> str:
-    """Jump balls that count, settled in rounds."""
-    out = "j0 as (select *, jump as jumps from p4),"
-    for k in range(derive.ROUNDS):
-        out += f"""
-j{k}a as (select *, {was("jump")} as was0 from j{k}),
-j{k}b as (select *, coalesce({OWN} and event = 'turnover' and was0 <> team_id, false) as wrong,
-  coalesce(event in ('period_start', 'period_end') or ((event in ('turnover', 'd_reb') or (live and held)) and not coalesce(was0 = {_TO}, false)) or lost or (soft and not held), false) as settled from j{k}a),
-j{k + 1} as (select * exclude (jump, was0, wrong, settled), jumps and not coalesce({past("wrong or settled", "wrong")}, false) as jump from j{k}b),"""
-    return out
+#: Possession as a walk, an event of every game a step: who has the ball before it (was), and whether a turnover by the wrong
+#: team stands since it last changed hands (spent).
+_MOVED = f"""case when event = 'period_start' then {{'t': first_t, 'w': false}} when event = 'period_end' then {{'t': null::varchar, 'w': false}}
+    when event = 'jump_ball_win' then case when jump and was is not null and was <> team_id and not spent then {{'t': team_id, 'w': false}} else {{'t': was, 'w': spent}} end
+    when event in ('turnover', 'd_reb') or live then case
+      when was is null and not live then {{'t': {_TO}, 'w': false}}
+      when was = case when event = 'd_reb' then other else team_id end then {{'t': {_TO}, 'w': false}}
+      else {{'t': was, 'w': spent or (event = 'turnover' and {OWN})}} end
+    when lost then {{'t': case when was is null or was = team_id then reb else was end, 'w': false}}
+    when soft and was is null then {{'t': team_id, 'w': false}}
+    else {{'t': was, 'w': spent}} end"""
 
 
 def mark(test: str, slot: str, event: str, team: str) -> tuple[str, str]:
@@ -175,10 +171,12 @@ p1 as (select *, case when final and not {within(f"bool_or({REB})", "key")} then
 p2 as (select *, coalesce(({POSS} and event not in ('turnover', 'd_reb', 'jump_ball_win')) or reb = team_id, false) as soft, coalesce(reb <> team_id, false) as lost from p1),
 p3 as (select *, coalesce((event = 'period_start' and first_t is not null) or event in ('turnover', 'd_reb') or soft or reb is not null, false) as opens from p2),
 p4 as (select *, coalesce(bool_or(opens) over ({w("bound")} {BEFORE}), false) as held from p3),
-{_rounds()}
-p8 as (select *, {was("jump")} as was, {_TO} as dest from j{derive.ROUNDS}),
+p5 as materialized (select * from p4),
+walked as (select *, null::varchar as was, false as spent from p5 where seq = 0
+  union all select p.*, m.t, m.w from (select game_id, seq, {_MOVED} as m from walked) s join p5 p on p.game_id = s.game_id and p.seq = s.seq + 1),
+p8 as (select *, {_TO} as dest from walked),
 p9 as (select *, (event in ('turnover', 'd_reb') or live) and dest is not null and (was is null or was <> dest) and (was is not null or not live) as changes, soft and was is null as opened,
-  jump and was is not null and was <> team_id as jumped, lost and (was is null or was = team_id) as gives from p8),
+  jump and not spent and was is not null and was <> team_id as jumped, lost and (was is null or was = team_id) as gives from p8),
 p10 as (select * exclude (errors), {errors(("(event = 'turnover' and was <> team_id) or (live and was is not null and was <> team_id) or (lost and was is not null and was <> team_id)", "poss_mismatch"),
   (f"({POSS} and event not in ('turnover', 'd_reb', 'jump_ball_win') and was is not null and was <> team_id) or (reb is not null and not lost and was is not null and was <> reb)", "poss_change_without_transition"))} as errors from p9),
 {placed("p10", "held_", [
@@ -215,6 +213,6 @@ done as (select * exclude (errors), {errors(
     (f"{OWN} and event = 'player_out' and court <= 0", "player_out_not_on_court"),
     ("event = 'player_in' and remaining > 0 and later is null", "player_marker_unpaired"),
     (f"event in {names(pbp.COURT)} and team_id <> '' and player_id <> '' and event not in {names(derive.OFF_COURT_EXEMPT)} and court <= 0 and not late", "event_off_court"),
-)} as errors from k5 where event <> 'dropped')"""
+)} as errors from k5)"""
 
 DERIVED = ",".join((CHAINED, lined_up(), SCORED, POSSESSED, CLEANED))

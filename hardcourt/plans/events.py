@@ -17,7 +17,7 @@ from hardcourt.sources.tables import read
 c = F.col
 
 EV = """
-with ev0 as (
+with recursive ev0 as (
   select event_id, strftime(ts, '%Y-%m-%d') || '-' || (user_id % 5)::varchar as game_id, 'T' || ((user_id // 5) % 2)::varchar as team_id, user_id::varchar as player_id,
          (1 + hour(ts) // 6)::int as period, case when event_id % 7 <> 0 then (hour(ts) * 3600 + minute(ts) * 60 + second(ts))::int end as secs, event_type, ts, user_id, value
   from events),

@@ -55,6 +55,14 @@ def test_rules_and_gate(spark):
         assert derive.game_errors(run(spark, name)[0]).count() == 0, name
 
 
+def test_miss_on_a_fouled_shot_is_an_error_and_goes(spark):
+    """The foul is the record of the attempt and carries the error; the miss goes with its row's block, before anything counts it."""
+    stream, _ = run(spark, "G-F")
+    assert {(r.rule, r.event_id) for r in derive.game_errors(stream).collect()} == {("fouled_shot_miss", "4")}
+    assert [r.status for r in derive.game_status(stream).collect()] == ["error"]
+    assert not {"fg2_miss", "block"} & {r.event for r in stream.collect()}
+
+
 def test_order_of_input_does_not_matter(spark):
     rows = [r for n in GAMES for r in events(n)]
     want = {n: listed(run(spark, n)[0]) for n in ("G-C", "G-D")}

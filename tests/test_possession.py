@@ -93,9 +93,22 @@ def walk(game):
     return out, sorted(errors)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_possession_by_a_walk(spark, seed):
-    rows = streams(seed)
+def alternating(seed, n=40):
+    """Turnovers, mostly by the wrong team, and jump balls that count, in turn and many times over."""
+    rnd, rows = random.Random(seed), []
+    for g in range(n):
+        names = [("period_start", "")]
+        for k in range(24):
+            names.append((rnd.choice(("turnover", "turnover", "turnover", "d_reb", "fg2_make")), rnd.choice("HA")))
+            names += [("jump_ball_win", rnd.choice("HA"))] * rnd.choice((0, 1, 1, 2)) + [("d_standard_foul", "H")] * 3
+            names += [("period_end", ""), ("period_start", "")] * (k % 11 == 10 and g % 4 == 0)
+        names.append(("period_end", ""))
+        rows += [("s", f"g{g}", f"e{k}", k, k, 1, t, "", x, None, None, f"e{k}" if rnd.random() < 0.95 else "derived:x", [], "H", "A", False, x == "fg2_make") for k, (x, t) in enumerate(names)]
+    return rows
+
+
+@pytest.mark.parametrize("rows", [streams(1), streams(2), alternating(3), alternating(4)], ids=["mixed 1", "mixed 2", "alternating 3", "alternating 4"])
+def test_possession_by_a_walk(spark, rows):
     got = derive.possessed(spark.createDataFrame(rows, SCHEMA)).orderBy("game_id", "seq").select("game_id", "event", "team_id", "event_id", "errors").collect()
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     for g in {r[1] for r in rows}:
