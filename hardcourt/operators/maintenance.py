@@ -1,17 +1,22 @@
 """Table maintenance as functions from tables to new tables: matching, upserts, merge, promotion, coverage, retention.
 
-Nothing is changed in place: each function returns the whole new table, to be written beside the old one and swapped.
+Functions return the whole new table, to be written beside the old one and swapped; those for tables in partitions change
+only the partitions they touch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
+from graphlib import TopologicalSorter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import StructType
+
+from hardcourt.sources.tables import written
 
 STAMPS = ("created_at", "updated_at")
 
@@ -59,19 +64,18 @@ def insert_absent(target: DataFrame, source: DataFrame, keys: list[str]) -> Data
 
 
 def with_new_ids(known: DataFrame, fresh: DataFrame, natural: list[str], id_column: str) -> DataFrame:
-    """Surrogate ids for natural keys that have none: ids go on from the largest, in order of the key.
+    """Surrogate ids for natural keys that have none: ids go on from the largest, ascending with the key, without gaps.
 
-    The order within a bucket of keys comes from a window per bucket, the offset of each bucket from the buckets' counts,
-    so no task sees all keys.
+    The keys are dealt out by ranges and written, so that the ranges stay as they are; a range's ids begin where those
+    before it end, and within a range a window numbers the keys. No task sees more than a range.
     """
     new = fresh.select(*natural).distinct().join(known.select(*natural), natural, "left_anti")
-    bucketed = new.withColumn("_b", F.pmod(F.xxhash64(*natural), F.lit(1024)).cast("int"))
-    sizes = bucketed.groupBy("_b").agg(F.count("*").alias("_n"))
-    # 1024 rows at most
-    offsets = sizes.withColumn("_o", F.sum("_n").over(W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1))).select("_b", F.coalesce("_o", F.lit(0)).alias("_o"))
-    top = known.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long").alias("_top")).withColumn("_one", F.lit(1))
-    numbered = bucketed.withColumn("_r", F.row_number().over(W.partitionBy("_b").orderBy(*natural))).join(offsets, "_b").withColumn("_one", F.lit(1)).join(top, "_one")
-    given = numbered.select(*natural, (F.col("_top") + F.col("_o") + F.col("_r")).alias(id_column))
+    ranges = written(new.repartitionByRange(*natural).withColumn("_range", F.spark_partition_id()))
+    # a row for each range
+    offsets = ranges.groupBy("_range").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    top = known.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long")).first()[0]
+    numbered = ranges.withColumn("_nth", F.row_number().over(W.partitionBy("_range").orderBy(*natural))).join(offsets, "_range")
+    given = numbered.select(*natural, (F.lit(top) + F.col("_before") + F.col("_nth")).alias(id_column))
     return known.select(*natural, F.col(id_column).cast("long").alias(id_column)).unionByName(given)
 
 
@@ -166,9 +170,124 @@ def clean_staging(games: DataFrame, teams: DataFrame) -> DataFrame:
     return games.join(gone, "ext_game_id", "left_anti")
 
 
-def cascade(rows: DataFrame, column: str, kept: DataFrame, key: str) -> DataFrame:
-    """Dependants of rows that stay."""
-    return rows.join(kept.select(F.col(key).alias(column)).distinct(), column, "left_semi")
+@dataclass(frozen=True)
+class Reference:
+    """Columns of a table that name a row of another; what happens to its rows when that row goes: "cascade" or "set null"."""
+
+    table: str
+    columns: tuple[str, ...]
+    to: str
+    keys: tuple[str, ...]
+    action: str = "cascade"
+
+
+#: Which staged tables depend on which, by their schema's names.
+STAGED_REFERENCES = [
+    Reference("leagues_teams", ("identity", "ext_team_id"), "teams", ("identity", "ext_id")),
+    Reference("teams_players", ("identity", "ext_team_id"), "teams", ("identity", "ext_id")),
+    Reference("teams_players", ("identity", "ext_player_id"), "players", ("identity", "ext_id")),
+    Reference("countries_players", ("identity", "ext_player_id"), "players", ("identity", "ext_id")),
+    Reference("team_seasons", ("identity", "ext_team_id"), "teams", ("identity", "ext_id")),
+    Reference("player_seasons", ("identity", "ext_player_id"), "players", ("identity", "ext_id")),
+    Reference("team_games", ("identity", "ext_team_id"), "teams", ("identity", "ext_id")),
+    Reference("player_games", ("identity", "ext_player_id"), "players", ("identity", "ext_id")),
+]
+
+
+def without(tables: dict[str, DataFrame], gone: dict[str, tuple[DataFrame, list[str]]], references: list[Reference]) -> dict[str, DataFrame]:
+    """The tables after rows are deleted: `gone` has the keys to delete by table, with their columns' names.
+
+    Tables are walked from those that others name to those that name them. A row that names a deleted row goes too, and so do
+    those that name it in turn, or its columns become null, as the reference says; a reference with a null in it names
+    nothing. References in a circle are an error.
+    """
+    needs = {n: {r.to for r in references if r.table == n and r.to in tables} for n in tables}
+    kept, lost = {}, {}
+    for name in TopologicalSorter(needs).static_order():
+        rows, goes, nulls = tables[name], F.lit(False), {}
+        columns, touched = rows.columns, name in gone
+        if touched:
+            keys, on = gone[name]
+            rows = rows.join(keys.select(*on).distinct().withColumn("_goes", F.lit(True)), on, "left")
+            goes = F.col("_goes").isNotNull()
+        for k, r in enumerate(r for r in references if r.table == name and r.to in lost):
+            named = lost[r.to].select(*(F.col(x).alias(f"_{k}_{x}") for x in r.keys)).distinct().withColumn(f"_hit{k}", F.lit(True))
+            rows = rows.join(named, reduce(lambda a, b: a & b, (F.col(x) == F.col(f"_{k}_{y}") for x, y in zip(r.columns, r.keys, strict=True))), "left")
+            hit = F.col(f"_hit{k}").isNotNull()
+            if r.action == "set null":
+                nulls |= {x: nulls.get(x, F.lit(False)) | hit for x in r.columns}
+            else:
+                goes, touched = goes | hit, True
+        if touched:
+            lost[name] = rows.filter(goes).select(*columns)
+        kept[name] = rows.filter(~goes).select(*(F.when(~nulls[x], F.col(x)).alias(x) if x in nulls else x for x in columns)) if touched or nulls else rows
+    return kept
+
+
+def staging_cleaned(tables: dict[str, DataFrame], identity: str) -> dict[str, DataFrame]:
+    """The staged tables of which one source's finished rows are taken away: games whose teams are both ready, unless in
+    error; then ready players, then ready teams, each with all that depends on them. Other sources' rows stay."""
+    teams, games = (tables[n].filter(F.col("identity") == identity) for n in ("teams", "games"))
+    over = games.select("ext_game_id").exceptAll(clean_staging(games, teams).select("ext_game_id")).withColumn("identity", F.lit(identity))
+    ready = {n: (tables[n].filter((F.col("identity") == identity) & (F.col("status") == "ready")).select("identity", "ext_id"), ["identity", "ext_id"]) for n in ("players", "teams")}
+    return without(tables, {"games": (over, ["identity", "ext_game_id"]), **ready}, STAGED_REFERENCES)
+
+
+def registry_applied(tables: dict[str, DataFrame], name: str, registry: DataFrame, key: str, references: list[Reference]) -> dict[str, DataFrame]:
+    """The tables after one of them is brought to what a registry asks for; rows that name a dropped entry go or are nulled."""
+    actions = synced(tables[name], registry, key)
+    dropped = actions.filter("action = 'delete'").select(key)
+    out = without(tables, {name: (dropped, [key])}, references)
+    return out | {name: actions.filter("action <> 'delete'").drop("action").select(*registry.columns)}
+
+
+# Tables in partitions (a folder for each value, such as a season): only the partitions a change touches are read and written.
+
+
+def _folders(spark: SparkSession, path: str, column: str, values: list) -> dict[str, object]:
+    """The partition folders of the values that are there, by value as text."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    found = {str(v): spark._jvm.org.apache.hadoop.fs.Path(at, f"{column}={escape(str(v))}") for v in values}
+    return {v: (files, p) for v, p in found.items() if files.exists(p)}
+
+
+def partitions_rewritten(spark: SparkSession, path: str, schema: StructType, column: str, values: list, change: Callable[[DataFrame], DataFrame]) -> None:
+    """`change` applied to the partitions of these values; all others are neither read nor written.
+
+    The new files are written beside the old ones before these go, so a job that fails midway leaves the table as it was. A
+    partition of which no row stays is removed.
+    """
+    old = spark.read.schema(schema).parquet(path).filter(F.col(column).isin(values))
+    new = change(old).select(*[x for x in schema.names if x != column], column)
+    seen = Observation()
+    counted = new.observe(seen, F.collect_set(F.col(column).cast("string")).alias("left"))
+    counted.repartition(column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    for value, (files, folder) in _folders(spark, path, column, values).items():
+        if value not in (seen.get["left"] or []):
+            files.delete(folder, True)
+
+
+def upsert_partitions(spark: SparkSession, path: str, schema: StructType, source: DataFrame, keys: list[str], column: str, **how) -> None:
+    """`upsert` of a partitioned table in place. The partition's column is one of the keys, so no row moves to another one."""
+    if column not in keys:
+        raise ValueError(f"{column} is no key: rows could move between partitions")
+    source = written(source)
+    values = [r[0] for r in source.select(column).distinct().collect()]  # as many as the source touches partitions
+    partitions_rewritten(spark, path, schema, column, values, lambda old: upsert(old, source, keys, **how))
+
+
+def partitions_dropped(spark: SparkSession, path: str, column: str, oldest: str) -> list[str]:
+    """Retention of a table in partitions: folders of values before `oldest`, compared as texts, go without being read."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    names = {f.getPath(): unescape(f.getPath().getName().partition("=")[2]) for f in files.listStatus(at) if f.getPath().getName().startswith(f"{column}=")}
+    gone = {p: v for p, v in names.items() if v < oldest}
+    for folder in gone:
+        files.delete(folder, True)
+    return sorted(gone.values())
 
 
 # Staging: what is fetched becomes rows of the staged tables.
@@ -217,20 +336,17 @@ def stale_pruned(rows: DataFrame, league: str, identity: str, began: Column, sta
 # Coverage: one row per combination and column, with a flag.
 
 
-GRID_ROWS = 10_000
+GRID_ROWS = 100_000
 
 
 def coverage_grid(first: DataFrame, *dimensions: DataFrame, most: int = GRID_ROWS) -> DataFrame:
     """All combinations of configuration tables (seasons, types, targets, datasets and their columns).
 
-    Every dimension but the first comes as a list of its rows, which are counted: more than `most` are an error, no join.
+    The grid is what is asked for, so this is the one join without a key; dimensions of up to `most` rows are broadcast, larger
+    ones are left to Spark's partitioned product.
     """
     for d in dimensions:
-        rows = d.limit(most + 1).collect()
-        if len(rows) > most:
-            raise ValueError(f"a dimension of more than {most} rows: {', '.join(d.columns)}")
-        items = F.array(*(F.struct(*(F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in d.schema)) for r in rows)).cast(ArrayType(d.schema))
-        first = first.select("*", F.inline(items))
+        first = first.crossJoin(F.broadcast(d) if d.limit(most + 1).count() <= most else d)
     return first
 
 
@@ -253,6 +369,21 @@ def work_list(coverage: DataFrame, group: list[str], active: DataFrame) -> DataF
     return open_.unionByName(current).distinct()
 
 
+def digests(rows: DataFrame, group: list[str]) -> DataFrame:
+    """(group, n, digest): of each group's rows, whatever their order and however they are dealt; repeated rows count."""
+    values = [x for x in rows.columns if x not in group]
+    held = F.xxhash64(F.to_json(F.struct(*values), {"ignoreNullFields": "false"}))
+    return rows.select(*group, held.cast("decimal(38,0)").alias("_h")).groupBy(*group).agg(F.count("*").alias("n"), F.sum("_h").cast("string").alias("digest"))
+
+
+def changed(rows: DataFrame, stored: DataFrame, group: list[str]) -> DataFrame:
+    """(group, change): groups that are new, changed or gone since `stored`, the digests of an earlier state. Only these need work."""
+    now, then = digests(rows, group).withColumn("_now", F.struct("n", "digest")), stored.withColumn("_then", F.struct("n", "digest"))
+    both = now.select(*group, "_now").join(then.select(*group, "_then"), group, "full_outer")
+    change = F.when(F.col("_then").isNull(), "new").when(F.col("_now").isNull(), "gone").when(F.col("_now") != F.col("_then"), "changed")
+    return both.select(*group, change.alias("change")).filter("change is not null")
+
+
 def reset_active(coverage: DataFrame, active: DataFrame) -> DataFrame:
     """Flags of active combinations are taken back."""
     marked = coverage.join(active.distinct().withColumn("_active", F.lit(True)), active.columns, "left")
@@ -265,14 +396,23 @@ def pruned_coverage(coverage: DataFrame, configured: DataFrame, keys: list[str],
 
 
 def quality_errors(rows: DataFrame, key: list[str], required: list[str] = (), picks: dict[str, list[str]] | None = None, references: dict[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
-    """(rule, column, key) of rows that break NOT NULL, a picklist, key uniqueness or a reference."""
-    name = F.concat_ws("|", *key)
+    """(rule, column, key) of rows that break NOT NULL, a picklist, key uniqueness or a reference.
 
-    def found(df: DataFrame, rule: str, column: str) -> DataFrame:
-        return df.select(F.lit(rule).alias("rule"), F.lit(column).alias("column"), name.alias("key"))
-
-    parts = [found(rows.filter(F.col(x).isNull()), "not_null", x) for x in required]
-    parts += [found(rows.filter(~F.col(x).isin(v)), "picklist", x) for x, v in (picks or {}).items()]
-    parts += [found(rows.filter(F.col(x).isNotNull()).join(t.select(F.col(k).alias(x)), x, "left_anti"), "reference", x) for x, (t, k) in (references or {}).items()]
-    parts.append(found(rows.groupBy(*key).count().filter("count > 1"), "unique", "|".join(key)))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    The table is read once: every row gathers the rules it breaks. A key that stands on several rows is told once.
+    """
+    wanted = list(dict.fromkeys([*key, *required, *(picks or {}), *(references or {})]))
+    rows = rows.select(*wanted)
+
+    def told(test: Column, rule: str, column: str) -> Column:
+        return F.when(test, F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column")))
+
+    broken = [told(F.col(x).isNull(), "not_null", x) for x in required]
+    broken += [told(~F.col(x).isin(v), "picklist", x) for x, v in (picks or {}).items()]
+    for k, (x, (table, name)) in enumerate((references or {}).items()):
+        there = table.select(F.col(name).alias(f"_r{k}")).distinct().withColumn(f"_there{k}", F.lit(True))
+        rows = rows.join(there, F.col(x) == F.col(f"_r{k}"), "left")
+        broken.append(told(F.col(x).isNotNull() & F.col(f"_there{k}").isNull(), "reference", x))
+    same = W.partitionBy(*key)
+    rows = rows.withColumns({"_n": F.count("*").over(same), "_nth": F.row_number().over(same.orderBy(F.lit(0)))})
+    broken.append(told((F.col("_n") > 1) & (F.col("_nth") == 1), "unique", "|".join(key)))
+    return rows.select(F.concat_ws("|", *key).alias("key"), F.inline(F.array_compact(F.array(*broken)))).select("rule", "column", "key")

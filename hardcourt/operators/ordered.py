@@ -110,12 +110,33 @@ def soon(df: DataFrame, wanted: Column, stops: Column, max_gap: int) -> Column:
     return near.isNotNull() & (stop.isNull() | (near < stop))
 
 
+def court_sets(intervals: DataFrame) -> DataFrame:
+    """(game_id, at, court): from position `at` on, until the game's next one, the players whose interval is open.
+
+    The places where intervals begin or have ended are numbered within the game; an interval is put down for every number
+    it covers. So there are as many entries as players on court at each change, whatever the number of intervals.
+    """
+    ends = F.array(F.struct(F.col("start_seq").alias("at"), F.lit(True).alias("s")), F.struct((F.col("end_seq") + 1).alias("at"), F.lit(False).alias("s")))
+    keys = ["game_id", "team_id", "player_id", "start_seq", "end_seq"]
+    marks = intervals.select(*keys, F.inline(ends)).withColumn("n", F.dense_rank().over(W.partitionBy("game_id").orderBy("at")))
+    spans = marks.groupBy(*keys).agg(F.min(F.when(F.col("s"), F.col("n"))).alias("a"), F.max(F.when(~F.col("s"), F.col("n"))).alias("b"))
+    there = spans.select("game_id", F.explode(F.sequence("a", F.col("b") - 1)).alias("n"), F.struct("team_id", "player_id").alias("who"))
+    every = there.unionByName(marks.select("game_id", "n", "at"), allowMissingColumns=True)
+    return every.groupBy("game_id", "n").agg(F.min("at").alias("at"), F.collect_set("who").alias("court")).drop("n")
+
+
 def on_court(events: DataFrame, intervals: DataFrame) -> DataFrame:
-    """Each event with the players whose interval holds it: an equi join on the game, the range left over as a condition."""
-    e, i = events.alias("e"), intervals.alias("i")
-    return e.join(i, (F.col("e.game_id") == F.col("i.game_id")) & F.col("e.seq").between(F.col("i.start_seq"), F.col("i.end_seq"))).select(
-        "e.*", F.col("i.team_id").alias("court_team"), F.col("i.player_id").alias("court_player")
-    )
+    """Each event with the players whose interval holds it, once each, as court_team and court_player.
+
+    The set of players on court runs along the events of the game: an event meets the players who are on court, not the
+    intervals of the game.
+    """
+    rows = events.select("game_id", F.col("seq").alias("at"), F.struct(*events.columns).alias("e"))
+    both = rows.unionByName(court_sets(intervals), allowMissingColumns=True)
+    order = W.partitionBy("game_id").orderBy("at", F.col("e").isNotNull())
+    now = both.withColumn("now", F.last("court", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    met = now.filter(F.col("e").isNotNull()).select("e.*", F.explode("now").alias("who"))
+    return met.select(*events.columns, F.col("who.team_id").alias("court_team"), F.col("who.player_id").alias("court_player"))
 
 
 def player_windows(windows: DataFrame, indicating: DataFrame, intervals: DataFrame) -> DataFrame:
@@ -124,12 +145,12 @@ def player_windows(windows: DataFrame, indicating: DataFrame, intervals: DataFra
     A window counts if the player's interval overlaps it and one of the team's indicating events lies in the overlap,
     its end excluded.
     """
-    i = intervals.select("game_id", F.col("team_id").alias("court_team"), F.col("player_id").alias("court_player"), F.col("start_seq").alias("_from"), F.col("end_seq").alias("_to"))
     p = indicating.select("game_id", "team_id", F.col("seq").alias("_at"))
     # an event lies in the last window of its team that began by then, or in none: windows of a team don't overlap
     marks = windows.select("game_id", "team_id", F.col("start_seq").alias("_at"), F.struct(*(n for n in windows.columns if n not in ("game_id", "team_id"))).alias("_w"))
     order = W.partitionBy("game_id", "team_id").orderBy("_at", F.col("_w").isNull())
     every = marks.unionByName(p, allowMissingColumns=True).withColumn("_in", F.last("_w", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0)))
     tagged = every.filter(F.col("_w").isNull() & (F.col("_at") < F.col("_in.end_seq"))).select("game_id", "team_id", "_at", "_in.*")
-    met = tagged.join(i, "game_id").filter((F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_to")))
-    return met.drop("_at", "_from", "_to").distinct()
+    within = intervals.withColumn("end_seq", F.col("end_seq") - 1).filter("start_seq <= end_seq")
+    met = on_court(tagged.select("game_id", F.col("_at").alias("seq"), F.struct(*tagged.columns).alias("t")), within)
+    return met.select("t.*", "court_team", "court_player").drop("_at").distinct()

@@ -92,7 +92,7 @@ def d9(spark, sf):
 
 @query(
     "c8_on_court",
-    f"""{EV}{INTERVALS} select i.game_id, i.team_id as court_team, i.player_id as court_player, count(*) as events, count(*) filter (where e.team_id = i.team_id) as own
+    f"""{EV}{INTERVALS} select i.game_id, i.team_id as court_team, i.player_id as court_player, count(distinct e.seq) as events, count(distinct e.seq) filter (where e.team_id = i.team_id) as own
     from ev e join intervals i on e.game_id = i.game_id and e.seq between i.start_seq and i.end_seq group by 1, 2, 3""",
 )
 def c8(spark, sf):

@@ -127,13 +127,16 @@ def m9(spark, sf):
     return mt.promoted(target(spark, sf), source(spark, sf), ["c_custkey"])
 
 
-@query("m10_surrogate_ids", "select count(*) as n, count(distinct o_orderkey) as keys, max(o_orderkey) filter (where o_orderkey % 2 = 0) + count(*) filter (where o_orderkey % 2 <> 0) as top, count(*) as ids from orders")
+@query(
+    "m10_surrogate_ids",
+    """select o_orderkey, o_orderkey as id from orders where o_orderkey % 2 = 0
+    union all select o_orderkey, (select max(o_orderkey) from orders where o_orderkey % 2 = 0) + row_number() over (order by o_orderkey) from orders where o_orderkey % 2 <> 0""",
+)
 def m10(spark, sf):
-    """Keys with an id keep it; the ids of the others go on without gaps."""
+    """Keys with an id keep it; the ids of the others go on without gaps, ascending with the key."""
     o = read(spark, sf, "orders").select("o_orderkey")
     known = o.filter("o_orderkey % 2 = 0").withColumn("id", c("o_orderkey"))
-    given = mt.with_new_ids(known, o, ["o_orderkey"], "id")
-    return given.agg(F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("keys"), F.max("id").alias("top"), F.count_distinct("id").alias("ids"))
+    return mt.with_new_ids(known, o, ["o_orderkey"], "id")
 
 
 @query("m11_clean_staging", "select o_orderkey as ext_game_id from orders where not (o_orderstatus <> 'F' and o_custkey % 2 = 0 and (o_custkey + 1) % 3 = 0)")
@@ -144,6 +147,105 @@ def m11(spark, sf):
     return mt.clean_staging(games, teams).select("ext_game_id")
 
 
+_STAGED_SQL = """with staged as (
+  select 'teams' as name, s_suppkey as a, 0 as b, s_suppkey % 3 = 0 as ready from supplier union all select 'players', p_partkey, 0, p_partkey % 4 = 0 from part),
+games as (select o_orderkey as a, o_custkey % 100 + 1 as home, o_orderkey % 100 + 1 as away, o_orderstatus = 'F' as bad from orders)
+select name as "table", a, b from staged where not ready
+union all select 'games', a, 0 from games where bad or not (home % 3 = 0 and away % 3 = 0 and home in (select s_suppkey from supplier) and away in (select s_suppkey from supplier))
+union all select distinct 'teams_players', l_suppkey, l_partkey from lineitem where l_suppkey % 3 <> 0 and l_partkey % 4 <> 0
+union all select 'player_games', l_orderkey, l_linenumber from lineitem where l_partkey % 4 <> 0
+union all select 'team_games', l_orderkey, l_linenumber from lineitem where l_suppkey % 3 <> 0"""
+
+
+@query("m11_cascade", _STAGED_SQL)
+def m11_cascade(spark, sf):
+    """What stays in staging once finished games, players and teams have gone with all their dependants."""
+    mine = F.lit("src").alias("identity")
+    status = lambda k, n: F.when(c(k) % n == 0, "ready").otherwise("pending").alias("status")
+    lines = read(spark, sf, "lineitem").select(mine, c("l_orderkey").alias("a"), c("l_linenumber").cast("long").alias("b"), c("l_partkey").alias("ext_player_id"), c("l_suppkey").alias("ext_team_id"))
+    orders = read(spark, sf, "orders")
+    tables = {
+        "games": orders.select(mine, c("o_orderkey").alias("ext_game_id"), (c("o_custkey") % 100 + 1).alias("ext_home_id"), (c("o_orderkey") % 100 + 1).alias("ext_away_id"), F.when(c("o_orderstatus") == "F", "error").otherwise("pending").alias("status")),
+        "teams": read(spark, sf, "supplier").select(mine, c("s_suppkey").alias("ext_id"), status("s_suppkey", 3)),
+        "players": read(spark, sf, "part").select(mine, c("p_partkey").alias("ext_id"), status("p_partkey", 4)),
+        "teams_players": lines.select("identity", "ext_team_id", "ext_player_id").distinct(),
+        "player_games": lines.drop("ext_team_id"),
+        "team_games": lines.drop("ext_player_id"),
+    }
+    left = mt.staging_cleaned(tables, "src")
+    names = {"games": ("ext_game_id", None), "teams": ("ext_id", None), "players": ("ext_id", None), "teams_players": ("ext_team_id", "ext_player_id"), "player_games": ("a", "b"), "team_games": ("a", "b")}
+    return reduce(lambda x, y: x.unionByName(y), (left[n].select(F.lit(n).alias("table"), c(a).cast("long").alias("a"), (c(b) if b else F.lit(0)).cast("long").alias("b")) for n, (a, b) in names.items()))
+
+
+@query(
+    "m16_dependants",
+    """select 'countries' as "table", n_nationkey::bigint as id, n_name as value from nation where n_nationkey % 5 <> 1
+    union all select 'teams', c_custkey, case when c_nationkey % 5 <> 1 then c_nationkey::varchar end from customer
+    union all select 'countries_players', s_suppkey, s_nationkey::varchar from supplier where s_nationkey % 5 <> 1""",
+)
+def m16_dependants(spark, sf):
+    """A registry that has lost entries: teams lose the reference, rows that only tie a player to the entry go."""
+    n = read(spark, sf, "nation").select("n_nationkey", "n_name")
+    tables = {
+        "countries": n.filter("n_nationkey % 5 <> 0").withColumn("n_name", F.when(c("n_nationkey") % 5 == 2, F.lower("n_name")).otherwise(c("n_name"))),
+        "teams": read(spark, sf, "customer").select("c_custkey", "c_nationkey"),
+        "countries_players": read(spark, sf, "supplier").select("s_suppkey", "s_nationkey"),
+    }
+    references = [mt.Reference("teams", ("c_nationkey",), "countries", ("n_nationkey",), "set null"), mt.Reference("countries_players", ("s_nationkey",), "countries", ("n_nationkey",))]
+    left = mt.registry_applied(tables, "countries", n.filter("n_nationkey % 5 <> 1"), "n_nationkey", references)
+    return reduce(lambda x, y: x.unionByName(y), (t.select(F.lit(k).alias("table"), c(t.columns[0]).cast("long").alias("id"), c(t.columns[1]).cast("string").alias("value")) for k, t in left.items()))
+
+
+def _partitioned(spark, df) -> str:
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.partitionBy("season").parquet(path)
+    return path
+
+
+_SEASONS = "select o_orderkey, year(o_orderdate)::varchar as season, o_totalprice from orders"
+
+
+def seasons(spark, sf):
+    return read(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").cast("string").alias("season"))
+
+
+@query("m1_upsert_partitions", f"select o_orderkey, season, case when season in ('1995', '1997') and o_orderkey % 3 = 0 then o_totalprice + 1 else o_totalprice end as o_totalprice from ({_SEASONS}) union all select -o_orderkey, season, o_totalprice + 1 from ({_SEASONS}) where season = '1997' and o_orderkey % 3 = 1")
+def m1_partitions(spark, sf):
+    """Two seasons of a table in partitions get changed and new rows; the other seasons' files stay."""
+    rows = seasons(spark, sf)
+    path = _partitioned(spark, rows)
+    some = rows.withColumn("o_totalprice", c("o_totalprice") + 1)
+    given = some.filter("season in ('1995', '1997') and o_orderkey % 3 = 0").unionByName(some.filter("season = '1997' and o_orderkey % 3 = 1").withColumn("o_orderkey", -c("o_orderkey")))
+    mt.upsert_partitions(spark, path, rows.schema, given, ["season", "o_orderkey"], "season")
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@query("m15_prune_partitions", f"select o_orderkey, season, o_totalprice from ({_SEASONS}) where season >= '1994' and not (season = '1996' and o_totalprice < 150000) and season <> '1997'")
+def m15_partitions(spark, sf):
+    """Seasons before 1994 dropped unread (M13), stale rows of two seasons taken away, of one of them all."""
+    rows = seasons(spark, sf)
+    path = _partitioned(spark, rows)
+    mt.partitions_dropped(spark, path, "season", "1994")
+    mt.partitions_rewritten(spark, path, rows.schema, "season", ["1996", "1997"], lambda old: old.filter("season = '1996' and not o_totalprice < 150000"))
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+_GAME = "strftime(ts, '%Y-%m-%d') || '-' || (user_id % 5)::varchar"
+
+
+@query(
+    "m20_changed_games",
+    f"""with g as (select {_GAME} as game_id, bool_or(event_id % 1000 = 7) as differs, bool_and(event_id % 1000 = 7) as whole, bool_or(user_id % 5 = 4 and day(ts) = 3) as unseen from events group by 1)
+    select game_id, case when unseen then 'new' else 'changed' end as change from g where unseen or differs""",
+)
+def m20_changed(spark, sf):
+    """Games whose raw rows differ from those digested before: the only ones to derive anew."""
+    e = read(spark, sf, "events")
+    rows = e.select(F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit("-"), (c("user_id") % 5).cast("string")).alias("game_id"), "event_id", "event_type", "value", "ts")
+    before = rows.withColumn("value", F.when(c("event_id") % 1000 == 7, c("value") + 1).otherwise(c("value"))).filter(~(c("game_id").endswith("-03-4")))
+    return mt.changed(rows, mt.digests(before, ["game_id"]), ["game_id"])
+
+
 @query("m13_retention", "select o_orderkey from orders where case when o_custkey % 2 = 0 then year(o_orderdate) >= 1995 else year(o_orderdate) >= 1997 end")
 def m13(spark, sf):
     o = read(spark, sf, "orders").select("o_orderkey", (c("o_custkey") % 2).cast("string").alias("league_code"), F.year("o_orderdate").cast("string").alias("season"))

@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from hardcourt.operators import derive, pbp
 
@@ -117,13 +116,3 @@ def test_possession_by_a_walk(spark, rows):
         mine = [r for r in got if r.game_id == g]
         assert [(r.event, r.team_id) for r in mine] == want, (g, [(r["event"], r["team_id"], r["_final"], r["_live"]) for r in game])
         assert sorted((e, r.event_id) for r in mine for e in r.errors) == errors, g
-
-
-def test_grid_is_bounded(spark):
-    from hardcourt.operators import maintenance as mt
-
-    one, two = spark.range(3).withColumnRenamed("id", "a"), spark.range(4).select(F.col("id").alias("b"), F.lit("x").alias("c"))
-    assert mt.coverage_grid(one, two).count() == 12
-    assert mt.coverage_grid(one, two.limit(0)).count() == 0
-    with pytest.raises(ValueError, match="dimension"):
-        mt.coverage_grid(one, two, most=3)
