@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hardcourt.llm.runtime import Scratch, set_apart, ship, table
+from hardcourt.llm.runtime import Scratch, pieces, set_apart, ship, table
 from hardcourt.llm.words import words
 
 TOP = 10
@@ -74,7 +74,7 @@ def vectors(docs: DataFrame, number: dict[bytes, int]) -> DataFrame:
     known = docs.sparkSession.sparkContext.broadcast(number)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             sizes, terms, counts = [], [], []
             for text in batch.column(1).to_pylist():
                 found = words(text)
@@ -206,7 +206,7 @@ def index(found: DataFrame, documents: int, length: int, queries: Queries) -> Da
     known, asked = spark.sparkContext.broadcast(centres), spark.sparkContext.broadcast(queries)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             lists = [np.array(x, np.int64) for x in batch.column(2).to_pylist()]
             values = [impacts(np.array(tf, np.int64), np.full(len(tf), n), documents, length) for n, tf in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             centre = likeness(lists, values, known.value)
@@ -225,10 +225,10 @@ def index(found: DataFrame, documents: int, length: int, queries: Queries) -> Da
             parts = (ids[order], starts, t, v, *posting_lists(len(ids), starts, t, v, asked.value))
             return pa.RecordBatch.from_arrays([pa.array([p.astype(kind).tobytes()], pa.binary()) for p, kind in zip(parts, KINDS.values(), strict=True)], [*KINDS])
 
-        for batch in batches:
+        for batch in pieces(batches):
             for doc_id, centre, t, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 held = waiting.setdefault(centre, [])
-                held.append((doc_id, np.array(t, np.int64), np.array(v, np.int64)))
+                held.append((doc_id, np.array(t, np.int32), np.array(v, np.int32)))
                 if len(held) == SEGMENT:
                     yield out(waiting.pop(centre))
         for held in waiting.values():

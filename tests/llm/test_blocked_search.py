@@ -95,7 +95,8 @@ def test_summaries_bound_scores():
         for k, q in enumerate(asking):
             for b, rows in enumerate(blocks):
                 best = s.scores(queries.weights[q], rows).max()
-                assert best <= bound[k, b] <= 2 * best + 40 * bs.STEP * 10**4
+                assert best <= bound[k, b]
+                assert len(rows) > 1 or bound[k, b] <= best + 8 * bs.STEP * 10**4
                 met += 1
     assert met > 100
 
