@@ -6,10 +6,11 @@ of their counts, group by group, and two boxes of points at most the sum of the
 
 1. A class holds sizes within a factor of CLASS; a set is in the class of its size and, if a partner that large may be in
    the next one, in that too. Two sets of a class that link differ in at most D shingles, D by the class's largest size.
-   The class cuts the hashes into D + 1 + s runs of groups, s at most SPARE; two such sets agree in all counts, indeed in
-   all shingles, of more than s runs. So the first level of the tree is exact: each run's points are boxes of one point, and
-   only texts that share such a box can link. Runs without a shingle say nothing; since more than s runs agree, a set with
-   at most s empty ones leaves them out. Where D is 0, only equal sets link, which are one text from the start.
+   The class cuts the hashes into D + 1 + s runs of groups; two such sets agree in all counts, indeed in all shingles, of
+   more than s runs. So the first level of the tree is exact: each run's points are boxes of one point, and only texts that
+   share such a box can link. Runs of few shingles say little, so every set leaves out its s smallest, in an order that
+   hangs on the run's shingles only: of more than s runs that two sets share, neither leaves out the last in that order.
+   Where D is 0, only equal sets link, which are one text from the start.
 2. Every box links its members to its least one (a star, not all pairs). Links are kept if the sum of minima of their
    points (about PER_GROUP shingles a group) allows it and the sets, then compared, are alike enough.
 3. Components of the links are found. Boxes of three texts or more that still hold several components are put together by
@@ -43,7 +44,7 @@ from hardcourt.llm.runtime import Scratch, pieces, set_apart, ship, table
 from hardcourt.llm.words import mixed
 
 SHINGLE, PERCENT = 4, 85
-SPARE, CLASS = 3, 1.5
+SPARE, SPARE_SHARE, CLASS = 3, 4, 1.5
 LEAST_GROUPS, MOST_GROUPS, PER_GROUP = 64, 4096, 8
 FANOUT = 8
 BLOCK, BLOCK_SHINGLES = 512, 1 << 19
@@ -89,21 +90,20 @@ def differences(end: int, percent: int = PERCENT) -> int:
 
 
 def run_keys(shingles: np.ndarray, percent: int = PERCENT) -> list[np.ndarray]:
-    """For each class the set is in, a key of its shingles in every run."""
+    """For each class the set is in, a key of its shingles in every run but the smallest."""
     n, out, starts = len(shingles), [], class_starts(len(shingles) * 100 // percent + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(shingles * _MUL), dtype=np.uint64)])
     for k in range(len(starts) - 1):
         if starts[k + 1] <= n or starts[k] * percent > n * 100 or not differences(starts[k + 1], percent):
             continue
         most = differences(starts[k + 1], percent)
-        spare = min(SPARE, most)
+        spare = max(min(SPARE, most), most // SPARE_SHARE)
         runs = most + 1 + spare
         edges = np.array([-(-(j << 64) // runs) for j in range(1, runs)], np.uint64)
         at = np.concatenate([[0], np.searchsorted(shingles, edges), [n]])
         # the class stands in the last bits, so that a box knows it
         key = mixed((sums[at[1:]] - sums[at[:-1]]) ^ mixed(np.arange(k << 32, (k << 32) + runs, dtype=np.uint64))) & ~np.uint64(63) | np.uint64(k)
-        there = at[1:] > at[:-1]
-        out.append(key[there] if (~there).sum() <= spare else key)
+        out.append(key[np.lexsort([key, np.diff(at)])[spare:]])
     return out
 
 
