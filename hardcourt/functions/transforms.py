@@ -119,6 +119,7 @@ QUOTES = {"‘": "'", "’": "'", "“": '"', "”": '"', "`": "'", "´": "'", "
 DASHES = dict.fromkeys("‐‑‒–—−", "-")
 STANDALONE = (("Saint", "St"), ("Sainte", "Ste"), ("Mount", "Mt"), ("and", "&"), ("LA", "Los Angeles"))
 STRIPPED = ".,"
+WHITE = "\t\n\x0b\f\r"
 
 
 def unaccented() -> dict[str, str]:
@@ -140,13 +141,19 @@ def normalize_name(c: Column) -> Column:
     Accented letters beyond ACCENTED stay as they are.
     """
     table = unaccented() | QUOTES | DASHES
-    t = F.regexp_replace(text(c), spelled_apart(), "")
-    t = F.translate(t, "".join(table), "".join(table.values()))
+    t = text(c)
+    # the costly passes run only where their characters occur
+    t = F.when(t.rlike(r"\p{M}"), F.regexp_replace(t, spelled_apart(), "")).otherwise(t)
+    t = F.when(t.rlike(r"[^\x00-\x5F\x61-\x7F]"), F.translate(t, "".join(table), "".join(table.values()))).otherwise(t)
     for old, new in LIGATURES:
         t = F.replace(t, F.lit(old), F.lit(new))
+    # every word between blanks of its own, so that a word is replaced as a plain text
+    t = F.concat(F.lit(" "), F.replace(F.translate(t, WHITE, " " * len(WHITE)), F.lit(" "), F.lit("  ")), F.lit(" "))
     for old, new in STANDALONE:
-        t = F.regexp_replace(t, rf"(?<!\S){old}(?!\S)", re.sub(r"([$\\])", r"\\\1", new))
-    t = F.trim(F.regexp_replace(F.translate(t, STRIPPED, ""), r"\s+", " "))
+        t = F.replace(t, F.lit(f" {old} "), F.lit(f" {new} "))
+    for mark in STRIPPED:
+        t = F.replace(t, F.lit(mark), F.lit(""))
+    t = F.trim(F.regexp_replace(t, " {2,}", " "))
     return F.when(t != "", t)
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hardcourt.functions.transforms import BY_TYPE, TRANSFORMS, number, text
+from hardcourt.functions.transforms import BY_TYPE, TRANSFORMS, normalize_name, number, text
 
 RESPONSE = "struct<resultSets:array<struct<name:string,headers:array<string>,rowSet:array<array<string>>>>>"
 
@@ -125,16 +125,41 @@ def listed_values(rows: DataFrame, key: str, value: Column, order: list[str], on
     return kept.groupBy(key).agg(F.transform(pairs, lambda p: p["_v"]).alias("values"))
 
 
-def aggregated(values: Column, how: str) -> Column:
-    """Pipeline step aggregate over a list: sum counts what is no number as 0, avg is rounded half to even."""
-    numbers = F.transform(values, number)
-    if how == "sum":
-        return F.aggregate(numbers, F.lit(0).cast("long"), lambda a, x: a + F.coalesce(F.rint(x), F.lit(0.0)).cast("long"))
-    if how == "avg":
-        there = F.filter(numbers, lambda x: x.isNotNull())
-        total = F.aggregate(there, F.lit(0.0), lambda a, x: a + x)
-        return F.when(F.size(there) > 0, F.rint(total / F.size(there)).cast("long"))
-    raise ValueError(how)
+def aggregated(rows: DataFrame, key: str, **steps: tuple[Column, str]) -> DataFrame:
+    """Pipeline steps aggregate, by name: sum counts what is no number as 0, avg leaves it out; both are rounded half to even.
+
+    No list of an entity's values is gathered; sums and counts are, partly before rows are exchanged.
+    """
+    how = {"sum": lambda n: F.sum(F.coalesce(F.rint(n), F.lit(0.0)).cast("long")), "avg": lambda n: F.rint(F.avg(n)).cast("long")}
+    return rows.groupBy(key).agg(*(how[step](number(value)).alias(name) for name, (value, step) in steps.items()))
+
+
+def first_values(rows: DataFrame, key: str, value: Column, order: list[str], name: str = "first") -> DataFrame:
+    """An entity's first value in order, null if that is null: what pipeline math is applied to."""
+    return rows.groupBy(key).agg(F.min_by(value, F.struct(*order)).alias(name))
+
+
+def summed_calls(rows: DataFrame, key: str, call: str, calls: list[str], value: Column, name: str = "total") -> DataFrame:
+    """One field summed over several calls, which are read together: the test on the call reaches the scan."""
+    return rows.filter(F.col(call).isin(*calls)).groupBy(key).agg(F.sum(value).alias(name))
+
+
+def in_seasons(day: Column, first: int | None = None, last: int | None = None) -> Column:
+    """Days of seasons, by calendar year, as a range of the day itself, so that the scan can skip what lies outside."""
+    begins = [day >= F.lit(f"{first}-01-01").cast("timestamp")] if first is not None else []
+    ends = [day < F.lit(f"{last + 1}-01-01").cast("timestamp")] if last is not None else []
+    return reduce(lambda a, b: a & b, begins + ends, F.lit(True)) if begins or ends else F.lit(True)
+
+
+def known_names(entries: DataFrame, code: str, names: list[Column], order: str) -> DataFrame:
+    """(known, code): every name of every entry as names are compared; of entries that share one the first in order."""
+    every = entries.select(F.explode(F.array(*names)).alias("known"), code, order)
+    return every.select(F.upper(normalize_name(F.col("known"))).alias("known"), code, order).groupBy("known").agg(F.min_by(code, order).alias(code))
+
+
+def matched_names(rows: DataFrame, name: Column, known: DataFrame) -> DataFrame:
+    """rows with the code of the entry that has the name, or null."""
+    return rows.withColumn("known", F.upper(normalize_name(name))).join(known, "known", "left").drop("known")
 
 
 def most_recent(rows: DataFrame, keys: list[str], season: str, value: str) -> DataFrame:

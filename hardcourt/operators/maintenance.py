@@ -350,6 +350,12 @@ def coverage_grid(first: DataFrame, *dimensions: DataFrame, most: int = GRID_ROW
     return first
 
 
+def recently_active(rows: DataFrame, group: str, day: str, days: int = 8) -> DataFrame:
+    """(group, n): groups with rows in the last days of the data. The last day is one value, so that the range reaches the scan."""
+    last = rows.agg(F.max(day)).first()[0]
+    return rows.filter(F.col(day) >= F.lit(last) - F.make_interval(days=F.lit(days))).groupBy(group).agg(F.count("*").alias("n"))
+
+
 def seeded(existing: DataFrame, grid: DataFrame, keys: list[str]) -> DataFrame:
     return insert_absent(existing, grid.withColumn("covered", F.lit(False)), keys)
 

@@ -65,6 +65,18 @@ def first_last(df: DataFrame, test: Column, keys: tuple[str, ...]) -> DataFrame:
     return df.filter(test).groupBy(*keys).agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
 
 
+def first_per_anchor(df: DataFrame, anchor: str, keys: tuple[str, ...] = GAME) -> DataFrame:
+    """Of the rows that hang on one anchor the first; rows without an anchor are left out."""
+    n = F.row_number().over(W.partitionBy(*keys, anchor).orderBy("seq"))
+    return df.filter(F.col(anchor).isNotNull()).withColumn("_n", n).filter("_n = 1").drop("_n")
+
+
+def moved_to_anchor(df: DataFrame, anchor_seq: Column, keys: tuple[str, ...] = GAME) -> DataFrame:
+    """Rows with an anchor placed directly behind it, in their own order; all numbered anew."""
+    placed = df.withColumns({"_base": F.coalesce(anchor_seq, F.col("seq")), "_slot": anchor_seq.isNotNull().cast("int")})
+    return resequenced(placed, ["_base", "_slot", "seq"], keys).drop("_base", "_slot")
+
+
 def next_kept(df: DataFrame, skip: Column, fields: list[str], keys: tuple[str, ...] = (*GAME, "period"), name: str = "next") -> DataFrame:
     """The next row that is not skipped, within the keys."""
     return df.withColumn(name, first_after(F.when(~skip, F.struct(*fields)), *keys))

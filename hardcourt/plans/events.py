@@ -173,9 +173,7 @@ def e7(spark, sf):
 
 @query("e8_first_per_anchor", f"{EV}{_C13}, r as (select *, row_number() over (partition by game_id, ae order by seq) as n from a where event = 'rebound' and ord - ao - 1 <= 2 and ap = period) select game_id, event_id, ae as chain from r where n = 1")
 def e8(spark, sf):
-    found = c13(spark, sf).filter("chain is not null")
-    n = F.row_number().over(W.partitionBy("game_id", "chain").orderBy("seq"))
-    return found.withColumn("n", n).filter("n = 1").select("game_id", "event_id", "chain")
+    return od.first_per_anchor(c13(spark, sf), "chain").select("game_id", "event_id", "chain")
 
 
 @query(
@@ -187,8 +185,7 @@ def e8(spark, sf):
 def e10(spark, sf):
     """Rebounds placed directly behind their shot by replacing the order key."""
     found = od.nearest_anchor(ev(spark, sf), c("event") == "fg2_miss", c("event").isin("player_in", "player_out"), ["seq"], 2)
-    base = F.when(c("event") == "rebound", c("anchor.seq"))
-    return od.resequenced(found.withColumns({"base": F.coalesce(base, c("seq")), "slot": base.isNotNull().cast("int")}), ["base", "slot", "seq"]).select("game_id", "event_id", "seq")
+    return od.moved_to_anchor(found, F.when(c("event") == "rebound", c("anchor.seq"))).select("game_id", "event_id", "seq")
 
 
 @query("c6_classify", "select event_id, case event_type when 'view' then 'fg2_make' when 'click' then 'ignore' when 'purchase' then null else null end as handling, event_type not in ('view', 'click') as unclassified from events")

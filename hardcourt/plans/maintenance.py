@@ -388,9 +388,7 @@ def m20(spark, sf):
 @query("d19_recent_activity", "select o_orderstatus, count(*) as n from orders where o_orderdate >= (select max(o_orderdate) from orders) - interval 8 day group by 1")
 def d19(spark, sf):
     """Season types with a game in the last eight days of the data."""
-    o = read(spark, sf, "orders")
-    last = o.agg(F.max("o_orderdate")).first()[0]  # one value, so that the range reaches the scan
-    return o.filter(c("o_orderdate") >= F.lit(last) - F.expr("interval 8 days")).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    return mt.recently_active(read(spark, sf, "orders"), "o_orderstatus", "o_orderdate")
 
 
 @query(

@@ -92,11 +92,10 @@ def l9(spark, sf):
 )
 def l10(spark, sf):
     """A country's code by any of its names: the aliases are a small dimension, first registry entry wins."""
-    nation = read(spark, sf, "nation")
-    aliases = nation.select(F.explode(F.array(c("n_name"), F.concat(F.lit(" "), F.lower("n_name")))).alias("alias"), c("n_name").alias("country"), "n_nationkey")
-    registry = aliases.select(F.upper(tr.normalize_name(c("alias"))).alias("known"), "country", "n_nationkey").groupBy("known").agg(F.min_by("country", "n_nationkey").alias("country"))
-    asked = read(spark, sf, "customer").join(nation, c("c_nationkey") == c("n_nationkey")).select("c_custkey", F.upper(tr.normalize_name(F.lower("n_name"))).alias("known"))
-    return asked.join(registry, "known", "left").select("c_custkey", "country")
+    nation = read(spark, sf, "nation").withColumnRenamed("n_name", "country")
+    known = ex.known_names(nation, "country", [c("country"), F.concat(F.lit(" "), F.lower("country"))], "n_nationkey")
+    asked = read(spark, sf, "customer").join(nation.withColumnRenamed("country", "name"), c("c_nationkey") == c("n_nationkey")).select("c_custkey", "name")
+    return ex.matched_names(asked, F.lower("name"), known).select("c_custkey", "country")
 
 
 @query(
@@ -171,8 +170,7 @@ def a3(spark, sf):
 @query("a5_game_list", "select o_orderkey from orders where o_orderstatus = 'F' and year(o_orderdate) = 1995")
 def a5(spark, sf):
     """Completed games of one season: a filter on the scan; the date range, not the year of each row, prunes."""
-    d = c("o_orderdate")
-    return read(spark, sf, "orders").filter((c("o_orderstatus") == "F") & (d >= F.lit("1995-01-01").cast("timestamp")) & (d < F.lit("1996-01-01").cast("timestamp"))).select("o_orderkey")
+    return read(spark, sf, "orders").filter((c("o_orderstatus") == "F") & ex.in_seasons(c("o_orderdate"), 1995, 1995)).select("o_orderkey")
 
 
 @query("a6_needs_fill", "select c_custkey from customer where c_custkey % 5 = 0 or c_mktsegment = 'BUILDING'")
@@ -184,7 +182,7 @@ def a6(spark, sf):
 @query("a7_discovery_games", "select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders where o_orderdate >= timestamp '1996-01-01' and o_orderdate < timestamp '1998-01-01' order by 2, 1")
 def a7(spark, sf):
     d = c("o_orderdate")
-    kept = read(spark, sf, "orders").filter((d >= F.lit("1996-01-01").cast("timestamp")) & (d < F.lit("1998-01-01").cast("timestamp")))
+    kept = read(spark, sf, "orders").filter(ex.in_seasons(d, 1996, 1997))
     return kept.select("o_orderkey", F.date_format(d, "yyyy-MM-dd").alias("day")).orderBy("day", "o_orderkey")
 
 
@@ -227,16 +225,17 @@ def b6(spark, sf):
     return df.select("l_orderkey", "l_linenumber", tr.safe_int(net).alias("net"), tr.safe_int(share).alias("part"))
 
 
-@query("b7_row_filter", "select o_orderkey from orders where year(o_orderdate) between 1994 and 1996 and o_orderstatus = 'F'")
+@query("b7_row_filter", "select o_orderkey from orders where year(o_orderdate) between 1994 and 1996 and o_orderstatus = 'F' and o_totalprice >= 50000 and coalesce(try_cast(o_orderpriority as double), 0.0) <= 3")
 def b7(spark, sf):
-    rules = [(F.year("o_orderdate"), "gte", "{first}"), (F.year("o_orderdate"), "lte", "{last}"), (c("o_orderstatus"), "eq", "{status}")]
-    return read(spark, sf, "orders").filter(ex.row_filter(rules, first=1994, last=1996, status="F")).select("o_orderkey")
+    """Rules with constants of the context; the seasons are a range of the date, which reaches the scan."""
+    rules = [(c("o_totalprice"), "gte", "{least}"), (c("o_orderpriority"), "lte", "3"), (c("o_orderstatus"), "eq", "{status}")]
+    return read(spark, sf, "orders").filter(ex.in_seasons(c("o_orderdate"), 1994, 1996) & ex.row_filter(rules, least=50000, status="F")).select("o_orderkey")
 
 
 @query("b8_season_gate", "select o_orderkey, case when year(o_orderdate) >= 1996 then o_totalprice end as price from orders where year(o_orderdate) <= 1997")
 def b8(spark, sf):
     season = F.year("o_orderdate").cast("string")
-    return read(spark, sf, "orders").filter(season <= "1997").select("o_orderkey", ex.since_season(c("o_totalprice"), season, "1996").alias("price"))
+    return read(spark, sf, "orders").filter(ex.in_seasons(c("o_orderdate"), last=1997)).select("o_orderkey", ex.since_season(c("o_totalprice"), season, "1996").alias("price"))
 
 
 @query("b10_cross_row", "select l_orderkey, first(l_quantity order by l_linenumber, l_partkey, l_suppkey, l_quantity) filter (where contains(l_returnflag, 'A')) as quantity from lineitem group by 1")
@@ -284,21 +283,19 @@ def b18(spark, sf):
 
 @query("d10_pipeline_aggregate", "select l_orderkey, sum(round_even(l_quantity, 0))::bigint as total, round_even(avg(l_quantity), 0)::bigint as mean from lineitem group by 1")
 def d10(spark, sf):
-    rows = ex.listed_values(read(spark, sf, "lineitem"), "l_orderkey", c("l_quantity"), LINE)
-    return rows.select("l_orderkey", ex.aggregated(c("values"), "sum").alias("total"), ex.aggregated(c("values"), "avg").alias("mean"))
+    return ex.aggregated(read(spark, sf, "lineitem"), "l_orderkey", total=(c("l_quantity"), "sum"), mean=(c("l_quantity"), "avg"))
 
 
 @query("d11_multi_call_sum", "select l_orderkey, sum(l_quantity)::bigint as total from lineitem where l_returnflag in ('A', 'N') group by 1")
 def d11(spark, sf):
     """The same field summed over several calls."""
-    calls = [read(spark, sf, "lineitem").filter(c("l_returnflag") == f).select("l_orderkey", tr.safe_int(c("l_quantity")).alias("n")) for f in "AN"]
-    return calls[0].unionByName(calls[1]).groupBy("l_orderkey").agg(F.sum("n").alias("total"))
+    return ex.summed_calls(read(spark, sf, "lineitem"), "l_orderkey", "l_returnflag", ["A", "N"], tr.safe_int(c("l_quantity")))
 
 
 @query("d12_pipeline_math", "select l_orderkey, round_even(first(l_quantity order by l_linenumber, l_partkey, l_suppkey, l_quantity) * 10 / 3, 0)::bigint as thirds from lineitem group by 1")
 def d12(spark, sf):
-    rows = ex.listed_values(read(spark, sf, "lineitem"), "l_orderkey", c("l_quantity"), LINE)
-    return rows.select("l_orderkey", tr.safe_int(tr.arithmetic("x * 10 / 3", {"x": F.get("values", F.lit(0))})).alias("thirds"))
+    rows = ex.first_values(read(spark, sf, "lineitem"), "l_orderkey", c("l_quantity"), LINE)
+    return rows.select("l_orderkey", tr.safe_int(tr.arithmetic("x * 10 / 3", {"x": c("first")})).alias("thirds"))
 
 
 @query(
