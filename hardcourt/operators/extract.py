@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 
 from hardcourt.functions.transforms import BY_TYPE, TRANSFORMS, normalize_name, number, text
 
-RESPONSE = "struct<resultSets:array<struct<name:string,headers:array<string>,rowSet:array<array<string>>>>>"
+RESULT_SETS = "array<struct<name:string,headers:array<string>,rowSet:array<array<variant>>>>"
 
 
 def result_rows(responses: DataFrame, body: str = "body", name: str | None = None) -> DataFrame:
     """One row per row of every result set: the input's other columns, rs_no, rs_name, row_no, cells (header to value).
 
-    Rows shorter or longer than the headers are cut or filled with nulls; with a name only that result set is read.
+    Cells are variants: numbers, texts, booleans and nested values as the response has them. Rows shorter or longer than the
+    headers are cut or filled with nulls; with a name only that result set is read. What is no JSON gives no rows.
     """
-    parsed = responses.withColumn("_rs", F.from_json(F.col(body), RESPONSE)["resultSets"])
+    parsed = responses.withColumn("_rs", F.try_variant_get(F.try_parse_json(F.col(body)), "$.resultSets", RESULT_SETS))
     sets = parsed.select(*(c for c in responses.columns if c != body), F.posexplode("_rs").alias("rs_no", "_set"))
     if name is not None:
         sets = sets.filter(F.col("_set.name") == name)
@@ -33,6 +34,17 @@ def cell(name: str, cells: str = "cells") -> Column:
     return F.when(~F.coalesce(value, F.lit("")).rlike(r"^\s*[\[{]"), value)
 
 
+def typed(name: str, kind: str, cells: str = "cells") -> Column:
+    """A variant cell by header, as `kind`; null where the header is missing, the value nested or no such value."""
+    value = F.try_element_at(F.col(cells), F.lit(name))
+    return F.when(~F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)"), F.try_variant_get(value, "$", kind))
+
+
+def typed_id(names: list[str], kind: str, cells: str = "cells") -> Column:
+    """The id under the first of its aliases that is there and of the kind."""
+    return F.coalesce(*(typed(n, kind, cells) for n in names))
+
+
 def routed(value: Column, result_set: str) -> Column:
     """A column that reads its own result set only: null in rows of others, so that merged rows keep what the right one said."""
     return F.when(F.col("rs_name") == result_set, value)

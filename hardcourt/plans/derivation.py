@@ -14,7 +14,7 @@ from hardcourt.plans.derivation_sql import CHAINED, DERIVED, POSSESSED, SCORED,
 from hardcourt.plans.derivation_sql import names as sql_names
 from hardcourt.plans.events import EV, INTERVALS, ev, game_of
 from hardcourt.plans.registry import query
-from hardcourt.sources.tables import RAW_COLUMNS, read, read_play_by_play, shared_folder, written
+from hardcourt.sources.tables import RAW_COLUMNS, append, read, read_checked, read_play_by_play, shared_folder, written
 
 c = F.col
 
@@ -471,6 +471,25 @@ def a1(spark, sf):
     return read_play_by_play(spark, path).select("GAME_ID", "EVENTNUM", "EVENTMSGTYPE", "PERIOD", "PCTIMESTRING", "PLAYER1_ID")
 
 
+@query(
+    "a1_broken_lines",
+    """select case when event_id % 50 = 0 then 'malformed line' when event_id % 51 = 0 then 'no event number' when event_id % 52 = 0 then 'no game' else 'row' end as kind,
+      case when event_id % 50 = 0 then 'cut,' || event_id when event_id % 51 = 0 then 'none' when event_id % 52 = 0 then event_id::varchar else event_id::varchar end as value from events""",
+)
+def a1_broken(spark, sf):
+    """A season's file with broken lines: the good rows, and the error sink read back with each bad line."""
+    path, sink = (f"{shared_folder(spark)}/{uuid.uuid4().hex}" for _ in range(2))
+    num = c("EVENTNUM").cast("long")
+    rows = raw_rows(spark, sf).withColumns({"GAME_ID": F.when((num % 52 != 0) | (num % 51 == 0), c("GAME_ID")), "EVENTNUM": F.when(num % 51 != 0, c("EVENTNUM")).otherwise("none"), "num": num})
+    line = F.to_csv(F.struct(*(c(n) if n in rows.columns else F.lit(None).cast("string").alias(n) for n in RAW_COLUMNS)))
+    rows.select(F.when(c("num") % 50 == 0, F.concat(F.lit("cut,"), c("num").cast("string"))).otherwise(line).alias("value")).write.text(path)
+    good, bad = read_checked(spark, path, header=False)
+    append(bad, sink, ["phase", "message", "detail"])
+    told = F.get_json_object("detail", "$.line")
+    errors = spark.read.schema(bad.schema).parquet(sink).select(c("message").alias("kind"), F.when(c("message") == "malformed line", told).otherwise(F.split(told, ",")[1]).alias("value"))
+    return good.select(F.lit("row").alias("kind"), c("EVENTNUM").alias("value")).unionByName(errors)
+
+
 @query("o7_result_fields", f"{RAW} select game_id, team_id, (count(*) filter (where event in ('fg3_make', 'fg3_miss')))::int as threes, (count(*) filter (where event in ('steal', 'block')))::int as stops from raw where team_id <> '' group by all")
 def o7(spark, sf):
     """Fields that are not built in, each a line of configuration."""

@@ -140,24 +140,26 @@ def l14(spark, sf):
 # --- scans ---------------------------------------------------------------------------------------------------------
 
 
-@query("a2_result_sets", "select n_nationkey::varchar as id, n_name as name, n_regionkey::varchar as region, (n_nationkey - (select min(n_nationkey) from nation m where m.n_regionkey = n.n_regionkey) >= 0) as ok from nation n")
+@query("a2_result_sets", "select n_nationkey::bigint as id, n_name as name, n_regionkey::int as region, n_nationkey / 4 as quarter, n_nationkey % 2 = 0 as even, null::varchar as nested from nation")
 def a2(spark, sf):
-    """Nations packed as one response per region, then scanned: the id under its second alias."""
-    packed = read(spark, sf, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.array(c("n_nationkey").cast("string"), "n_name", c("n_regionkey").cast("string")))).alias("rows"))
-    one = F.struct(F.lit("Nations").alias("name"), F.array(*map(F.lit, ("nationId", "NAME", "REGION"))).alias("headers"), c("rows").alias("rowSet"))
-    body = packed.select(F.to_json(F.struct(F.array(one).alias("resultSets"))).alias("body"))
+    """Nations packed as one response per region, then scanned: numbers stay numbers, the id stands under its second alias."""
+    line = F.format_string('[%d,"%s",%d,%s,%s,{"a":1}]', "n_nationkey", "n_name", "n_regionkey", (c("n_nationkey") / 4).cast("string"), (c("n_nationkey") % 2 == 0).cast("string"))
+    packed = read(spark, sf, "nation").groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_list(line)), ",").alias("rows"))
+    body = packed.select(F.format_string('{"resultSets":[{"name":"Nations","headers":["nationId","NAME","REGION","QUARTER","EVEN","NESTED"],"rowSet":[%s]}]}', "rows").alias("body"))
     rows = ex.result_rows(body, name="Nations")
-    return rows.select(ex.entity_id(["NATION_ID", "nationId"]).alias("id"), ex.cell("NAME").alias("name"), ex.cell("REGION").alias("region"), (c("row_no") >= 0).alias("ok"))
+    return rows.select(ex.typed_id(["NATION_ID", "nationId"], "bigint").alias("id"), ex.typed("NAME", "string").alias("name"), ex.typed("REGION", "int").alias("region"), ex.typed("QUARTER", "double").alias("quarter"), ex.typed("EVEN", "boolean").alias("even"), ex.typed("NESTED", "string").alias("nested"))
 
 
-@query("b9_result_set_routing", "select n_regionkey::varchar as region, max(n_name) as last_name, min(r_name) as label from nation join region on n_regionkey = r_regionkey group by 1")
+@query("b9_result_set_routing", "select n_regionkey::bigint as region, max(n_name) as last_name, min(r_name) as label from nation join region on n_regionkey = r_regionkey group by 1")
 def b9(spark, sf):
     """Two result sets of one response with columns of the same header; each field reads its own."""
-    nations = read(spark, sf, "nation").groupBy(c("n_regionkey").alias("k")).agg(F.array_sort(F.collect_list(F.array(c("n_regionkey").cast("string"), "n_name"))).alias("a"))
-    regions = read(spark, sf, "region").select(c("r_regionkey").alias("k"), F.array(F.array(c("r_regionkey").cast("string"), "r_name")).alias("b"))
-    sets = [F.struct(F.lit(n).alias("name"), F.array(F.lit("ID"), F.lit("NAME")).alias("headers"), c(x).alias("rowSet")) for n, x in (("Nations", "a"), ("Regions", "b"))]
-    body = nations.join(regions, "k").select(F.to_json(F.struct(F.array(*sets).alias("resultSets"))).alias("body"))
-    rows = ex.result_rows(body).select(ex.cell("ID").alias("region"), ex.routed(ex.cell("NAME"), "Nations").alias("last_name"), ex.routed(ex.cell("NAME"), "Regions").alias("label"), "rs_no", "row_no")
+    line = '[%d,"%s"]'
+    nations = read(spark, sf, "nation").groupBy(c("n_regionkey").alias("k")).agg(F.array_join(F.array_sort(F.collect_list(F.format_string(line, "n_regionkey", "n_name"))), ",").alias("a"))
+    regions = read(spark, sf, "region").select(c("r_regionkey").alias("k"), F.format_string(line, "r_regionkey", "r_name").alias("b"))
+    one = '{"name":"%s","headers":["ID","NAME"],"rowSet":[%%s]}'
+    body = nations.join(regions, "k").select(F.format_string('{"resultSets":[' + one % "Nations" + "," + one % "Regions" + "]}", "a", "b").alias("body"))
+    name = ex.typed("NAME", "string")
+    rows = ex.result_rows(body).select(ex.typed("ID", "bigint").alias("region"), ex.routed(name, "Nations").alias("last_name"), ex.routed(name, "Regions").alias("label"), "rs_no", "row_no")
     return ex.merged_entities(rows, ["region"], ["rs_no", "row_no"], ["last_name", "label"])
 
 
@@ -260,8 +262,8 @@ def b12(spark, sf):
 
 @query("b13_id_aliases", "select event_id, coalesce(json_extract_string(props, '$.PLAYER_ID'), json_extract_string(props, '$.k'), json_extract_string(props, '$.page')) as entity from events")
 def b13(spark, sf):
-    cells = F.from_json("props", "map<string,string>")
-    return read(spark, sf, "events").select("event_id", cells.alias("cells")).select("event_id", ex.entity_id(["PLAYER_ID", "k", "page"]).alias("entity"))
+    cells = F.try_variant_get(F.try_parse_json("props"), "$", "map<string,variant>")
+    return read(spark, sf, "events").select("event_id", cells.alias("cells")).select("event_id", ex.typed_id(["PLAYER_ID", "k", "page"], "string").alias("entity"))
 
 
 @query("b14_pipeline_extract", "select l_orderkey, string_agg(l_quantity::int::varchar, ',' order by l_linenumber, l_partkey, l_suppkey, l_quantity) as quantities from lineitem where l_returnflag in ('A', 'R') group by 1")
