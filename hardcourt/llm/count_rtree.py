@@ -257,8 +257,8 @@ def set_rows(docs: DataFrame, known: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in pieces(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t).astype("<u8").tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["node", "g"])
 
-    rows = known.join(nodes, "node", "left_semi").groupBy("node", "doc_id", "row").agg(F.count("*").alias("times"))
-    rows = rows.groupBy("node").agg(F.min(F.struct("doc_id", "row", "times")).alias("r"))
+    rows = known.groupBy("node", "doc_id", "row").agg(F.count("*").alias("times"))
+    rows = rows.groupBy("node").agg(F.min(F.struct("doc_id", "row", "times")).alias("r")).join(nodes, "node", "left_semi")
     wanted = Scratch(docs.sparkSession).stored(rows.select("node", F.coalesce("r.doc_id", F.lit(0)).alias("_id"), "r.row", "r.times"))
     size = wanted.agg(F.count("*").alias("n"), F.max("times").alias("times")).collect()[0]
     texts = docs.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), "row", "text")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hardcourt.llm.runtime import ship, table
+from hardcourt.llm.runtime import ship, stored, table
 
 #: Texts sampled, entries of the broadcast table, of a task's summary and of a worker's cache; longest cached word.
 SAMPLE, TABLE, SUMMARY, CACHE, LONGEST = 10_000, 1 << 16, 1 << 14, 1 << 18, 64
@@ -92,12 +92,18 @@ def frequent_words(rows: DataFrame, key: str) -> list[str]:
         if top:
             yield pa.RecordBatch.from_arrays([pa.array([[*top]], pa.list_(pa.string())), pa.array([[*top.values()]], pa.list_(pa.int64()))], ["words", "counts"])
 
-    tally: Counter = Counter()
-    for part in sample.mapInArrow(summary, "words array<string>, counts array<long>").toLocalIterator():
-        tally.update(dict(zip(part.words, part.counts, strict=True)))
-        if len(tally) > 8 * TABLE:
-            tally = cut(tally, 4 * TABLE)
-    return [w for w, c in cut(tally, TABLE).items() if c > 1]
+    def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally: Counter = Counter()
+        for batch in batches:
+            for found, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                tally.update(dict(zip(found, counts, strict=True)))
+                if len(tally) > 8 * TABLE:
+                    tally = cut(tally, 4 * TABLE)
+        yield pa.RecordBatch.from_arrays([pa.array([[w for w, c in cut(tally, TABLE).items() if c > 1]], pa.list_(pa.string()))], ["words"])
+
+    # all tasks summarise at once; one then reads what they have written, which the sample bounds
+    summaries = stored(sample.mapInArrow(summary, "words array<string>, counts array<long>"))
+    return [w for r in summaries.coalesce(1).mapInArrow(tallied, "words array<string>").collect() for w in r["words"]]
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, key: str = "doc_id", text: str = "text") -> DataFrame:
