@@ -37,6 +37,23 @@ def test_counts_do_not_hang_on_the_table(spark, monkeypatch):
     assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(df, PIECES).collect()} == {r.doc_id: len(sp.encode(r.text or "")) for r in df.collect()}
 
 
+def test_few_jobs_for_many_partitions(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"word{i % 50} and more text here") for i in range(640)], "doc_id long, text string")
+    rows.repartition(64).write.parquet(f"{tmp_path}/t")
+    df = spark.read.option("maxPartitionBytes", 1).parquet(f"{tmp_path}/t")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.sparkContext.setJobGroup("counts", "counts")
+    try:
+        assert df.rdd.getNumPartitions() >= 64
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("counts"))
+        got = token_counts.token_counts(df, PIECES)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("counts")) - before <= 5
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got.count() == 640
+
+
 def test_words_add_up():
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     assert not [p for p in (sp.id_to_piece(i) for i in range(sp.vocab_size())) if "▁" in p.lstrip("▁")]
