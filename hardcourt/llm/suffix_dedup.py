@@ -227,8 +227,8 @@ SPANS = "n_repeated long, spans array<struct<start:int,length:int>>"
 
 
 def joined(marks: DataFrame) -> DataFrame:
-    """(doc_id, n_repeated, spans) from (doc_id, start, length), spans that touch as one. A document has no more marks
-    than words."""
+    """(doc_id, n_repeated, spans) from (doc_id, start, length), spans that touch as one. Each mark is kept once, also
+    where an id stands on many rows, and before marks are exchanged."""
     pair = pa.struct([("start", pa.int32()), ("length", pa.int32())])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +245,7 @@ def joined(marks: DataFrame) -> DataFrame:
                 spans.append([{"start": s, "length": n} for s, n in out])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(totals, pa.int64()), pa.array(spans, pa.list_(pair))], ["doc_id", "n_repeated", "spans"])
 
-    return marks.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("found")).mapInArrow(step, f"doc_id long, {SPANS}")
+    return marks.groupBy("doc_id").agg(F.collect_set(F.struct("start", "length")).alias("found")).mapInArrow(step, f"doc_id long, {SPANS}")
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
