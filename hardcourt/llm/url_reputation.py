@@ -34,6 +34,8 @@ SECOND_LEVELS = (
     "ac", "asn", "biz", "co", "com", "csiro", "ed", "edu", "fin", "firm", "gen", "go", "gob", "gouv", "gov", "govt", "gr", "gub", "id", "iwi", "k12", "kiwi", "law", "ltd",
     "maori", "me", "mil", "mod", "muni", "ne", "net", "nhs", "nic", "nom", "or", "org", "plc", "police", "res", "sch", "school", "sld", "tm", "web",
 )
+#: A host that is an address: four numbers, or what brackets enclose.
+ADDRESS = r"^(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|\[.*)$"
 BOUND_Z = 1.645
 BLOCK_OVER = 0.5
 STRENGTH = (1.0, 200.0)
@@ -59,12 +61,16 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def domain_parts(host: Column, suffixes: tuple[str, ...] = ()) -> tuple[Column, Column]:
-    """Suffix and registered domain of a host, its port left out. suffixes: more of two labels, such as a host for blogs."""
-    name = F.regexp_replace(host, r"^.*@|:[0-9]*$", "")
+    """Suffix and registered domain of a host, its user, port and closing dots left out. An address in numbers is a domain of
+    its own under the suffix "ip". suffixes: more of two labels, such as a host for blogs."""
+    name = F.regexp_replace(F.regexp_replace(host, r"^.*@|:[0-9]*$", ""), r"\.+$", "")
+    number = name.rlike(ADDRESS)
     two = F.substring_index(name, ".", -2)
-    double = two.rlike(rf"^(?:{'|'.join(SECOND_LEVELS)})\.[a-z]{{2}}$") | two.isin(*suffixes) if suffixes else two.rlike(rf"^(?:{'|'.join(SECOND_LEVELS)})\.[a-z]{{2}}$")
-    suffix = F.when(double, two).otherwise(F.substring_index(name, ".", -1))
-    domain = F.when(double, F.substring_index(name, ".", -3)).otherwise(two)
+    double = two.rlike(rf"^(?:{'|'.join(SECOND_LEVELS)})\.[a-z]{{2}}$")
+    if suffixes:
+        double = double | two.isin(*suffixes)
+    suffix = F.when(number, "ip").when(double, two).otherwise(F.substring_index(name, ".", -1))
+    domain = F.when(number, name).when(double, F.substring_index(name, ".", -3)).otherwise(two)
     return suffix, domain
 
 
@@ -146,9 +152,10 @@ with urls as (
          coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path from pages),
 marks as (select doc_id as page_id, max(greatest(1 - quality, toxic)) as bad from labels where doc_id is not null and quality is not null and toxic is not null group by 1),
 labelled as (select host, count(*)::double as n, sum(bad)::double as bad from urls join marks using (page_id) group by 1),
-names as (select host, string_split(regexp_replace(host, '^.*@|:[0-9]*$', '', 'g'), '.') as p from (select distinct host from urls)),
-split as (select host, regexp_matches(array_to_string(p[-2:], '.'), '^({'|'.join(SECOND_LEVELS)})\.[a-z]{{2}}$') as double, array_to_string(p[-2:], '.') as two, array_to_string(p[-3:], '.') as three, coalesce(p[-1], '') as one from names),
-hosts as (select s.host, n, bad, case when double then two else one end as suffix, case when double then three else two end as domain
+bare as (select host, regexp_replace(regexp_replace(host, '^.*@|:[0-9]*$', '', 'g'), '\.+$', '') as name from (select distinct host from urls)),
+names as (select host, name, regexp_matches(name, '{ADDRESS}') as number, string_split(name, '.') as p from bare),
+split as (select host, name, number, regexp_matches(array_to_string(p[-2:], '.'), '^({'|'.join(SECOND_LEVELS)})\.[a-z]{{2}}$') as double, array_to_string(p[-2:], '.') as two, array_to_string(p[-3:], '.') as three, coalesce(p[-1], '') as one from names),
+hosts as (select s.host, n, bad, case when number then 'ip' when double then two else one end as suffix, case when number then name when double then three else two end as domain
           from split s left join labelled l on s.host = l.host),
 known as (select * from hosts where n is not null),
 suffixes as (select suffix, sum(n) as n, sum(bad) as bad, (select (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) from known) as m from known group by suffix),
