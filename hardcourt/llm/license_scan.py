@@ -6,7 +6,7 @@ words put in would, and then as one with REACH words more, or as many as the tem
 region and once in the template are anchors, the longest increasing subsequence of their places is kept, and the gaps
 between anchors are aligned the same way, down to gaps without anchors, where equal ends are matched. The share of the
 template's words that are aligned is its coverage; COVERAGE or more counts, if a word is among them that no other
-license's templates have (where the template has such a word).
+license's templates have (where the template has such a word), and each number of the template, which tells versions apart.
 
 Of statements that overlap the one with most words aligned stays; ties go to the higher coverage, then the earlier, the
 shorter, the lesser name. Null texts count as empty. Repeated rows are scanned each; an empty table gives no rows; other columns are not
@@ -89,11 +89,40 @@ TEMPLATES = {
     ),
     "All-Rights-Reserved": ("All rights reserved.",),
 }
+#: Names by which texts call a license, with the version where it has one.
+CALLED = {
+    "MIT": ("MIT License",),
+    "Apache-2.0": ("Apache License 2.0", "Apache License, Version 2.0", "Apache 2.0 License"),
+    "GPL-3.0": ("GNU GPL v3", "GPL v3", "GNU GPLv3", "GNU GPL version 3", "GNU General Public License v3", "GNU General Public License version 3"),
+    "GPL-2.0": ("GNU GPL v2", "GPL v2", "GNU GPLv2", "GNU GPL version 2", "GNU General Public License v2", "GNU General Public License version 2"),
+    "LGPL-3.0": ("GNU LGPL v3", "LGPL v3", "GNU Lesser General Public License v3", "GNU Lesser General Public License version 3"),
+    "LGPL-2.1": (
+        "GNU LGPL v2.1", "LGPL v2.1", "GNU Lesser General Public License v2.1", "GNU Lesser General Public License version 2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    "AGPL-3.0": ("GNU AGPL v3", "AGPL v3", "GNU Affero General Public License v3", "GNU Affero General Public License version 3"),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, version 2.0"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License"),
+}
+#: Older versions of the Creative Commons licenses are called as the newest one is.
+CC_VERSIONS, CC_NEWEST = ("2.0", "2.5", "3.0"), "4.0"
+
+
+def of_every_version(texts: dict[str, tuple[str, ...]]) -> dict[str, tuple[str, ...]]:
+    """texts with what CALLED adds, and each text of a newest version with the older numbers in its place."""
+    out = {n: (*texts.get(n, ()), *CALLED.get(n, ())) for n in (*texts, *(n for n in CALLED if n not in texts))}
+    for name in [n for n in texts if n.startswith("CC-") and n.endswith(CC_NEWEST)]:
+        for version in CC_VERSIONS:
+            out[name.replace(CC_NEWEST, version)] = tuple(t.replace(CC_NEWEST, version).replace("International", "Unported") for t in texts[name])
+    return out
+
+
 #: Notices that name a license by its identifier, for all of TEMPLATES whose name is one.
 BY_NAME = ("SPDX-License-Identifier: {}", "License: {}", "Licence: {}")
 #: Words too frequent in any text to be a template's own cues, unless it has no others.
 COMMON = {*b"released under the is to any person of this and in without work version program free you can it terms as published by either or at your option later may not use file except with that are code form subject for purpose all copies above notice appear provided following conditions met source 0 1 2 3 4 v".split()}
-#: Templates of fewer words than SHORT are looked for within one word more than they have.
+#: Templates of fewer words than SHORT are looked for as they stand.
 SHORT = 5
 
 
@@ -152,6 +181,7 @@ class Templates:
         ranked = [sorted({*t}, key=lambda w: (w in COMMON, of[w], -len(w), w)) for _, t in self.all]
         lacks = [len(t) - ceil(least * len(t) - 1e-9) for _, t in self.all]
         self.cues = [frozenset(r[: n + 1]) for r, n in zip(ranked, lacks, strict=True)]
+        self.numbers = [{w for w in t if w.isdigit() or (w[:1] == b"v" and w[1:].isdigit())} for _, t in self.all]
         self.own = [{w for w in t if of[w] == 1} for _, t in self.all]
         self.distinct = [max(1, len({*t}) - n) for (_, t), n in zip(self.all, lacks, strict=True)]
         self.wanted = frozenset().union(*self.cues)
@@ -163,7 +193,7 @@ class Templates:
 
 @cache
 def standard(least: float) -> Templates:
-    return Templates(TEMPLATES, least)
+    return Templates(of_every_version(TEMPLATES), least)
 
 
 def scan(text: str | None, least: float = COVERAGE, templates: Templates | None = None) -> list[tuple[str, float, int, int]]:
@@ -175,7 +205,7 @@ def scan(text: str | None, least: float = COVERAGE, templates: Templates | None
         if w in known.wanted:
             places.setdefault(w, []).append(i)
     hits = []
-    for (name, template), cues, own, distinct in zip(known.all, known.cues, known.own, known.distinct, strict=True):
+    for (name, template), cues, own, numbers, distinct in zip(known.all, known.cues, known.own, known.numbers, known.distinct, strict=True):
         here = sorted((i, w) for w in cues if w in places for i in places[w])
         n, past = len(template), -1
         for cue, word in here:
@@ -191,9 +221,10 @@ def scan(text: str | None, least: float = COVERAGE, templates: Templates | None
                 # matches far from the rest (a stray common word) do not stretch the span beyond the template's length
                 inside = [(x, y) for x, y in pairs if any(abs((x + a - cue) - (y - k)) <= slack for k in at)]
                 share = len(inside) / n
-                if share >= least and (not own or any(template[y] in own for _, y in inside)):
+                # a version's numbers are never among the words that may be missing
+                if share >= least and (not own or any(template[y] in own for _, y in inside)) and numbers <= {template[y] for _, y in inside}:
                     first, last = a + inside[0][0], a + inside[-1][0] + 1
-                    if n >= SHORT or last - first <= n + 1:
+                    if n >= SHORT or last - first == n:
                         hits.append((-len(inside), -share, first, last, name))
                         past = last
                         break

@@ -191,6 +191,35 @@ def test_suffixes(spark):
     assert tuple(more) == ("github.io", "b.github.io")
 
 
+def test_hosts_in_numbers_and_closing_dots(spark):
+    hosts = ["10.0.0.1", "10.0.0.1:80", "9.8.0.1", "www.a.co.uk.", "b.example.com", "me@c.com:8080", "[::1]:80", ""]
+    suffix, domain = url_reputation.domain_parts(F.col("h"))
+    got = [tuple(r) for r in spark.createDataFrame([(h,) for h in hosts], "h string").select(suffix, domain).collect()]
+    assert got == [("ip", "10.0.0.1"), ("ip", "10.0.0.1"), ("ip", "9.8.0.1"), ("co.uk", "a.co.uk"), ("com", "example.com"), ("com", "c.com"), ("ip", "[::1]"), ("", "")]
+
+
+def test_addresses_of_many_labels():
+    """Spelled-out addresses may have as many labels as a host name can."""
+    loose = re.compile(pii.LOOSE["email"])
+    for n in (1, 9, 60):
+        text = "jo (at) " + ".".join(f"h{i}" for i in range(n)) + ".example.com"
+        assert loose.search(f"write to {text} today").group(0) == text
+
+
+def test_licenses_as_people_call_them():
+    """Bare names and versions; what only resembles them is none."""
+    found = lambda t: [name for name, *_ in license_scan.scan(t)]
+    assert found("see the MIT License for more") == ["MIT"]
+    assert found("Licensed under the GNU GPL v3, of course") == ["GPL-3.0"]
+    assert found("under the GNU GPL version 2 or so") == ["GPL-2.0"]
+    assert found("This work is licensed under a Creative Commons Attribution 3.0 Unported License.") == ["CC-BY-3.0"]
+    assert found("This work is licensed under a Creative Commons Attribution 4.0 International License.") == ["CC-BY-4.0"]
+    assert found("Licensed under CC BY-SA 2.5.") == ["CC-BY-SA-2.5"]
+    assert found(f"x {license_scan.CALLED['LGPL-2.1'][-1]} y") == ["LGPL-2.1"]
+    for t in ("all rights not reserved", "was all rights and reserved seats", "a license of MIT graduates", "Creative Commons Attribution 7.0 License", "GPL and v3 engines"):
+        assert found(t) == [], t
+
+
 def test_licenses(spark):
     df = docs(spark, clash=True).unionByName(docs(spark, clash=True, rows=[(20, "Text. This work is licensed under the GNU General Public License, version 3. More. Licensed under CC BY-NC 4.0. And Licensed under CC BY-NC 4.0.", "en", "s", 1), (21, "a license to thrill and permission slips", "en", "s", 1)]))
     got = sorted((r.doc_id, r.license, r.first_word, r.last_word) for r in license_scan.licenses(df).collect())
