@@ -349,8 +349,13 @@ def checked(df: DataFrame) -> DataFrame:
 
 
 def derived(events: DataFrame, games: DataFrame, lineup_size: int = 5) -> DataFrame:
-    """The event contract completed, with `errors` per row. games: (game_id, home, away)."""
-    dealt = events.withColumn("errors", F.expr("cast(array() as array<string>)")).select(*COLUMNS).join(games.select("game_id", "home", "away"), "game_id").repartition(*GAME)
+    """The event contract completed, with `errors` per row. games: (game_id, home, away).
+
+    Games are dealt to as many tasks as the session shuffles to. That is a stated number, as the work on a game is many times
+    what its bytes suggest, by which Spark would put tasks together.
+    """
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = events.withColumn("errors", F.expr("cast(array() as array<string>)")).select(*COLUMNS).join(games.select("game_id", "home", "away"), "game_id").repartition(tasks, *GAME)
     df = lined_up(chained(dealt, ("home", "away")), F.lit(lineup_size))
     return cleaned(possessed(scored_sequences(df)))
 

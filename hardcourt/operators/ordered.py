@@ -101,8 +101,9 @@ def in_out_intervals(df: DataFrame, keys: tuple[str, ...] = (*GAME, "team_id", "
     marks = marks.withColumn("_short", F.max(F.greatest(F.lit(0), -F.col("_bal"))).over(w.rowsBetween(W.unboundedPreceding, 0)))
     marks = marks.withColumn("_ok", F.col("_in") | (F.col("_short") == F.coalesce(F.lag("_short").over(w), F.lit(0))))
     marks = marks.filter("_ok").withColumn("_k", F.row_number().over(W.partitionBy(*keys, "_in").orderBy("seq")))
-    ends = marks.filter("not _in").select(*keys, "_k", F.col("seq").alias("end_seq"), F.col("secs").alias("end_secs"))
-    return marks.filter("_in").select(*keys, "_k", F.col("seq").alias("start_seq"), F.col("secs").alias("start_secs")).join(ends, [*keys, "_k"]).drop("_k")
+    here = F.struct("seq", "secs")
+    pairs = marks.groupBy(*keys, "_k").agg(F.max(F.when(F.col("_in"), here)).alias("s"), F.max(F.when(~F.col("_in"), here)).alias("e")).filter("s is not null and e is not null")
+    return pairs.select(*keys, F.col("s.seq").alias("start_seq"), F.col("s.secs").alias("start_secs"), F.col("e.seq").alias("end_seq"), F.col("e.secs").alias("end_secs"))
 
 
 def marker_windows(df: DataFrame, start: str = "poss_start", end: str = "poss_end", keys: tuple[str, ...] = (*GAME, "team_id")) -> DataFrame:
