@@ -50,7 +50,7 @@ FANOUT = 8
 BLOCK, BLOCK_SHINGLES = 512, 1 << 19
 BROADCAST_ROWS = 500_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
-_PAIRS = 1 << 14
+_PAIRS, _WAITING = 1 << 12, 1 << 11
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -143,7 +143,7 @@ class CountTree:
 
     def __init__(self, counts: np.ndarray, sizes: np.ndarray, roots: np.ndarray):
         self.order = np.lexsort([*counts.T[:4], sizes, roots])
-        level = (counts[self.order], sizes[self.order], sizes[self.order], roots[self.order], roots[self.order])
+        level = (counts[self.order].astype(np.int32), sizes[self.order], sizes[self.order], roots[self.order], roots[self.order])
         self.levels = [level]
         while len(level[0]) > 1:
             at = np.arange(0, len(level[0]), FANOUT)
@@ -155,24 +155,31 @@ class CountTree:
         ok = ~((first[i] == last[j]) & (last[i] == first[j]) & (first[i] == last[i]))
         ok &= (100 * high[i] >= percent * low[j]) & (100 * high[j] >= percent * low[i])
         i, j = i[ok], j[ok]
-        room = np.concatenate([np.zeros(0), *(np.minimum(most[i[k : k + _PAIRS]], most[j[k : k + _PAIRS]]).sum(axis=1) for k in range(0, len(i), _PAIRS))])
-        room -= least_shared(low[i], low[j], percent)
+        room = np.concatenate([np.zeros(0, np.int64), *(np.minimum(most[i[k : k + _PAIRS]], most[j[k : k + _PAIRS]]).sum(axis=1) for k in range(0, len(i), _PAIRS))])
+        room = room - least_shared(low[i], low[j], percent)
         return i[room >= 0], j[room >= 0], room[room >= 0]
 
     def candidates(self, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of points of different components that no box excludes, those with most room first."""
-        i = j = np.zeros(min(1, len(self.order)), np.int64)
-        room = np.zeros(0)
-        for level in range(len(self.levels) - 1, -1, -1):
+        none = np.zeros(0, np.int32)
+        found = [(none, none, none)]
+        start = np.zeros(min(1, len(self.order)), np.int32)
+        todo = [(len(self.levels) - 1, start, start)]
+        while todo:  # depth first, some pairs of boxes at a time, so that what waits stays small
+            level, i, j = todo.pop()
             i, j, room = self._kept(level, i, j, percent)
-            if level:
-                n = len(self.levels[level - 1][0])
-                below = np.arange(FANOUT)
-                i, j = (np.repeat(i, FANOUT * FANOUT) * FANOUT + np.tile(np.repeat(below, FANOUT), len(i)), np.repeat(j, FANOUT * FANOUT) * FANOUT + np.tile(below, len(j) * FANOUT))
-                there = (i < n) & (j < n) & (i <= j)
-                i, j = i[there], j[there]
-        best = np.argsort(-room, kind="stable")
-        best = best[i[best] < j[best]]
+            if not level:
+                inner = i < j
+                found.append((i[inner], j[inner], room[inner].astype(np.int32)))
+                continue
+            n, below = len(self.levels[level - 1][0]), np.arange(FANOUT, dtype=np.int32)
+            for k in range(0, len(i), _WAITING):
+                x, y = i[k : k + _WAITING], j[k : k + _WAITING]
+                x, y = np.repeat(x, FANOUT * FANOUT) * FANOUT + np.tile(np.repeat(below, FANOUT), len(x)), np.repeat(y, FANOUT * FANOUT) * FANOUT + np.tile(below, len(y) * FANOUT)
+                there = (x < n) & (y < n) & (x <= y)
+                todo.append((level - 1, x[there], y[there]))
+        i, j, room = (np.concatenate(p) for p in zip(*found, strict=True))
+        best = np.lexsort([j, i, -room])
         return self.order[i[best]], self.order[j[best]]
 
 
@@ -187,11 +194,13 @@ def joining_links(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], ma
         return r
 
     links = []
-    for a, b in zip(*(x.tolist() for x in CountTree(np.array([point(g, many) for g in sets], np.int64), sizes, roots).candidates(percent)), strict=True):
-        p, q = top(int(roots[a])), top(int(roots[b]))
-        if p != q and shared(sets[a], sets[b]) >= least_shared(len(sets[a]), len(sets[b]), percent):
-            parent[p] = q
-            links.append((int(ids[a]), int(ids[b])))
+    left, right = CountTree(np.array([point(g, many) for g in sets], np.int32).reshape(-1, many), sizes, roots).candidates(percent)
+    for k in range(0, len(left), _PAIRS):
+        for a, b in zip(left[k : k + _PAIRS].tolist(), right[k : k + _PAIRS].tolist(), strict=True):
+            p, q = top(int(roots[a])), top(int(roots[b]))
+            if p != q and shared(sets[a], sets[b]) >= least_shared(len(sets[a]), len(sets[b]), percent):
+                parent[p] = q
+                links.append((int(ids[a]), int(ids[b])))
     return links
 
 
