@@ -101,10 +101,14 @@ def chained(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     df = with_errors(df, error(ft & c("_foul").isNull(), "ft_without_foul"), error(rebound & c("_shot").isNull(), "rebound_no_shot"))
     kind = F.when((c("event") == "rebound") & c("_shot").isNotNull(), F.when(c("_shot.team_id") == c("team_id"), "o_reb").otherwise("d_reb")).otherwise(c("event"))
     df = df.withColumns({"chain_id": F.when(ft, c("_foul.event_id")).when(rebound, c("_shot.event_id")).otherwise(c("chain_id")), "_standard": ft & c("_foul.event").isin(*pbp.STANDARD_FOULS)})
+    # a rebound stands directly behind its shot; of several the one recorded last comes first, as each is put there in turn
+    there = rebound & c("_shot").isNotNull()
+    df = df.withColumns({"event": kind, "_base": F.when(there, c("_shot.seq")).otherwise(c("seq")), "_slot": F.when(there, 1).otherwise(0), "_turn": F.when(there, -c("seq")).otherwise(c("seq"))})
+    df = df.withColumn("seq", (F.row_number().over(W.partitionBy(*GAME).orderBy("_base", "_slot", "_turn")) - 1).cast("int"))
     # a miss on a shot that was fouled: the foul is the record of the attempt, so it carries the error, and the miss goes
     # with all events of its row
     trip = F.when(ft, c("chain_id")).when(foul, c("event_id"))
-    df = df.withColumns({"event": kind, "_trip": trip}).withColumn("_shots", F.coalesce(within(F.count(F.when(ft, 1)), "_trip"), F.lit(0)))
+    df = df.withColumn("_trip", trip).withColumn("_shots", F.coalesce(within(F.count(F.when(ft, 1)), "_trip"), F.lit(0)))
     beside, same = c("event") != "block", ("period",)
     nxt, past = first_after(beside, F.struct("event", "fouled_player_id", "_shots"), *same), last_before(beside, F.struct("event", "player_id"), *same)
     fouled = is_in(pbp.FG_MISSES) & nxt["event"].isin(*pbp.STANDARD_FOULS) & (nxt["fouled_player_id"] == c("player_id")) & (nxt["_shots"] > 0)
@@ -118,9 +122,9 @@ def chained(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     inner = within(F.max(F.when(ft & (c("seq") < c("_trip_last")), True).when(c("_absorbed"), True).otherwise(False)), "_key")
     nth = F.count(F.when(rebound, 1)).over(over("_key").rowsBetween(W.unboundedPreceding, 0))
     df = df.withColumn("_gone", rebound & c("chain_id").isNotNull() & (inner | (nth > 1))).filter("not _gone")
+    # a foul whose free throws are shot in another period goes there
     cross = foul & (c("_trip_n") > 0) & (c("_trip_start.period") != c("period"))
-    base = F.when(rebound & c("_shot").isNotNull(), c("_shot.seq")).when(cross, c("_trip_start.seq")).otherwise(c("seq"))
-    moved = df.withColumns({"_base": base, "_slot": F.when(rebound & c("_shot").isNotNull(), 1).when(cross, -5).otherwise(0), "period": F.when(cross, c("_trip_start.period")).otherwise(c("period")), "secs": F.when(cross, c("_trip_start.secs")).otherwise(c("secs"))})
+    moved = df.withColumns({"_base": F.when(cross, c("_trip_start.seq")).otherwise(c("seq")), "_slot": F.when(cross, -5).otherwise(0), "period": F.when(cross, c("_trip_start.period")).otherwise(c("period")), "secs": F.when(cross, c("_trip_start.secs")).otherwise(c("secs"))})
     order = W.partitionBy(*GAME).orderBy("_base", "_slot", "seq")
     return moved.withColumn("seq", (F.row_number().over(order) - 1).cast("int")).select(*COLUMNS, *keep)
 

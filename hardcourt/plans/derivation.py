@@ -297,11 +297,11 @@ _SKIP2 = "('block', 'player_in', 'player_out', 'fg2_make', 'rebound')"
     a as (select *, last_value(case when event = 'fg2_miss' then {{'o': ord, 'e': event_id, 'p': period, 't': team_id}} end ignore nulls) over (partition by game_id order by seq rows between unbounded preceding and 1 preceding) as m,
       first_value(case when event not in {_SKIP2} then {{'n': event, 'e': event_id, 't': team_id}} end ignore nulls) over (partition by game_id, period order by seq rows between 1 following and unbounded following) as f from o),
     s as (select *, case when ord - m.o - 1 <= 2 and m.p = period then m.e when f.n = 'fg2_miss' then f.e end as chain, case when ord - m.o - 1 <= 2 and m.p = period then m.t when f.n = 'fg2_miss' then f.t end as team from a where event = 'rebound'),
-    k as (select *, row_number() over (partition by game_id, chain order by seq) as nth from s)
+    k as (select *, row_number() over (partition by game_id, chain order by seq desc) as nth from s)
     select game_id, event_id::varchar as event_id, chain::varchar as chain_id, case when chain is null then 'rebound' when team = team_id then 'o_reb' else 'd_reb' end as event from k where chain is null or nth = 1""",
 )
 def g2(spark, sf):
-    """Rebounds to missed shots, the one before or else the next; whose they are; the first of each shot."""
+    """Rebounds to missed shots, the one before or else the next; whose they are; one of each shot, the one recorded last."""
     done = derive.chained(contract(ev(spark, sf))).filter(c("event").isin(*pbp.REBOUNDS))
     return done.select("game_id", "event_id", "chain_id", "event")
 

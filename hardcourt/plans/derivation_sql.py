@@ -89,7 +89,8 @@ c2 as (select * exclude (f), case when o1 - f.o - 1 <= {derive.MAX_GAP} then f e
 c3 as (select * exclude (event, chain_id, errors), {errors((f"{FT} and f is null", "ft_without_foul"), (f"{REB} and shot is null", "rebound_no_shot"))} as errors,
   case when event = 'rebound' and shot is not null then case when shot.t = team_id then 'o_reb' else 'd_reb' end else event end as event,
   case when {FT} then f.e when {REB} then shot.e else chain_id end as chain_id from c2),
-c4 as (select *, case when {FT} then chain_id when {FOUL} then event_id end as ftrip from c3),
+c3p as (select * exclude (seq), (row_number() over (partition by game_id order by case when {REB} and shot is not null then shot.s else seq end, case when {REB} and shot is not null then 1 else 0 end, case when {REB} and shot is not null then -seq else seq end) - 1)::int as seq from c3),
+c4 as (select *, case when {FT} then chain_id when {FOUL} then event_id end as ftrip from c3p),
 c5 as (select *, case when ftrip is null then 0 else count(*) filter (where {FT}) over (partition by game_id, ftrip) end as shots from c4),
 c6 as (select *, {ahead("event <> 'block'", "{'ev': event, 'fp': fouled_player_id, 'n': shots}", "period")} as nb, {past("event <> 'block'", "{'ev': event, 'pl': player_id}", "period")} as pb from c5),
 c7a as (select *, coalesce(event in {names(pbp.FG_MISSES)} and nb.ev in {names(pbp.STANDARD_FOULS)} and nb.fp = player_id and nb.n > 0, false) as fouled,
@@ -102,7 +103,7 @@ c9 as (select *, {within(f"bool_or(case when {FT} and seq < trip_last then true
   coalesce({FOUL} and trip_n > 0 and first_value(period) over (partition by game_id, trip order by case when {FT} then seq end nulls last) <> period, false) as across,
   first_value(period) over (partition by game_id, trip order by case when {FT} then seq end nulls last) as p0, first_value(secs) over (partition by game_id, trip order by case when {FT} then seq end nulls last) as s0 from c8),
 c10 as (select * exclude (period, secs), case when across then p0 else period end as period, case when across then s0 else secs end as secs,
-  case when {REB} and shot is not null then shot.s when across then trip_first else seq end as base, case when {REB} and shot is not null then 1 when across then -5 else 0 end as slot
+  case when across then trip_first else seq end as base, case when across then -5 else 0 end as slot
   from c9 where not ({REB} and chain_id is not null and (inner_ or nth > 1))),
 chained as (select {CONTRACT}, (row_number() over (partition by game_id order by base, slot, seq) - 1)::int as seq from c10)"""
 
