@@ -32,9 +32,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hardcourt.llm.runtime import ship, table
+from hardcourt.llm.runtime import set_apart, ship, table
 
 CAPACITY, MAX_SEGMENTS, MAX_LOSS = 1024, 64, 640
+#: Turns of a conversation in one example.
+RUN = 1024
 END = 0
 WAITING = 512
 CACHE, LONGEST = 1 << 18, 64
@@ -267,10 +269,18 @@ def whole_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def conversations(turns: DataFrame, learn: str = "assistant") -> DataFrame:
-    """Each conversation as an example, its turns in order (at equal turn by role and text); one role's text bears loss."""
-    turn = F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("text"))
-    ordered = F.array_sort(F.collect_list(turn))
-    return turns.groupBy("conv_id").agg(F.transform(ordered, lambda t: F.struct(t["text"].alias("text"), F.coalesce(t["role"] == learn, F.lit(False)).alias("loss"))).alias("parts"))
+    """Each conversation as an example, its turns in order (at equal turn by role and text); one role's text bears loss.
+
+    Conversations are cut every RUN turns, so that none is gathered beyond that; a run is an example of its own. So is every
+    turn without a conversation. Turns without a number come first; null texts count as empty, repeated turns are repeated.
+    """
+    turns = set_apart(turns, ("conv_id", "turn", "role", "text"))[0]
+    loss = F.coalesce(F.col("role") == learn, F.lit(False)).alias("loss")
+    said = F.coalesce("text", F.lit("")).alias("text")
+    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", said, loss)))
+    parts = F.transform(ordered, lambda t: F.struct(t["text"].alias("text"), t["loss"].alias("loss")))
+    whole = turns.filter("conv_id is not null").withColumn("_run", F.floor(F.coalesce("turn", F.lit(0)) / RUN)).groupBy("conv_id", "_run").agg(parts.alias("parts")).select("conv_id", "parts")
+    return whole.unionByName(turns.filter("conv_id is null").select("conv_id", F.array(F.struct(said, loss)).alias("parts")))
 
 
 def tokenizer_path() -> str:

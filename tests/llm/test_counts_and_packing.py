@@ -110,6 +110,18 @@ def test_all_limits_bind_for_instruction_data(spark):
     assert max(tokens) <= packing.CAPACITY and max(segments) <= packing.MAX_SEGMENTS and max(loss) == packing.MAX_LOSS
 
 
+def test_conversations_null_long_and_clashing(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RUN", 3)
+    rows = [("a", k, "user" if k % 2 else "assistant", f"t{k}") for k in range(5)] + [("a", 1, "user", "t1"), ("a", None, "user", None), (None, 7, "assistant", "x"), (None, 7, "assistant", "x"), ("b", 2, None, "y")]
+    df = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string").select("*", F.lit(1).alias("TEXT"), F.lit(2).alias("parts"))
+    got = sorted((r.conv_id or "", [(p.text, p.loss) for p in r.parts]) for r in packing.conversations(df).collect())
+    assert got == [
+        ("", [("x", True)]), ("", [("x", True)]),
+        ("a", [("", False), ("t0", True), ("t1", False), ("t1", False), ("t2", True)]), ("a", [("t3", False), ("t4", True)]), ("b", [("y", False)]),
+    ]
+    assert packing.conversations(df.limit(0)).count() == 0
+
+
 def test_word_ids_equal_the_tokenizers():
     ids = packing.ids_of(packing.tokenizer_path())
     for t in ("a  b", "a   b ", "\n x \n y", "é ª º µm ×x", " lead", "trail ", "x<|endoftext|>y", "it's 'tis don't.", " . , ..", "naïve, Ωmega. 漢字 테스트,", "a.\nB c.\n\nd", "x \ny\n", "\n \n", "１２ ¼", "q.\n", " \nq\n r", "a\0b c", "a\tb c", "end ", "a\x1c b", "two  spaces in", "x " * 50):
