@@ -178,7 +178,7 @@ class Templates:
         named = {n: (*t, *(f.format(n) for f in BY_NAME if n != "All-Rights-Reserved")) for n, t in texts.items()}
         self.all = [(n, words(t)) for n, ts in named.items() for t in ts]
         of = {w: len({n for n, t in self.all if w in t}) for _, t in self.all for w in t}
-        ranked = [sorted({*t}, key=lambda w: (w in COMMON, of[w], -len(w), w)) for _, t in self.all]
+        ranked = [sorted({*t}, key=lambda w: (w in COMMON or w.isdigit(), of[w], -len(w), w)) for _, t in self.all]
         lacks = [len(t) - ceil(least * len(t) - 1e-9) for _, t in self.all]
         self.cues = [frozenset(r[: n + 1]) for r, n in zip(ranked, lacks, strict=True)]
         self.numbers = [{w for w in t if w.isdigit() or (w[:1] == b"v" and w[1:].isdigit())} for _, t in self.all]
