@@ -50,7 +50,7 @@ FANOUT = 8
 BLOCK, BLOCK_SHINGLES = 512, 1 << 19
 BROADCAST_ROWS = 500_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
-_PAIRS, _WAITING = 1 << 12, 1 << 11
+_PAIRS, _WAITING, _COUNTS = 1 << 12, 1 << 11, 1 << 19
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -126,7 +126,7 @@ def point(shingles: np.ndarray, many: int) -> np.ndarray:
 
 def folded(stored: bytes, n: int, many: int) -> np.ndarray:
     """The counts of as many groups or fewer, of a stored point of n shingles."""
-    return np.frombuffer(stored, "<u2" if n < 1 << 16 else "<u4").reshape(many, -1).sum(axis=1, dtype=np.int64)
+    return np.frombuffer(stored, "<u2" if n < 1 << 16 else "<u4").reshape(many, -1).sum(axis=1, dtype=np.int32)
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -155,7 +155,8 @@ class CountTree:
         ok = ~((first[i] == last[j]) & (last[i] == first[j]) & (first[i] == last[i]))
         ok &= (100 * high[i] >= percent * low[j]) & (100 * high[j] >= percent * low[i])
         i, j = i[ok], j[ok]
-        room = np.concatenate([np.zeros(0, np.int64), *(np.minimum(most[i[k : k + _PAIRS]], most[j[k : k + _PAIRS]]).sum(axis=1) for k in range(0, len(i), _PAIRS))])
+        some = max(1, _COUNTS // most.shape[1])  # a long text's point has thousands of counts
+        room = np.concatenate([np.zeros(0, np.int64), *(np.minimum(most[i[k : k + some]], most[j[k : k + some]]).sum(axis=1) for k in range(0, len(i), some))])
         room = room - least_shared(low[i], low[j], percent)
         return i[room >= 0], j[room >= 0], room[room >= 0]
 
