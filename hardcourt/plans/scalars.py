@@ -14,14 +14,21 @@ c = F.col
 LINE = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
 
 
-@query("l1_safe_int", "select p_partkey, round_even(p_retailprice * 10, 0)::bigint as price10, null::bigint as brand from part")
+def odd_size():
+    """The part's size as texts come: plain, within blanks, with a fraction, a letter before or behind, blank, or not at all."""
+    size = c("p_size").cast("string")
+    forms = (size, F.concat(F.lit(" "), size, F.lit(" ")), F.concat(size, F.lit(".5")), F.concat(F.lit("x"), size), F.concat(size, F.lit("d")), F.lit(""), F.lit(None).cast("string"))
+    return F.get(F.array(*forms), (c("p_partkey") % len(forms)).cast("int"))
+
+
+@query("l1_safe_int", "select p_partkey, round_even(p_retailprice * 10, 0)::bigint as price10, null::bigint as brand, case p_partkey % 7 when 0 then p_size when 1 then p_size when 2 then round_even(p_size + 0.5, 0) end::bigint as odd from part")
 def l1(spark, sf):
-    return read(spark, sf, "part").select("p_partkey", tr.safe_int(c("p_retailprice"), 10).alias("price10"), tr.safe_int(c("p_brand")).alias("brand"))
+    return read(spark, sf, "part").select("p_partkey", tr.safe_int(c("p_retailprice"), 10).alias("price10"), tr.safe_int(c("p_brand")).alias("brand"), tr.safe_int(odd_size()).alias("odd"))
 
 
-@query("l2_to_int", "select p_partkey, p_size as size, 0 as brand, coalesce(p_brand, '') as brand_text, 0 as price from part")
+@query("l2_to_int", "select p_partkey, p_size as size, 0 as brand, coalesce(p_brand, '') as brand_text, 0 as price, case when p_partkey % 7 < 2 then p_size else 0 end::int as odd from part")
 def l2(spark, sf):
-    return read(spark, sf, "part").select("p_partkey", tr.to_int(c("p_size")).alias("size"), tr.to_int(c("p_brand")).alias("brand"), tr.to_str(c("p_brand")).alias("brand_text"), tr.to_int(F.concat_ws(".", "p_size", F.lit("5"))).alias("price"))
+    return read(spark, sf, "part").select("p_partkey", tr.to_int(c("p_size")).alias("size"), tr.to_int(c("p_brand")).alias("brand"), tr.to_str(c("p_brand")).alias("brand_text"), tr.to_int(F.concat_ws(".", "p_size", F.lit("5"))).alias("price"), tr.to_int(odd_size()).alias("odd"))
 
 
 @query("l3_safe_str", "select p_partkey, nullif(case when p_size % 3 = 0 then '' else p_brand end, '') as brand from part")
@@ -44,10 +51,12 @@ def l5(spark, sf):
     return read(spark, sf, "part").select("p_partkey", *(tr.parse_inches(v).alias(k) for k, v in forms.items()))
 
 
-@query("l6_parse_birthdate", "select o_orderkey, o_orderdate::date as iso, o_orderdate::date as us, o_orderdate::date as named, o_orderdate::date as dotted, null::date as bad from orders")
+@query("l6_parse_birthdate", "select o_orderkey, o_orderdate::date as iso, o_orderdate::date as us, o_orderdate::date as named, o_orderdate::date as dotted, null::date as bad, case when o_orderkey % 5 < 3 then o_orderdate::date end as mixed from orders")
 def l6(spark, sf):
     d = c("o_orderdate")
     forms = {"iso": F.date_format(d, "yyyy-MM-dd"), "us": F.date_format(d, "MM/dd/yyyy"), "named": F.date_format(d, "MMM d, yyyy"), "dotted": F.date_format(d, "dd.MM.yyyy"), "bad": F.date_format(d, "yyyy/MM")}
+    every = [forms["iso"], forms["us"], forms["named"], F.concat(F.lit("n"), forms["us"]), F.lit("")]
+    forms["mixed"] = F.get(F.array(*every), (c("o_orderkey") % 5).cast("int"))
     return read(spark, sf, "orders").select("o_orderkey", *(tr.parse_birthdate(v).alias(k) for k, v in forms.items()))
 
 
