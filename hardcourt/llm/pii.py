@@ -8,7 +8,7 @@ fact; those decided as right become spans wherever no base span of their kind li
 threshold, calibrated per kind on held-out documents to PRECISION, become spans as well.
 
 The features are a few bits, so training needs only how often each combination occurs with each label: one aggregate
-over at most FIT_ROWS documents (about; picked by a hash of id and text) that the driver fits trees to. It has a row for
+over all documents that the driver fits trees to. It has a row for
 each fold, kind, label and combination of features, of which there are some thousands at most, whatever the corpus.
 The trees are applied as a Column expression.
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from hardcourt.llm.runtime import table
 
 KINDS = ("email", "ip", "card", "phone")
-FIT_ROWS, CHUNK = 20_000, 128
+CHUNK = 128
 TREES, RATE, PRECISION, LEAST_SEEN = 24, 0.3, 0.95, 20
 
 _LOCAL = r"A-Za-z0-9._%+\-"
@@ -309,14 +309,11 @@ def decided(found: Column) -> Column:
     return F.transform(F.filter(found, lambda x: x["label"].isNotNull()), lambda x: F.struct(x["kind"].alias("kind"), bits_of(x).alias("bits"), x["label"].alias("label")))
 
 
-def trained(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[list, dict[int, float]]:
+def trained(docs: DataFrame, text: str = "text") -> tuple[list, dict[int, float]]:
     """Trees, and per kind the least score that kept PRECISION on the documents held out."""
-    n = docs.count()
-    share = min(1.0, FIT_ROWS / n) if n else 0.0
-    picked = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(1_000_000))
     fold = F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")) % 2
-    rows = docs.filter(picked < int(share * 1_000_000)).select(fold.alias("fold"), decided(candidates(_plain(F.col(text)))).alias("found"))
-    # apart, so that no row of a candidate carries the text; outer, so that no filter on the candidates is put before the sample's
+    rows = docs.select(fold.alias("fold"), decided(candidates(_plain(F.col(text)))).alias("found"))
+    # apart, so that no row of a candidate carries the text; outer, so that the candidates are found once, not for a filter too
     rows = rows.select("fold", F.explode_outer("found").alias("c")).filter("c.kind is not null")
     counts = rows.groupBy("fold", F.col("c.kind").alias("kind"), F.col("c.bits").alias("bits"), F.col("c.label").alias("label")).count().orderBy("fold", "kind", "bits", "label").collect()
     fit = [(r.bits, r.label, float(r["count"])) for r in counts if r.fold == 0]
@@ -334,9 +331,9 @@ def trained(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[l
     return trees, least
 
 
-def with_spans(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with `base` and `spans`, arrays of (kind, s, e) by kind, start and end; kind counts in KINDS."""
-    trees, least = trained(docs, text, key)
+    trees, least = trained(docs, text)
     plain = _plain(F.col(text))
     rows = docs.withColumn("_plain", plain)
     plain = F.col("_plain")

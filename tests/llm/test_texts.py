@@ -329,3 +329,14 @@ def test_cotraining_of_odd_tables(spark):
     assert len(got) == 11 and all(r.keep for r in got)
     assert cotraining.scored(docs(spark, rows=[]), labels(spark)).count() == 0
     assert all(r.keep for r in cotraining.scored(docs(spark), labels(spark)).collect())
+
+
+def test_personal_data_is_learnt_from_all_documents(spark, monkeypatch):
+    """More documents than the sample of about 20,000 that was taken once: every candidate is counted."""
+    seen = []
+    monkeypatch.setattr(pii, "fit_trees", lambda cells: seen.extend(cells) or [])
+    monkeypatch.setattr(pii, "tree_score", lambda trees, bits: 0.0)
+    df = spark.range(50_000).selectExpr("id as doc_id", "concat('mail a', id, '@b.org or 1.2.3.', id % 300) as text")
+    pii.trained(df)
+    every = df.filter("crc32(cast(text as binary)) % 2 = 0").select(F.size(pii.decided(pii.candidates(F.col("text")))).alias("n"))
+    assert sum(w for *_, w in seen) == every.agg(F.sum("n")).first()[0]
