@@ -31,6 +31,14 @@ def test_no_task_holds_the_sorts_of_two_stages(spark):
     assert max(sorts) <= 14, sorts
 
 
+@pytest.mark.parametrize(("name", "windows", "sorts"), [("n14_played_status", 34, 21), ("j1_played_stream", 36, 24)])
+def test_windows_share_passes_and_sorts(spark, name, windows, sorts):
+    """What lies before and behind a row, and sums of the whole, come from one pass; every pass copies every row of a task."""
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") <= windows
+    assert plan.count("Sort [") <= sorts
+
+
 def test_tasks_grow_with_the_rows(spark):
     df = spark.range(10).withColumnRenamed("id", "game_id")
     assert od.dealt(df, 10).rdd.getNumPartitions() == 4
