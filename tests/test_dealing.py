@@ -39,6 +39,12 @@ def test_windows_share_passes_and_sorts(spark, name, windows, sorts):
     assert plan.count("Sort [") <= sorts
 
 
+def test_rows_are_numbered_only_where_an_order_is_made(spark):
+    """The order of a game's lines and, where players' rows are put between others, that of the lineups."""
+    plan = QUERIES["n14_played_status"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("row_number()") == 2
+
+
 def test_tasks_grow_with_the_rows(spark):
     df = spark.range(10).withColumnRenamed("id", "game_id")
     assert od.dealt(df, 10).rdd.getNumPartitions() == 4
